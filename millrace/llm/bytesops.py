@@ -132,10 +132,10 @@ def shingle_sets(words: np.ndarray, rows: np.ndarray, width: int = 5) -> tuple[n
         slots = ranges(out_off[full], sizes[full])
         out[slots] = acc[slots + take]
     for r in np.flatnonzero((counts > 0) & (counts < width)):
-        h = U(counts[r])
-        for j, w in enumerate(words[rows[r] : rows[r + 1]]):
-            h = mix(np.array([h * STEP + w + U(j)], U))[0]
-        out[out_off[r]] = h
+        h = counts[r : r + 1].astype(U)
+        for j in range(rows[r], rows[r + 1]):
+            h = mix(h * STEP + words[j : j + 1])
+        out[out_off[r]] = h[0]
     for a, b in zip(out_off[full], out_off[full + 1]):
         out[a:b].sort()
     fresh = np.ones(len(out), bool)
