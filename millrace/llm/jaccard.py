@@ -144,7 +144,8 @@ def prefix_postings(docs: DataFrame, frequent: np.ndarray, buckets: int) -> Data
                 s = slice(off[i], off[i + 1])
                 h[s] = h[s][np.argsort(rank[s], kind="stable")]
             take = B.ranges(off[:-1], first)
-            held.append((h[take], np.repeat(ids, first), np.repeat(sizes, first).astype(np.int32)))
+            mixed = B.mix(h[take])  # the smallest hashes as they are would crowd in few buckets
+            held.append((mixed, np.repeat(ids, first), np.repeat(sizes, first).astype(np.int32)))
             size += b.column("text").nbytes
             if size > HELD_BYTES:
                 yield flush()

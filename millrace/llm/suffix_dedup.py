@@ -65,7 +65,7 @@ def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     change[1:] = h[1:] != h[:-1]
     change[cut[:-1][sizes > 0]] = True
     run = np.concatenate([[0], np.cumsum(change)])[cut]
-    h = h[change]
+    h = B.mix(h[change])  # minima crowd at the small end; mixed again, they spread over all buckets
     for a, b in zip(run[:-1], run[1:]):
         h[a:b].sort()
     fresh = np.ones(len(h), bool)
@@ -145,7 +145,7 @@ def suffix_array(text: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
     def regroup(at, keys):
         """Number groups by the place of their first member; at: places in order, ascending."""
         fresh = np.ones(len(at), bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) if keys.ndim == 1 else (keys[1:] != keys[:-1]).any(axis=1)
+        fresh[1:] = keys[1:] != keys[:-1]
         first = at[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
         group[order[at]] = first
         single = fresh & np.append(fresh[1:], True)
@@ -156,10 +156,10 @@ def suffix_array(text: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
     while known < depth and len(open_):
         members = order[open_]
         after = np.where(left[members] > known, group[np.minimum(members + known, n - 1)] + 1, 0)
-        own = group[members]
-        way = np.lexsort((after, own))
+        key = group[members] << 32 | after  # a shard has far fewer than 2**31 bytes
+        way = np.argsort(key, kind="stable")
         order[open_] = members[way]
-        open_ = regroup(open_, np.stack([own[way], after[way]], axis=1))
+        open_ = regroup(open_, key[way])
         known *= 2
     return order
 
@@ -214,7 +214,7 @@ def surroundings(candidates: DataFrame, buckets: int) -> DataFrame:
     def emit(batches):
         for b in B.slices(batches):
             data, off = B.raw(b.column("text"))
-            h = gram_hashes(data)
+            h = B.mix(gram_hashes(data))
             where, place, salts = [], [], []
             for k, found in enumerate(b.column("found").to_pylist()):
                 lo, hi = off[k], max(off[k], off[k + 1] - GRAM + 1)
@@ -251,10 +251,14 @@ def surroundings(candidates: DataFrame, buckets: int) -> DataFrame:
 
 def _spans(doc: np.ndarray, start: np.ndarray) -> pa.Table:
     """(doc_id, starts): the packed distinct starts of removed strings, one row per document."""
-    key = np.unique(np.rec.fromarrays([doc, start])) if len(doc) else np.rec.fromarrays([doc, start])
-    at = np.flatnonzero(np.concatenate([[True], key.f0[1:] != key.f0[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    ends = np.append(at[1:], len(key)) if len(doc) else at
-    return pa.table({"doc_id": pa.array(key.f0[at], pa.int64()), "starts": B.blobs([np.ascontiguousarray(key.f1[i:j]) for i, j in zip(at, ends)])})
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+    doc, start = doc[fresh], start[fresh]
+    at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    ends = np.append(at[1:], len(doc)) if len(doc) else at
+    return pa.table({"doc_id": pa.array(doc[at], pa.int64()), "starts": B.blobs([start[i:j] for i, j in zip(at, ends)])})
 
 
 def _occurrences(starts: list[bytes], part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
