@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard import op8_ngram_jaccard_join
 from .language_id import op10_language_id
+from .lm_scoring import op1_lm_scoring
 from .packing import op4_packing
 from .sstable import op2_token_shards
+from .suffix_dedup import op9_suffix_array_dedup
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_token_shards": op2_token_shards,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
 }
 
