@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op6_decontamination
+from .html_text import op7_html_extraction
 from .jaccard import op8_ngram_jaccard_join
 from .language_id import op10_language_id
 from .lm_scoring import op1_lm_scoring
+from .nn_descent import op5_nn_descent
 from .packing import op4_packing
 from .sstable import op2_token_shards
 from .suffix_dedup import op9_suffix_array_dedup
@@ -19,6 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_shards": op2_token_shards,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_nn_descent": op5_nn_descent,
+    "op6_decontamination": op6_decontamination,
+    "op7_html_extraction": op7_html_extraction,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,

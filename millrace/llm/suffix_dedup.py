@@ -349,12 +349,12 @@ def removed_starts(candidates: DataFrame, buckets: int) -> DataFrame:
 
 
 def cut_texts(candidates: DataFrame, starts: DataFrame) -> DataFrame:
-    """doc_id, text, kept (binary), n_removed, n_spans of the candidates that lose bytes."""
+    """doc_id, kept (binary), gone (a bit for each byte of the text), n_removed, n_spans of the candidates that lose bytes."""
 
     def cut(batches):
         for b in B.slices(batches):
             data, off = B.raw(b.column("text"))
-            kept, removed, spans = [], [], []
+            kept, removed, spans, masks = [], [], [], []
             for k, rows in enumerate(b.column("starts").to_pylist()):
                 at = np.concatenate([np.frombuffer(r, np.int64) for r in rows])
                 size = int(off[k + 1] - off[k])
@@ -363,13 +363,14 @@ def cut_texts(candidates: DataFrame, starts: DataFrame) -> DataFrame:
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + SPAN, -1)
                 gone = np.cumsum(edge[:-1]) > 0
+                masks.append(np.packbits(gone))
                 kept.append(data[off[k] : off[k + 1]][~gone].tobytes())
                 removed.append(int(gone.sum()))
                 spans.append(int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (size > 0 and gone[0])))
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "kept": pa.array(kept, pa.binary()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64())})
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "kept": pa.array(kept, pa.binary()), "gone": B.blobs(masks), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64())})
 
     rows = candidates.select("doc_id", "text").join(starts.groupBy("doc_id").agg(F.collect_list("starts").alias("starts")), "doc_id")
-    return rows.mapInArrow(cut, "doc_id long, kept binary, n_removed long, n_spans long")
+    return rows.mapInArrow(cut, "doc_id long, kept binary, gone binary, n_removed long, n_spans long")
 
 
 def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
