@@ -1,4 +1,6 @@
-"""Registered queries of the reference's operators and their SQL."""
+"""Registered queries of the reference's operators, each with SQL where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import chat, curate, observe, score, web
+from .registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "chat", "curate", "observe", "score", "web"]
