@@ -2,8 +2,8 @@
 
 A shard holds documents in ascending key order. File layout, integers little-endian unless said otherwise:
 
-    blocks   entries of varint shared, varint rest, varint size, the last `rest` bytes of the key, then size bytes of ids
-             (unsigned 32-bit); `shared` leading bytes are those of the entry before, 0 for the first of a block
+    blocks   entries of varint shared, varint rest, varint size, the last `rest` bytes of the key, then size bytes: the ids'
+             width in bytes, 2 or 4, and the ids (unsigned); `shared` leading bytes are those of the entry before, 0 for the first of a block
     index    for each block: its first key, 8-byte offset, 4-byte size
     bloom    bits of all keys, 10 a key, 7 probes
     footer   8-byte offsets of index and bloom and end of bloom, documents, tokens, and the magic `MLLSST01`
@@ -84,7 +84,10 @@ class ShardWriter:
         self.first = self.before = b""
         self.tokens = 0
 
-    def add(self, key: bytes, ids: bytes) -> None:
+    def add(self, key: bytes, ids: np.ndarray) -> None:
+        self.tokens += len(ids)
+        width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+        ids = bytes([width]) + ids.astype(f"<u{width}").tobytes()
         if self.block and len(self.block) + len(ids) > BLOCK_BYTES:
             self.close_block()
         shared = 0
@@ -96,7 +99,6 @@ class ShardWriter:
         self.block += varint(shared) + varint(9 - shared) + varint(len(ids)) + key[shared:] + ids
         self.before = key
         self.keys.append(key)
-        self.tokens += len(ids) // 4
 
     def close_block(self) -> None:
         self.index.append(BLOCK.pack(self.first, len(self.body), len(self.block)))
@@ -140,7 +142,7 @@ class Shard:
             n, at = read_varint(self.data, at)
             key = key[:shared] + self.data[at : at + rest]
             at += rest
-            yield key, self.data[at : at + n]
+            yield key, np.frombuffer(self.data, f"<u{self.data[at]}", (n - 1) // self.data[at], at + 1).astype("<u4").tobytes()
             at += n
 
     def __iter__(self):
@@ -187,8 +189,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         for b in B.slices(batches):
             ids, off = with_end(*encoder.encode(*B.raw(b.column("text"))), end_id)
             for k, doc_id in enumerate(b.column("doc_id").to_pylist()):
-                value = ids[off[k] : off[k + 1]].astype("<u4").tobytes()
-                if writer.keys and writer.size() + len(value) > SHARD_BYTES:
+                value = ids[off[k] : off[k + 1]]
+                if writer.keys and writer.size() + value.nbytes > SHARD_BYTES:
                     yield flush()
                     writer, number, span = ShardWriter(), number + 1, []
                 span = [*span[:1], doc_id]

@@ -4,7 +4,8 @@ Every byte is removed that a SPAN-byte string covers which also starts in a docu
 
 1. Documents with the same bytes are found by SHA-256: all but the smallest doc_id are covered whole. The rest goes on.
 2. Anchors: of every SPAN - GRAM + 1 consecutive GRAM-byte strings of a document, the one with the smallest hash. Equal
-   SPAN-byte strings hold equal anchors, so a string that repeats has an anchor in two documents or more.
+   SPAN-byte strings hold equal anchors, and reach SIDE bytes beyond them on one side at least. So a string that repeats has an
+   anchor that another document has with the same bytes beside it.
 3. Only those anchors' surroundings (each SPAN-byte string around an anchor lies in them) are dealt out, by anchor, into
    shards; equal surroundings are first merged within a task under their smallest doc_id.
 4. Each shard builds the suffix array of its surroundings (Larsson-Sadakane refinement of groups, in numpy) and common prefixes
@@ -32,6 +33,8 @@ from .scratch import keys_join, pieces, stored, text_bytes
 
 SPAN = 50
 GRAM = 20
+#: Bytes beside an anchor that a repeated string must share on one side or the other.
+SIDE = (SPAN - GRAM) // 2
 #: Surroundings of one anchor that a shard takes; an anchor with more is dealt over several shards.
 ANCHOR_ROWS = 4_096
 BUCKET_BYTES = 12 << 20
@@ -54,24 +57,49 @@ def window_minima(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - reach)], h[width - reach :]) if width > reach else h
 
 
-def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct anchors of each row, ascending, and their offsets (n+1)."""
-    sizes = np.maximum(0, np.diff(off) - SPAN + 1)
-    least = window_minima(gram_hashes(data), SPAN - GRAM + 1) if len(data) >= SPAN else np.zeros(0, np.uint64)
-    at = B.ranges(off[:-1], sizes)
-    h = least[at]
-    cut = np.concatenate([[0], np.cumsum(sizes)])
-    change = np.ones(len(h), bool)
-    change[1:] = h[1:] != h[:-1]
-    change[cut[:-1][sizes > 0]] = True
-    run = np.concatenate([[0], np.cumsum(change)])[cut]
-    h = B.mix(h[change])  # minima crowd at the small end; mixed again, they spread over all buckets
-    for a, b in zip(run[:-1], run[1:]):
-        h[a:b].sort()
+def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct anchors of each row with 16-bit hashes of the SIDE bytes before and after them (0: fewer bytes there), and the
+    row of each. A repeated string reaches SIDE bytes beyond its anchor on one side at least."""
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.uint16), np.zeros(0, np.uint16), np.zeros(0, np.int64))
+    if len(data) < SPAN:
+        return none
+    h, width = gram_hashes(data), SPAN - GRAM + 1
+    least = window_minima(h, width)
+    inside = np.zeros(len(least) + 1, np.int64)
+    long = np.diff(off) >= SPAN
+    inside[off[:-1][long]] += 1
+    inside[off[1:][long] - SPAN + 1] -= 1
+    least = np.where(np.cumsum(inside[:-1]) > 0, least, B.U(0))
+    edge = np.zeros(width - 1, np.uint64)
+    most = ~window_minima(~np.concatenate([edge, least, edge]), width)
+    at = np.flatnonzero(most == h)
+    row = np.searchsorted(off, at, "right") - 1
+    whole, sides = at + GRAM <= off[row + 1], []
+    at, row = at[whole], row[whole]
+    c = B.prefix_sums(data)
+    for start, fits in ((at - SIDE, at - SIDE >= off[row]), (at + GRAM, at + GRAM + SIDE <= off[row + 1])):
+        start = np.where(fits, start, 0)
+        sides.append(np.where(fits, B.span_hash(c, start, start + SIDE) % B.U(65535) + B.U(1), B.U(0)).astype(np.uint16))
+    h = B.mix(h[at])  # minima crowd at the small end; mixed again, they spread over all buckets
+    order = np.lexsort((sides[1], sides[0], h, row))
+    h, left, right, row = h[order], sides[0][order], sides[1][order], row[order]
     fresh = np.ones(len(h), bool)
-    fresh[1:] = h[1:] != h[:-1]
-    fresh[run[:-1][np.diff(run) > 0]] = True
-    return h[fresh], np.concatenate([[0], np.cumsum(fresh)])[run]
+    fresh[1:] = (h[1:] != h[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1]) | (row[1:] != row[:-1])
+    return h[fresh], left[fresh], right[fresh], row[fresh]
+
+
+def with_another(h: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Marks entries whose hash and side another document has too."""
+    order = np.lexsort((doc, side, h))
+    a, s, d = h[order], side[order], doc[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
+    at = np.flatnonzero(fresh)
+    out = np.zeros(len(h), bool)
+    if len(at):
+        sizes = np.diff(np.append(at, len(a)))
+        out[order] = np.repeat((d[at] != d[at + sizes - 1]) & (s[at] > 0), sizes)
+    return out
 
 
 def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
@@ -81,18 +109,18 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            h, doc = (np.concatenate(x) for x in zip(*held))
+            h, left, right, doc = (np.concatenate(x) for x in zip(*held))
             order = np.argsort(h, kind="stable")
-            h, doc = h[order], doc[order]
+            h, left, right, doc = h[order], left[order], right[order], doc[order]
             base = int(doc.min()) if len(doc) else 0
             doc = doc - base
             doc = doc.astype(np.uint32) if len(doc) and doc.max() < 1 << 32 else doc
             b, cut = B.by_bucket(h, buckets)
-            return pa.record_batch({"bucket": pa.array(b), "base": pa.array(np.full(len(b), base)), "wide": pa.array(np.full(len(b), doc.itemsize == 8)), **{k: B.blobs([x[i:j] for i, j in zip(cut, cut[1:])]) for k, x in (("h", h), ("doc", doc))}})
+            return pa.record_batch({"bucket": pa.array(b), "base": pa.array(np.full(len(b), base)), "wide": pa.array(np.full(len(b), doc.itemsize == 8)), **{k: B.blobs([x[i:j] for i, j in zip(cut, cut[1:])]) for k, x in (("h", h), ("before", left), ("after", right), ("doc", doc))}})
 
         for b in B.slices(batches):
-            h, off = anchors(*B.raw(b.column("text")))
-            held.append((h, np.repeat(b.column("doc_id").to_numpy(), np.diff(off))))
+            h, left, right, row = anchors(*B.raw(b.column("text")))
+            held.append((h, left, right, b.column("doc_id").to_numpy()[row]))
             size += b.column("text").nbytes
             if size > HELD_BYTES:
                 yield flush()
@@ -104,25 +132,23 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         h = B.joined(table.column("h"), np.uint64)
         rows = zip(table.column("doc").to_pylist(), table.column("wide").to_pylist(), table.column("base").to_pylist())
         doc = np.concatenate([np.frombuffer(d, np.int64 if wide else np.uint32).astype(np.int64) + base for d, wide, base in rows])
+        left, right = B.joined(table.column("before"), np.uint16), B.joined(table.column("after"), np.uint16)
+        keep = with_another(h, left, doc) | with_another(h, right, doc)
+        h, doc = h[keep], doc[keep]
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
         h, doc = h[fresh], doc[fresh]
-        same = h[1:] == h[:-1]
-        keep = np.zeros(len(h), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
         run = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
         many = np.repeat(np.diff(np.append(run, len(h))), np.diff(np.append(run, len(h))))
-        h, doc, many = h[keep], doc[keep], many[keep]
         order = np.argsort(doc, kind="stable")
         h, doc, many = h[order], doc[order], many[order].astype(np.int32)
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(doc)) if len(doc) else at
         return pa.table({"doc_id": pa.array(doc[at]), "anchors": B.blobs([h[i:j] for i, j in zip(at, ends)]), "many": B.blobs([many[i:j] for i, j in zip(at, ends)])})
 
-    rows = docs.select("doc_id", "text").mapInArrow(emit, "bucket long, base long, wide boolean, h binary, doc binary")
+    rows = docs.select("doc_id", "text").mapInArrow(emit, "bucket long, base long, wide boolean, h binary, before binary, after binary, doc binary")
     met = rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, "doc_id long, anchors binary, many binary")
     return met.groupBy("doc_id").agg(F.collect_list(F.struct("anchors", "many")).alias("found"))
 
@@ -385,7 +411,8 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = stored(meta.where("least < doc_id").select("doc_id").distinct(), "copies")
     own = keys_join(docs.where("doc_id is not null"), copies, "doc_id", "left_anti")
     found = stored(shared_anchors(own, buckets), "anchors")
-    candidates = stored(keys_join(own, found, "doc_id", "inner", 200_000).dropDuplicates(["doc_id", "text"]), "candidates")
+    wanted = stored(found.select("doc_id"), "wanted")
+    candidates = stored(keys_join(own, wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).join(found, "doc_id"), "candidates")
     starts = stored(removed_starts(candidates, buckets), "starts")
     return meta, stored(cut_texts(candidates, starts), "cuts")
 
