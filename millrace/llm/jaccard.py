@@ -11,11 +11,12 @@ A document is the set of its distinct five-word shingles (64-bit hashes). Two do
    are left, or pivots no longer help, every remaining pair is compared. So no link between components is lost, and a group
    of n near copies costs about n comparisons.
 5. A comparison cuts both sets by FRAGMENTS of the global order; fragments are joined, their overlaps counted separately,
-   and summed for each pair.
+   and summed for each pair. The PROBE fragment comes first: a pair that cannot reach the overlap it needs even if all the
+   rest is common goes no further, so only real near copies move their other fragments.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and link with nothing; fewer than five words
 are one shingle; repeated rows are returned each; rows with a null doc_id are returned with component_id null and take no
-part; rows that repeat a doc_id with other texts are one node; extra columns are ignored.
+part; rows that repeat a doc_id with other texts are one node, whose links are those of the smallest text, and of equal sets; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ from pyspark.sql import functions as F
 
 from . import bytesops as B
 from .components import components
-from .scratch import keys_join, pieces, stored, text_bytes
+from .scratch import keys_join, pieces, release, stored, text_bytes
 
 WIDTH = 5
 #: Documents that make a shingle frequent, and most frequent shingles that are told to all tasks (the commonest ones).
 FREQUENT = 48
 MOST_FREQUENT = 1_000_000
 FRAGMENTS = 4
+#: The first fragment is the part of hash values below one PROBE-th.
+PROBE = 6
 PIVOTS = 3
 ROUNDS = 6
 #: Text bytes whose shingles one bucket holds.
@@ -64,24 +67,26 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def frequent_shingles(docs: DataFrame, buckets: int, least: int = FREQUENT, most: int = MOST_FREQUENT) -> np.ndarray:
-    """The (hash, count) of shingles of `least` documents or more, ascending by hash; the `most` commonest if there are more."""
+    """The (key, count) of shingles of `least` documents or more, ascending by key; the `most` commonest if there are more.
+
+    The key is the upper half of the hash. Shingles that share a key are counted together: the order stays one and the same for
+    all documents, which is all that it has to be."""
 
     def count(batches):
         held, size = [], 0
 
         def flush():
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            b, cut = B.by_bucket(h, buckets)
             small = np.minimum(n, 255).astype(np.uint8)  # a task hands a commoner shingle on again
             while len(h):
-                b, cut = B.by_bucket(h, buckets)
+                b, cut = B.by_bucket(h.astype(np.uint64) << B.U(32), buckets)
                 yield pa.record_batch({"bucket": pa.array(b), "h": B.blobs([h[i:j] for i, j in zip(cut, cut[1:])]), "n": B.blobs([small[i:j] for i, j in zip(cut, cut[1:])])})
                 n = n - small
                 h, n = h[n > 0], n[n > 0]
                 small = np.minimum(n, 255).astype(np.uint8)
 
         for b in B.slices(batches):
-            held.append(sets_of(b)[0])
+            held.append((sets_of(b)[0] >> B.U(32)).astype(np.uint32))
             size += b.column("text").nbytes
             if size > HELD_BYTES:
                 yield from flush()
@@ -90,13 +95,13 @@ def frequent_shingles(docs: DataFrame, buckets: int, least: int = FREQUENT, most
             yield from flush()
 
     def total(table: pa.Table) -> pa.Table:
-        h, n = B.joined(table.column("h"), np.uint64), B.joined(table.column("n"), np.uint8)
+        h, n = B.joined(table.column("h"), np.uint32), B.joined(table.column("n"), np.uint8)
         order = np.argsort(h)
         h, n = h[order], n[order].astype(np.int64)
         at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
         sums = np.add.reduceat(n, at) if len(at) else n
         keep = sums >= least
-        return pa.table({"h": pa.array(h[at][keep].view(np.int64)), "n": pa.array(sums[keep])})
+        return pa.table({"h": pa.array(h[at][keep].astype(np.int64)), "n": pa.array(sums[keep])})
 
     spread = docs.select("text").mapInArrow(count, "bucket long, h binary, n binary").repartition(buckets, "bucket")
     common = stored(spread.groupBy("bucket").applyInArrow(total, "h long, n long"), "frequent")
@@ -104,7 +109,7 @@ def frequent_shingles(docs: DataFrame, buckets: int, least: int = FREQUENT, most
         least *= 2
         common = common.where(F.col("n") >= least)
     got = common.toArrow()  # at most `most` rows
-    h, n = got.column("h").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    h, n = got.column("h").to_numpy().astype(np.uint32), got.column("n").to_numpy()
     order = np.argsort(h)
     return np.rec.fromarrays([h[order], n[order]], names="h,n")
 
@@ -113,8 +118,9 @@ def rank_class(h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """0 for shingles that are not frequent, else 1 + the logarithm of their count: the leading part of the global order."""
     out = np.zeros(len(h), np.uint64)
     if len(frequent) and len(h):
-        at = np.minimum(np.searchsorted(frequent.h, h), len(frequent) - 1)
-        hit = frequent.h[at] == h
+        key = (h >> B.U(32)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(frequent.h, key), len(frequent) - 1)
+        hit = frequent.h[at] == key
         out[hit] = 1 + np.log2(frequent.n[at[hit]]).astype(np.uint64)
     return out
 
@@ -167,52 +173,77 @@ def prefix_postings(docs: DataFrame, frequent: np.ndarray, buckets: int) -> Data
     return rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, "h long, doc long, n int").distinct()
 
 
-def fragments(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc, fragment, part): each set cut by the global order; part holds packed ascending hashes."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def fragments(docs: DataFrame, frequent: np.ndarray, probe: bool) -> DataFrame:
+    """(doc, fragment, part): the probe fragment of each set, or all the others; part holds packed ascending hashes."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT rows
+    low = B.U((1 << 64) // PROBE)
+    width = B.U(((1 << 64) - int(low)) // (FRAGMENTS - 2) + 1)
 
     def cut(batches):
         for b in B.slices(batches):
             h, off = sets_of(b)
-            light = (h // B.U((1 << 64) // (FRAGMENTS - 1) + 1)).astype(np.int64)
-            where = np.where(rank_class(h, shared.value) > 0, FRAGMENTS - 1, light)
             row = B.row_of(off)
-            order = np.argsort(row * FRAGMENTS + where, kind="stable")
-            key = (row * FRAGMENTS + where)[order]
+            first = h < low
+            if probe:
+                where = np.zeros(len(h), np.int64)
+            else:
+                where = 1 + (np.where(first, low, h) - low).astype(np.uint64) // width
+                where = np.where(rank_class(h, shared.value) > 0, FRAGMENTS - 1, where.astype(np.int64))
+            take = np.flatnonzero(first == probe)
+            key = (row * FRAGMENTS + where)[take]
+            order = np.argsort(key, kind="stable")
+            key, take = key[order], take[order]
             at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
             ends = np.append(at[1:], len(key)) if len(at) else at
-            yield pa.record_batch({"doc": b.column("doc_id").take(pa.array(key[at] // FRAGMENTS)), "fragment": pa.array((key[at] % FRAGMENTS).astype(np.int32)), "part": B.blobs([h[order[i:j]] for i, j in zip(at, ends)])})
+            yield pa.record_batch({"doc": b.column("doc_id").take(pa.array(key[at] // FRAGMENTS)), "fragment": pa.array((key[at] % FRAGMENTS).astype(np.int32)), "part": B.blobs([h[take[i:j]] for i, j in zip(at, ends)])})
 
-    rows = docs.select("doc_id", "text").mapInArrow(cut, "doc long, fragment int, part binary")
-    return rows.groupBy("doc", "fragment").agg(F.min("part").alias("part"))  # repeated rows
+    return docs.select("doc_id", "text").mapInArrow(cut, "doc long, fragment int, part binary")
 
 
-def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) that link: overlaps of their fragments counted one by one and summed."""
+def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b, na, nb, ...) with met, the sum of their fragments' overlaps, and kx and ky, the sizes of the parts that met."""
+    names = pairs.columns
 
     def overlap(batches):
         for batch in batches:
-            counts = np.zeros(batch.num_rows, np.int64)
+            common = np.zeros(batch.num_rows, np.int64)
             for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                counts[k] = np.count_nonzero(y[at] == x)
-            yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "na": batch.column("na"), "nb": batch.column("nb"), "common": pa.array(counts)})
+                common[k] = np.count_nonzero(y[at] == x)
+            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(common), batch.column("kx"), batch.column("ky")], names=[*names, "met", "kx", "ky"])
 
     left = parts.select(F.col("doc").alias("b"), "fragment", F.col("part").alias("y"))
     right = parts.select(F.col("doc").alias("a"), "fragment", F.col("part").alias("x"))
-    met = pairs.join(left, "b").join(right, ["a", "fragment"]).select("a", "b", "na", "nb", "x", "y")
-    sums = met.mapInArrow(overlap, "a long, b long, na int, nb int, common long").groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-    return sums.where(100 * F.col("common") >= 75 * (F.col("na") + F.col("nb") - F.col("common"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    both = pairs.join(left, "b").join(right, ["a", "fragment"])
+    both = both.select(*names, "x", "y", (F.octet_length("x") / 8).cast("long").alias("kx"), (F.octet_length("y") / 8).cast("long").alias("ky"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
+    sums = both.mapInArrow(overlap, f"{schema}, met long, kx long, ky long").groupBy(*names)
+    return sums.agg(F.sum("met").alias("met"), F.sum("kx").alias("kx"), F.sum("ky").alias("ky"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, probes: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """The pairs (a, b, na, nb) that link, as (u, v)."""
+    need = lambda common: 100 * common >= 75 * (F.col("na") + F.col("nb") - common)
+    first = pairs.join(overlaps(pairs, probes), ["a", "b", "na", "nb"], "left").na.fill(0)
+    # a set without a probe part says nothing about its rest: then all of the smaller set may be common
+    rest = F.when(F.col("kx") + F.col("ky") > 0, F.least(F.col("na") - F.col("kx"), F.col("nb") - F.col("ky"))).otherwise(F.least("na", "nb"))
+    hopeful = stored(first.where(need(F.col("met") + rest)).select("a", "b", "na", "nb", F.col("met").alias("probe")), "hopeful")
+    ids = stored(hopeful.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    others = fragments(keys_join(docs, ids, "doc_id", "left_semi"), frequent, False)
+    found = hopeful.join(overlaps(hopeful, others), hopeful.columns, "left").na.fill(0, ["met"])
+    out = stored(found.where(need(F.col("probe") + F.col("met"))).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    release(hopeful, ids)
+    return out
 
 
 def _sized(a: str, b: str):
     return (100 * F.least(a, b) >= 75 * F.greatest(a, b))
 
 
-def links(postings: DataFrame, parts: DataFrame) -> DataFrame:
+def links(postings: DataFrame, docs: DataFrame, probes: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Enough links (u, v) between the documents of stored postings for the components of all links."""
     spark = postings.sparkSession
     done = spark.createDataFrame([], "a long, b long")
@@ -237,8 +268,7 @@ def links(postings: DataFrame, parts: DataFrame) -> DataFrame:
             pairs = other.join(chosen, "h").select("h", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"), "ra", "rb")
         pairs = pairs.where((F.col("ra") != F.col("rb")) & _sized("na", "nb")).select("a", "b", "na", "nb").distinct().join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(verified(pairs, parts), "links")
-        edges = stored(edges.unionByName(found), "links")
+        edges = stored(edges.unionByName(verified(pairs, docs, probes, frequent)), "links")
         if last:
             break
         done = stored(done.unionByName(pairs.select("a", "b")), "done")
@@ -257,11 +287,17 @@ def join_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     member = stored(known.select("doc_id", "s1", "s2", "n_shingles").distinct().join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "class"), "classes")
     copies = stored(member.groupBy("doc_id").agg(F.min("class").alias("class")).where("class < doc_id"), "copies")
     own = keys_join(docs.where("doc_id is not null"), copies.select("doc_id"), "doc_id", "left_anti")
+    again = stored(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    if not again.isEmpty():
+        once = keys_join(own, again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        own = keys_join(own, again, "doc_id", "left_anti").unionByName(once)
     frequent = frequent_shingles(docs.where("doc_id is not null"), buckets)
     postings = stored(prefix_postings(own, frequent, buckets), "postings")
     wanted = stored(postings.select(F.col("doc").alias("doc_id")).distinct(), "wanted")
-    parts = stored(fragments(keys_join(own, wanted, "doc_id", "left_semi"), frequent), "fragments")
-    edges = links(postings, parts)
+    probes = stored(fragments(keys_join(own, wanted, "doc_id", "left_semi"), frequent, True), "probes")
+    release(wanted)
+    edges = links(postings, own, probes, frequent)
+    release(postings, probes)
     same = member.where("class < doc_id").select(F.col("doc_id").alias("u"), F.col("class").alias("v"))
     roots = stored(components(edges.unionByName(same)), "roots")
     out = signs.join(roots, signs["doc_id"] == roots["node"], "left")

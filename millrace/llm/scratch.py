@@ -31,7 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, and let Spark's cleaner drop the shuffle files of finished plans."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def text_bytes(docs: DataFrame) -> int:
