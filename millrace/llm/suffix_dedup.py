@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from .scratch import keys_join, pieces, stored, text_bytes
+from .scratch import keys_join, pieces, release, stored, text_bytes
 
 SPAN = 50
 GRAM = 20
@@ -38,7 +38,9 @@ SIDE = (SPAN - GRAM) // 2
 #: Surroundings of one anchor that a shard takes; an anchor with more is dealt over several shards.
 ANCHOR_ROWS = 4_096
 BUCKET_BYTES = 12 << 20
-HELD_BYTES = 16 << 20
+#: Shards of surroundings for each bucket: a suffix array takes many times the bytes it orders.
+SHARDS = 4
+HELD_BYTES = 10 << 20
 
 
 def gram_hashes(data: np.ndarray, width: int = GRAM) -> np.ndarray:
@@ -344,7 +346,7 @@ def merged_strings(table: pa.Table) -> pa.Table:
 
 
 def removed_starts(candidates: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, starts): packed starts of all strings to remove; a document can have several rows."""
+    """Stored (doc_id, starts): packed starts of all strings to remove; a document can have several rows."""
     found = stored(surroundings(candidates, buckets), "surroundings")
     ways = "doc_id long, starts binary"
 
@@ -359,7 +361,9 @@ def removed_starts(candidates: DataFrame, buckets: int) -> DataFrame:
     plain = found.where("not done and salt < 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(repeated_within, ways)
     spread = found.where("not done and salt >= 0")
     if spread.isEmpty():
-        return whole.unionByName(plain)
+        out = stored(whole.unionByName(plain), "starts")
+        release(found)
+        return out
     runs = spread.groupBy("anchor", "salt").applyInArrow(sorted_strings, "anchor long, strings binary, least binary")
     least = stored(runs.groupBy("anchor").applyInArrow(merged_strings, "anchor long, string binary, least long"), "strings")
     own = spread.where(F.octet_length("content") >= SPAN).select("anchor", "doc_id", "starts", "content", F.explode(F.sequence(F.lit(0), F.octet_length("content") - SPAN)).alias("at"))
@@ -371,7 +375,9 @@ def removed_starts(candidates: DataFrame, buckets: int) -> DataFrame:
             row, start = _occurrences(b.column("starts").to_pylist(), np.arange(len(at)), at.astype(np.int64))
             yield from _spans(b.column("doc_id").to_numpy()[row], start).to_batches()
 
-    return whole.unionByName(plain).unionByName(hits.mapInArrow(shift, ways))
+    out = stored(whole.unionByName(plain).unionByName(hits.mapInArrow(shift, ways)), "starts")
+    release(found, least)
+    return out
 
 
 def cut_texts(candidates: DataFrame, starts: DataFrame) -> DataFrame:
@@ -413,7 +419,8 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = stored(shared_anchors(own, buckets), "anchors")
     wanted = stored(found.select("doc_id"), "wanted")
     candidates = stored(keys_join(own, wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).join(found, "doc_id"), "candidates")
-    starts = stored(removed_starts(candidates, buckets), "starts")
+    release(found, wanted, copies)
+    starts = removed_starts(candidates, SHARDS * buckets)
     return meta, stored(cut_texts(candidates, starts), "cuts")
 
 
