@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Text bytes that are handled at once; a longer text is handled alone.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
