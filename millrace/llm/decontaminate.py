@@ -1,14 +1,15 @@
 """Benchmark decontamination by template canonicalisation (operator 6), with DataFrame functions only.
 
 Texts become templates: lower-cased words, with numbers, units after numbers and names (capitalised words that do not begin a
-sentence) replaced by typed placeholders. Windows of WINDOW template tokens of a benchmark item are hashed at every position,
-those of documents at every STRIDE-th one, and joined: a shared run of WINDOW + STRIDE - 1 tokens or more is met at least once.
-Documents that meet an item are then compared at every position. On each alignment (difference of the positions) a
-placeholder's item value must always stand for the same value in the document: that is how a re-parameterised question
-reads, whereas windows that only look alike do not agree. A document leaks an item if consistent windows on one alignment
-cover COVERAGE of the item's windows.
-
-An item or document of fewer tokens than a window is one window. Defined cases: null and empty texts, and items without tokens, match nothing;
+sentence) replaced by typed placeholders. Windows of WINDOW template tokens are hashed at every position of benchmark items and
+of documents, and joined: every shared run of WINDOW tokens or more is met. Documents that meet an item are then compared. On
+each alignment (difference of the positions) a placeholder's item value must always stand for the same value in the document:
+that is how a re-parameterised question reads, whereas windows that only look alike do not agree. A document leaks an item if
+consistent windows on one alignment cover COVERAGE of the item's windows.
+
+An item of fewer tokens than a window is one window of its own length, and documents have windows of each such length that
+occurs; one without a plain word is compared by its values, for its template alone would be in nearly every document.
+Defined cases: null and empty texts, and items without tokens, match nothing;
 repeated document rows give one result row; rows with a null id take no part; extra columns are ignored.
 """
 
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 from .scratch import keys_join, stored
 
 WINDOW = 8
-STRIDE = 4
 COVERAGE = 0.5
 #: Share of the slots on an alignment that must be consistent.
 CONSISTENT = 0.8
@@ -44,27 +44,62 @@ def template(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.coalesce(_slot(t), t))
 
 
-def window_hashes(tokens: Column, stride: int) -> Column:
-    """Hashes of the windows that start at positions 1, 1 + stride, ...; one hash of the whole if there are fewer tokens."""
+def _bound(value: Column, of) -> Column:
+    """of(value), with value made once and not for each use."""
+    return F.element_at(F.transform(F.array(value), of), 1)
 
-    def of(t: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(t) - WINDOW + 1), F.lit(stride))
-        return F.when(F.size(t) > 0, F.transform(starts, lambda i: F.xxhash64(F.slice(t, i, WINDOW))))
 
-    return F.element_at(F.transform(F.array(tokens), of), 1)  # binds tokens, so that they are made once and not for each window
+def window_hashes(tokens: Column, length: int) -> Column:
+    """Hashes of the windows of `length` tokens at positions 0, 1, ...; none if there are fewer tokens."""
+
+    def of(codes: Column, values: Column | None = None) -> Column:
+        def one(i: Column) -> Column:
+            h = F.xxhash64(F.slice(codes, i, length))
+            if values is None:
+                return h
+            return F.when(F.exists(F.slice(tokens, i, length), lambda t: _slot(t).isNull()), h).otherwise(F.xxhash64(F.slice(values, i, length), F.lit(0)))
+
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(tokens) - (length - 1)))
+        return F.when(F.size(tokens) >= length, F.transform(starts, one)).otherwise(F.array().cast("array<bigint>"))
+
+    codes = F.transform(template(tokens), lambda t: F.xxhash64(t))
+    if length == WINDOW:
+        return _bound(codes, lambda c: of(c))
+    return _bound(codes, lambda c: _bound(F.transform(tokens, lambda t: F.xxhash64(t)), lambda v: of(c, v)))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """item_id, at (position from 0), h, n_windows, tokens of the window."""
-    rows = items.where("item_id is not null and text is not null").dropDuplicates(["item_id", "text"]).select("item_id", marked_tokens(F.col("text")).alias("tokens"))
-    rows = rows.withColumn("hashes", window_hashes(template(F.col("tokens")), 1)).where("hashes is not null")
-    out = rows.select("item_id", "tokens", F.size("hashes").alias("n_windows"), F.posexplode("hashes").alias("at", "h"))
-    return out.select("item_id", "at", "h", "n_windows", F.slice("tokens", F.col("at") + 1, WINDOW).alias("item_tokens"))
+    """item_id, at (position from 0), inside, length, h, n_windows, tokens of the window.
+
+    Within a sentence an item's capitalised first word reads as a name, so its first window is given in that reading too
+    (`inside`); there the word itself must be the document's."""
+    rows = items.where("item_id is not null and text is not null").dropDuplicates(["item_id", "text"])
+    first = marked_tokens(F.col("text"))
+    within = F.slice(marked_tokens(F.concat(F.lit("a "), F.ltrim("text"))), 2, 1 << 30)
+    rows = rows.select("item_id", first.alias("first"), within.alias("within"))
+    rows = rows.select("item_id", F.posexplode(F.array("first", "within")).alias("reading", "tokens"), F.get("first", F.lit(0)).alias("word"))
+    rows = rows.where((F.col("reading") == 0) | (F.get("tokens", F.lit(0)) != F.col("word")))
+    rows = rows.select("item_id", (F.col("reading") == 1).alias("inside"), "tokens", F.least(F.size("tokens"), F.lit(WINDOW)).alias("length")).where("length > 0")
+    hashes = F.coalesce(*[F.when(F.col("length") == n, window_hashes(F.col("tokens"), n)) for n in range(1, WINDOW + 1)])
+    out = rows.withColumn("hashes", hashes).select("item_id", "inside", "tokens", "length", F.size("hashes").alias("n_windows"), F.posexplode("hashes").alias("at", "h"))
+    return out.where("not inside or at = 0").select("item_id", "at", "inside", "length", "h", "n_windows", F.expr("slice(tokens, at + 1, length)").alias("item_tokens"))
+
+
+def document_windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, h of the windows of all lengths; only hashes meet the items."""
+    hashes = _bound(marked_tokens(F.col("text")), lambda t: F.concat(*[window_hashes(t, n) for n in lengths]))
+    return docs.select("doc_id", F.explode(hashes).alias("h"))
+
+
+def placed_windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, place (position from 0), h, tokens of the window."""
+    rows = docs.select("doc_id", marked_tokens(F.col("text")).alias("tokens"))
 
+    def placed(n: int) -> Column:
+        return F.transform(window_hashes(F.col("tokens"), n), lambda h, i: F.struct(i.alias("place"), F.lit(n).alias("length"), h.alias("h")))
 
-def document_windows(docs: DataFrame, stride: int) -> DataFrame:
-    rows = docs.select("doc_id", template(marked_tokens(F.col("text"))).alias("tokens"))
-    return rows.select("doc_id", F.explode(window_hashes(F.col("tokens"), stride)).alias("h"))
+    rows = rows.select("doc_id", "tokens", F.explode(F.concat(*map(placed, lengths))).alias("w")).select("doc_id", "tokens", "w.*")
+    return rows.select("doc_id", "place", "h", F.expr("slice(tokens, place + 1, length)").alias("doc_tokens"))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -72,14 +107,12 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     windows = stored(benchmark_windows(items), "windows")
     keys = windows.select("h").distinct()
-    met = keys_join(document_windows(docs, STRIDE), stored(keys, "window-keys"), "h", "inner")
+    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect()) or [WINDOW]  # bounded: WINDOW values
+    met = keys_join(document_windows(docs, lengths), stored(keys, "window-keys"), "h", "inner")
     wanted = stored(met.select("doc_id").distinct(), "met")
     found = keys_join(docs, wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    rows = found.select("doc_id", marked_tokens(F.col("text")).alias("tokens"))
-    rows = rows.withColumn("hashes", window_hashes(template(F.col("tokens")), 1))
-    rows = rows.select("doc_id", "tokens", F.posexplode("hashes").alias("place", "h"))
-    rows = rows.select("doc_id", "place", "h", F.slice("tokens", F.col("place") + 1, WINDOW).alias("doc_tokens"))
-    hits = keys_join(rows, windows, "h", "inner", 100_000).withColumn("shift", F.col("place") - F.col("at"))
+    hits = keys_join(placed_windows(found, lengths), windows, "h", "inner", 100_000).withColumn("shift", F.col("place") - F.col("at"))
+    hits = hits.where(~F.col("inside") | (F.get("item_tokens", F.lit(0)) == F.get("doc_tokens", F.lit(0))))
     hits = stored(hits, "window-hits")
     slots = hits.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("item_tokens", "doc_tokens")).alias("t")).where(_slot(F.col("t.item_tokens")).isNotNull())
     slots = slots.groupBy("doc_id", "item_id", "shift", "t.item_tokens").agg(F.countDistinct("t.doc_tokens").alias("values"))

@@ -318,6 +318,17 @@ def test_leaks(spark):
     assert find_leaks(docs.limit(0), items).count() == 0 and find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items_at_every_place(spark):
+    pre = "one more plain line of words".split()
+    ten = "which river flows past seven old towns before reaching sea"
+    items = [(1, "What is 12 times 7 plus 3?"), (2, " ".join(ten.split()[:8])), (3, " ".join(ten.split()[:9])), (4, ten), (5, "12 km"), (6, "Blue?")]
+    docs = [(10 * k + n, " ".join(pre[:n]) + " " + text + " and then it goes on for some more words") for k, text in items for n in range(5)]
+    docs += [(100, "so what is 31 times 9 plus 4 after all of this, nobody can tell"), (101, "it was 31 miles to the town and 12 days of rain in all that time")]
+    got = {(r.doc_id, r.item_id) for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(10 * k + n, k) for k, _ in items for n in range(5)} <= got
+    assert (100, 1) in got and not [x for x in got if x[0] == 101 or (x[1] in (1, 5, 6) and x[0] != 100 and x[0] // 10 != x[1])]
+
+
 def test_leaks_of_table_match_plain_search(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
