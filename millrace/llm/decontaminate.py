@@ -1,11 +1,13 @@
 """Benchmark decontamination by template canonicalisation (operator 6), with DataFrame functions only.
 
-Texts become templates: lower-cased words, with numbers, units after numbers and names (capitalised words that do not begin a
-sentence) replaced by typed placeholders. Windows of WINDOW template tokens are hashed at every position of benchmark items and
+Texts become templates: lower-cased words, with numbers (and a unit after one) and names (runs of capitalised words that do not
+begin a sentence) each replaced by one typed placeholder. Windows of WINDOW template tokens are hashed at every position of benchmark items and
 of documents, and joined: every shared run of WINDOW tokens or more is met. Documents that meet an item are then compared. On
 each alignment (difference of the positions) a placeholder's item value must always stand for the same value in the document:
-that is how a re-parameterised question reads, whereas windows that only look alike do not agree. A document leaks an item if
-consistent windows on one alignment cover COVERAGE of the item's windows.
+that is how a re-parameterised question reads, whereas windows that only look alike do not agree. A word put in or left out
+moves the later windows to another alignment, so the item's positions covered by neighbouring alignments are counted together
+too. A document leaks an item if consistent windows on one alignment, or on neighbouring ones, cover COVERAGE of the item's
+windows.
 
 An item of fewer tokens than a window is one window of its own length, and documents have windows of each such length that
 occurs; one without a plain word is compared by its values, for its template alone would be in nearly every document.
@@ -15,7 +17,7 @@ repeated document rows give one result row; rows with a null id take no part; ex
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import keys_join, stored
@@ -25,19 +27,25 @@ COVERAGE = 0.5
 #: Share of the slots on an alignment that must be consistent.
 CONSISTENT = 0.8
 UNITS = "km|cm|mm|m|kg|mg|g|lb|lbs|oz|l|ml|mph|kmh|s|sec|seconds|min|minutes|h|hours|days|weeks|months|years|dollars|euros|cents|percent|miles|feet|inches|meters|metres|grams|liters|litres"
-_NAME, _UNIT = "\u0004", "\u0003"
+#: Small words within a name.
+PARTICLES = "al|bin|da|de|del|della|den|der|di|dos|du|la|van|von"
+#: Most tokens by which one alignment may differ from the next one that is counted with it; less than a window.
+DRIFT = WINDOW - 1
+_NAME, _END = "\u0004", "\u0005"
 
 
 def marked_tokens(text: Column) -> Column:
-    """Lower-cased words and numbers; names and units carry a mark in front."""
-    named = F.regexp_replace(text, r"\p{Lu}(?<=[^.!?\s]\s{1,3}\p{Lu})\p{Ll}+", f"{_NAME}$0")
-    united = F.regexp_replace(named, rf"(?<=\p{{N}}\s{{0,2}})(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{_UNIT}$0")
-    return F.regexp_extract_all(F.lower(united), F.lit(rf"[{_UNIT}{_NAME}]?(?:\p{{N}}+(?:[.,]\p{{N}}+)*|\p{{L}}+)"), F.lit(0))
+    """Lower-cased words, names and numbers. A run of names is one token with a mark in front, a number and its unit are one too."""
+    run = rf"\p{{Lu}}(?<=[^.!?\s]\s{{1,3}}\p{{Lu}})\p{{Ll}}+\p{{L}}*(?:\s{{1,3}}(?:(?:{PARTICLES})\s{{1,3}}){{0,2}}\p{{Lu}}\p{{Ll}}+\p{{L}}*)*"
+    named = F.regexp_replace(F.translate(text, _NAME + _END, "  "), run, f"{_NAME}$0{_END}")
+    number = rf"\p{{N}}+(?:[.,]\p{{N}}+)*(?:\s{{0,2}}(?:{UNITS})(?![\p{{L}}\p{{N}}]))?"
+    found = F.regexp_extract_all(F.lower(named), F.lit(rf"{_NAME}[^{_END}]+|{number}|\p{{L}}+"), F.lit(0))
+    return F.transform(found, lambda t: F.when(_slot(t).isNotNull(), F.regexp_replace(t, r"\s+", " ")).otherwise(t))
 
 
 def _slot(token: Column) -> Column:
     """The placeholder of a marked token, or null for a plain word."""
-    return F.when(token < F.lit("\u0005"), F.substring(token, 1, 1)).when(token < F.lit(":"), F.lit("0"))
+    return F.when(token < F.lit(_END), F.lit(_NAME)).when(token < F.lit(":"), F.lit("0"))
 
 
 def template(tokens: Column) -> Column:
@@ -114,16 +122,32 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = keys_join(placed_windows(found, lengths), windows, "h", "inner", 100_000).withColumn("shift", F.col("place") - F.col("at"))
     hits = hits.where(~F.col("inside") | (F.get("item_tokens", F.lit(0)) == F.get("doc_tokens", F.lit(0))))
     hits = stored(hits, "window-hits")
-    slots = hits.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("item_tokens", "doc_tokens")).alias("t")).where(_slot(F.col("t.item_tokens")).isNotNull())
-    slots = slots.groupBy("doc_id", "item_id", "shift", "t.item_tokens").agg(F.countDistinct("t.doc_tokens").alias("values"))
-    slots = slots.groupBy("doc_id", "item_id", "shift").agg(F.count(F.lit(1)).alias("n_slots"), F.count_if(F.col("values") == 1).alias("slots_consistent"))
-    covered = hits.groupBy("doc_id", "item_id", "shift").agg(F.countDistinct("at").alias("k"), F.max("n_windows").alias("n"), F.min("place").alias("at"))
-    both = covered.join(slots, ["doc_id", "item_id", "shift"], "left").select(
-        "doc_id", "item_id", (F.col("k") / F.col("n")).alias("coverage"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("slots_consistent", F.lit(0)).alias("slots_consistent"), "at", "shift"
+    pair = ["doc_id", "item_id"]
+    # Candidates: single alignments, those from each one to DRIFT more, and chains of alignments at most DRIFT apart.
+    shifts = hits.groupBy(*pair, "shift").agg(F.countDistinct("at").alias("weight"))
+    order = Window.partitionBy(*pair).orderBy("shift")
+    fresh = F.coalesce(F.col("shift") - F.lag("shift").over(order) > DRIFT, F.lit(True))
+    shifts = shifts.withColumn("fresh", fresh.cast("int")).withColumn("chain", F.sum("fresh").over(order))
+    spans = F.transform(F.sequence(F.lit(0), F.lit(DRIFT)), lambda k: F.struct(F.lit(1).alias("kind"), (F.col("shift") - k).cast("long").alias("key")))
+    single = F.struct(F.lit(0).alias("kind"), F.col("shift").cast("long").alias("key"))
+    chain = F.struct(F.lit(2).alias("kind"), F.col("chain").cast("long").alias("key"))
+    shifts = shifts.withColumn("alone", F.count(F.lit(1)).over(Window.partitionBy(*pair, "chain")) == 1)
+    shifts = shifts.select(*pair, "shift", "weight", F.explode(F.when(F.col("alone"), F.array(single)).otherwise(F.concat(F.array(single, chain), spans))).alias("c"))
+    # Each position of the item counts once in a candidate, at its place on the alignment with most windows.
+    placed = hits.join(shifts.select(*pair, "shift", "weight", "c.*"), [*pair, "shift"])
+    best = F.max_by(F.struct("place", "shift", "item_tokens", "doc_tokens", "n_windows"), F.struct("weight", -F.col("shift")))
+    placed = stored(placed.groupBy(*pair, "kind", "key", "at").agg(best.alias("m")).select(*pair, "kind", "key", "at", "m.*"), "placed-hits")
+    union = [*pair, "kind", "key"]
+    slots = placed.select(*union, F.explode(F.arrays_zip("item_tokens", "doc_tokens")).alias("t")).where(_slot(F.col("t.item_tokens")).isNotNull())
+    slots = slots.groupBy(*union, "t.item_tokens").agg(F.countDistinct("t.doc_tokens").alias("values"))
+    slots = slots.groupBy(*union).agg(F.count(F.lit(1)).alias("n_slots"), F.count_if(F.col("values") == 1).alias("slots_consistent"))
+    covered = placed.groupBy(*union).agg(F.count(F.lit(1)).alias("k"), F.max("n_windows").alias("n"), F.min("place").alias("at"))
+    both = covered.join(slots, union, "left").select(
+        *union, (F.col("k") / F.col("n")).alias("coverage"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("slots_consistent", F.lit(0)).alias("slots_consistent"), "at"
     )
     good = both.where((F.col("coverage") >= COVERAGE) & (F.col("slots_consistent") >= CONSISTENT * F.col("n_slots")))
-    best = good.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("coverage", "n_slots", "slots_consistent", "at"), F.struct("coverage", -F.col("shift"))).alias("b"))
-    return best.select("doc_id", "item_id", "b.*")
+    best = good.groupBy(*pair).agg(F.max_by(F.struct("coverage", "n_slots", "slots_consistent", "at"), F.struct("coverage", -F.col("kind"), -F.col("key"))).alias("b"))
+    return best.select(*pair, "b.*")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:

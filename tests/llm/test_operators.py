@@ -329,6 +329,23 @@ def test_leaks_of_short_items_at_every_place(spark):
     assert (100, 1) in got and not [x for x in got if x[0] == 101 or (x[1] in (1, 5, 6) and x[0] != 100 and x[0] // 10 != x[1])]
 
 
+def test_leaks_of_edited_items(spark):
+    left = "the old mill by the quiet river was run for many years by a family that sold flour to"
+    right = "and every morning the carts came over the bridge with grain from farms around the wide green valley below"
+    text = f"{left} Alice Moore for 12 km of rope {right}"
+    edits = {
+        1: text.replace("Alice Moore", "Maria"), 2: text.replace("Alice Moore", "Maria del Carmen Lopez Ruiz"), 3: text.replace("12 km", "31"),
+        4: text.replace("flour to", "fine flour to"), 5: text.replace("and every", "and so every"), 6: text.replace("rope and", "and"),
+        7: " ".join(reversed(text.split())), 8: left, 9: f"{text.replace('and every', 'and so every').replace('12 km', '31 km')}. Then {text.replace('and every', 'and so every').replace('12 km', '47 km')}",
+    }
+    plain = f"{left} nobody at all in town {right}"
+    words = plain.split()
+    edits |= {10 + n: " ".join(words[:n] + ["indeed"] * (n - 17) + words[n:]) for n in (18, 20, 22)}
+    got = {(r.doc_id, r.item_id) for r in find_leaks(spark.createDataFrame([(k, "See here: " + t) for k, t in edits.items()], "doc_id long, text string"), spark.createDataFrame([(1, text), (2, plain)], "item_id long, text string")).collect()}
+    assert {k for k, i in got if i == 1} >= {1, 2, 3, 4, 5, 6, 9} and {k for k, i in got if i == 2} >= {28, 30, 32}
+    assert not {k for k, _ in got} & {7, 8}
+
+
 def test_leaks_of_table_match_plain_search(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
