@@ -271,6 +271,41 @@ def test_language_held_out(documents):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) >= 0.9
 
 
+def test_language_of_rare_scripts(spark):
+    rng = np.random.default_rng(5)
+    stock = {"en": ["plain", "words", "quick", "jumps", "fox!\"#$%", "v&'()*z", "+,-./:;", "<=>?@[", "\\\\]^_`{|}~"], "ru": ["мыло", "рыба", "дома", "этот"], "uk": ["їжак", "ґава", "єнот", "село"]}
+    rows = [(i, " ".join(rng.choice(stock[lang], 400 if lang == "en" else 12)), lang) for i, lang in enumerate(["en", "en", "en", "ru", "uk"] * 40)]
+    got = [r for r in predict_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect() if r.held_out and rows[r.doc_id][2] != "en"]
+    assert len(got) >= 5 and all(r.lang_pred == rows[r.doc_id][2] for r in got)
+
+
+def test_language_code_lengths_match_plain_ppm():
+    from millrace.llm.language_id import code_lengths, contexts, tree
+
+    def keys(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return contexts(raw, np.array([0, len(raw)]))
+
+    seen, n = np.unique(keys("the cat sat on the mat, и мыло"), return_counts=True)
+    count = dict(zip(seen.tolist(), n.tolist()))
+
+    def chance(ctx, d):  # the chances of all 256 bytes after the last d bytes of ctx
+        below = chance(ctx, d - 1) if d else [1 / 256] * 256
+        c = [0] * 256
+        for k, m in count.items():
+            if (k >> 8) % 256**d == ctx % 256**d:
+                c[k % 256] += m
+        if not sum(c):
+            return below
+        kinds, total = sum(x > 0 for x in c), sum(c)
+        rest = sum(b for b, x in zip(below, c) if not x)
+        return [x / (total + kinds) if x else kinds / (total + kinds) * b / rest for b, x in zip(below, c)]
+
+    asked = keys("that mат zoo")
+    want = [-math.log2(chance(int(k) >> 8, 3)[int(k) % 256]) for k in asked]
+    assert np.allclose(code_lengths(tree(seen, n), asked), want, atol=1e-4)
+
+
 def test_language_awkward(awkward, nothing):
     got = {r.doc_id: r for r in predict_languages(awkward).collect()}
     assert got[1].lang_pred == got[2].lang_pred == got[3].lang_pred == got[10].lang_pred == "und" and got[9].lang_pred == "en"
