@@ -191,7 +191,7 @@ def review_suggestions(spark, sf):
 @query(f"WITH a AS (SELECT doc_id AS id, lower(text) AS t FROM documents) SELECT rule, count(*) AS n, count(DISTINCT id) AS ids FROM ({_RULES_SQL}) WHERE match IS NOT NULL GROUP BY rule")
 def review_suggestions_per_rule(spark, sf):
     rows = suggestions(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
-    return rows.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")).where("rule != 'em_dash_habit'")
+    return rows.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
 
 
 @query(f"""WITH {REASONS}, {FLAGS} SELECT id FROM flags WHERE id NOT IN (SELECT id FROM kept) AND id NOT IN (SELECT id FROM ex WHERE length(response) < 200)""")

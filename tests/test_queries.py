@@ -38,6 +38,12 @@ def test_query_matches_sql(name, spark, sf, duck):
     assert got == sorted(tuple(plain(r[names.index(c)]) for c in cols) for r in rel.fetchall())
 
 
+def test_suggestions_per_rule_report_dashes(spark, tmp_path):
+    spark.createDataFrame([(1, "one — two — three"), (2, "one — dash"), (3, "In summary, no — it is — so")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["rule"]: (r["n"], r["ids"]) for r in QUERIES["review_suggestions_per_rule"](spark, str(tmp_path)).collect()}
+    assert got == {"em_dash_habit": (2, 2), "wrap_up_repeat": (1, 1)}
+
+
 def test_entry_has_stable_columns(spark):
     import __spark_entry__ as e
 
