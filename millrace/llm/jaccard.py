@@ -3,16 +3,19 @@
 A document is the set of its distinct five-word shingles (64-bit hashes). Two documents link when 100 * |A & B| >= 75 * |A | B|.
 
 1. Documents with the same set form a class; only its representative, the smallest doc_id, goes on.
-2. All shingles of all documents are counted (summed within a task first). Those of FREQUENT documents or more come last in
-   the global order, rarer first; all others are ordered by hash.
-3. Linked sets share a shingle among their first |A| - ceil(0.75 |A|) + 1 ones. Only these prefixes are gathered by shingle.
-4. Candidates come in rounds: within each shingle's documents, all are paired with a few pivots; links merge components, and
-   documents whose component is that of their partners need no further comparison. When few pairs of different components
-   are left, or pivots no longer help, every remaining pair is compared. So no link between components is lost, and a group
-   of n near copies costs about n comparisons.
-5. A comparison cuts both sets by FRAGMENTS of the global order; fragments are joined, their overlaps counted separately,
-   and summed for each pair. The PROBE fragment comes first: a pair that cannot reach the overlap it needs even if all the
-   rest is common goes no further, so only real near copies move their other fragments.
+2. The shingle order is cut into fragments (ranges of hashes). Each fragment's inverted list tells which of its shingles at
+   least two sets have; a set's shared shingles are summed over the fragments. An overlap holds shared shingles only, and a
+   link needs an overlap of t = ceil(0.75 |A|). The first fragments (PROBE of the order) are counted for all sets: one with more
+   than |A| - t unshared shingles there links with nothing and goes no further. The other fragments are counted for the rest.
+   HEAVY shingles (found in the first pass by their count within a task's share) are shared for certain: they go straight to
+   their documents and never meet in one fragment.
+3. Of a set with s >= t shared shingles any link shares one of the first s - t + 1, rarer shingles first.
+4. Candidates come in rounds. First, sets are paired with the smallest doc_id that has the same minimum of a hash function, for
+   a few functions: that joins most groups of near copies by stars. Then, for each such leading shingle that sets of different
+   components have, one set a component is compared with one of another; last, every pair of sets of different components
+   whose sizes and places in the order allow a link. So no link between components is lost, and a group of n near copies
+   costs some n comparisons.
+5. A comparison joins the fragments of both sets, counts their overlaps separately and sums them for each pair.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and link with nothing; fewer than five words
 are one shingle; repeated rows are returned each; rows with a null doc_id are returned with component_id null and take no
@@ -23,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
@@ -31,18 +34,21 @@ from .components import components
 from .scratch import keys_join, pieces, release, stored, text_bytes
 
 WIDTH = 5
-#: Documents that make a shingle frequent, and most frequent shingles that are told to all tasks (the commonest ones).
-FREQUENT = 48
-MOST_FREQUENT = 1_000_000
+#: Sets with a shingle within HELD_BYTES of text that make it heavy, and most heavy shingles that are told to all tasks.
+HEAVY = 48
+MOST_HEAVY = 1_000_000
+#: Share of the shingle order that is counted for all sets, in eighths.
+PROBE = 3
+#: Fragments of a comparison.
 FRAGMENTS = 4
-#: The first fragment is the part of hash values below one PROBE-th.
-PROBE = 6
-PIVOTS = 3
-ROUNDS = 6
-#: Text bytes whose shingles one bucket holds.
-BUCKET_BYTES = 12 << 20
+#: Hash functions of the first round, and most rounds of one set a component.
+FUNCTIONS = 4
+TURNS = 3
+#: Text bytes whose shingles one fragment holds.
+FRAGMENT_BYTES = 12 << 20
 #: Text bytes that a task sums up before it hands on.
 HELD_BYTES = 10 << 20
+LOW = B.U(PROBE << 61)
 
 
 def sets_of(batch: pa.RecordBatch, width: int = WIDTH):
@@ -50,108 +56,97 @@ def sets_of(batch: pa.RecordBatch, width: int = WIDTH):
     return B.shingle_sets(words, rows, width)
 
 
-def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles and two sums that equal sets share, for every row."""
+def least_overlap(n: Column) -> Column:
+    """ceil(0.75 n): the overlap that a set of n shingles needs with any set that it links with."""
+    return ((3 * n + 3) / 4).cast("long")
 
-    def sign(batches):
-        for b in B.slices(batches):
-            h, off = sets_of(b, width)
-            sums = []
-            for salt in (0x51, 0xA7):
-                c = np.zeros(len(h) + 1, np.uint64)
-                np.cumsum(B.mix(h + B.U(salt)), out=c[1:])
-                sums.append(pa.array((c[off[1:]] - c[off[:-1]]).view(np.int64)))
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "n_shingles": pa.array(np.diff(off)), "s1": sums[0], "s2": sums[1]})
-
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long")
 
+def links(common: Column, na: Column, nb: Column) -> Column:
+    return 100 * common >= 75 * (na + nb - common)
 
-def frequent_shingles(docs: DataFrame, buckets: int, least: int = FREQUENT, most: int = MOST_FREQUENT) -> np.ndarray:
-    """The (key, count) of shingles of `least` documents or more, ascending by key; the `most` commonest if there are more.
 
-    The key is the upper half of the hash. Shingles that share a key are counted together: the order stays one and the same for
-    all documents, which is all that it has to be."""
+def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles, n_low (of them in the PROBE part) and two sums that equal sets share, for every row (real); other
+    rows hold (heavy, counts): packed shingles of HEAVY different sets within a task's share."""
 
-    def count(batches):
+    def sign(batches):
         held, size = [], 0
 
-        def flush():
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            small = np.minimum(n, 255).astype(np.uint8)  # a task hands a commoner shingle on again
-            while len(h):
-                b, cut = B.by_bucket(h.astype(np.uint64) << B.U(32), buckets)
-                yield pa.record_batch({"bucket": pa.array(b), "h": B.blobs([h[i:j] for i, j in zip(cut, cut[1:])]), "n": B.blobs([small[i:j] for i, j in zip(cut, cut[1:])])})
-                n = n - small
-                h, n = h[n > 0], n[n > 0]
-                small = np.minimum(n, 255).astype(np.uint8)
+        def heavy():
+            _, first = np.unique(np.concatenate([s for s, _, _ in held]), return_index=True)
+            sets = [h[i:j] for _, h, off in held for i, j in zip(off, off[1:])]
+            h, n = np.unique(np.concatenate([sets[k] for k in first]), return_counts=True)
+            keep = n >= HEAVY
+            none = pa.array([0], pa.int64())
+            return pa.record_batch({"doc_id": none, "n_shingles": none, "n_low": none, "s1": none, "s2": none, "real": pa.array([False]), "heavy": B.blobs([h[keep]]), "counts": B.blobs([n[keep].astype(np.int64)])})
 
         for b in B.slices(batches):
-            held.append((sets_of(b)[0] >> B.U(32)).astype(np.uint32))
+            h, off = sets_of(b, width)
+            sums = []
+            for salt in (0x51, 0xA7):
+                c = np.zeros(len(h) + 1, np.uint64)
+                np.cumsum(B.mix(h + B.U(salt)), out=c[1:])
+                sums.append(c[off[1:]] - c[off[:-1]])
+            low = np.concatenate([[0], np.cumsum(h < LOW)])
+            none = pa.nulls(len(off) - 1, pa.binary())
+            yield pa.record_batch({
+                "doc_id": b.column("doc_id"), "n_shingles": pa.array(np.diff(off)), "n_low": pa.array(low[off[1:]] - low[off[:-1]]),
+                "s1": pa.array(sums[0].view(np.int64)), "s2": pa.array(sums[1].view(np.int64)), "real": pa.array(np.ones(len(off) - 1, bool)), "heavy": none, "counts": none,
+            })
+            held.append((sums[0], h, off))
             size += b.column("text").nbytes
             if size > HELD_BYTES:
-                yield from flush()
+                yield heavy()
                 held, size = [], 0
         if held:
-            yield from flush()
+            yield heavy()
 
-    def total(table: pa.Table) -> pa.Table:
-        h, n = B.joined(table.column("h"), np.uint32), B.joined(table.column("n"), np.uint8)
-        order = np.argsort(h)
-        h, n = h[order], n[order].astype(np.int64)
-        at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        sums = np.add.reduceat(n, at) if len(at) else n
-        keep = sums >= least
-        return pa.table({"h": pa.array(h[at][keep].astype(np.int64)), "n": pa.array(sums[keep])})
-
-    spread = docs.select("text").mapInArrow(count, "bucket long, h binary, n binary").repartition(buckets, "bucket")
-    common = stored(spread.groupBy("bucket").applyInArrow(total, "h long, n long"), "frequent")
-    while common.limit(most + 1).count() > most:
-        least *= 2
-        common = common.where(F.col("n") >= least)
-    got = common.toArrow()  # at most `most` rows
-    h, n = got.column("h").to_numpy().astype(np.uint32), got.column("n").to_numpy()
-    order = np.argsort(h)
-    return np.rec.fromarrays([h[order], n[order]], names="h,n")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n_shingles long, n_low long, s1 long, s2 long, real boolean, heavy binary, counts binary")
 
 
-def rank_class(h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """0 for shingles that are not frequent, else 1 + the logarithm of their count: the leading part of the global order."""
-    out = np.zeros(len(h), np.uint64)
-    if len(frequent) and len(h):
-        key = (h >> B.U(32)).astype(np.uint32)
-        at = np.minimum(np.searchsorted(frequent.h, key), len(frequent) - 1)
-        hit = frequent.h[at] == key
-        out[hit] = 1 + np.log2(frequent.n[at[hit]]).astype(np.uint64)
-    return out
+def heavy_shingles(signs: DataFrame) -> np.ndarray:
+    """(h, rank) of the heavy shingles, ascending by h; the MOST_HEAVY commonest if there are more."""
 
+    def unpack(batches):
+        for b in batches:
+            yield pa.record_batch({"h": pa.array(B.joined(b.column("heavy"), np.int64)), "c": pa.array(B.joined(b.column("counts"), np.int64))})
+
+    rows = signs.where(~F.col("real") & (F.octet_length("heavy") > 0)).select("heavy", "counts").mapInArrow(unpack, "h long, c long")
+    got = rows.groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(MOST_HEAVY).toArrow()
+    h, c = got.column("h").to_numpy().view(np.uint64), got.column("c").to_numpy()
+    order = np.argsort(h)
+    return np.rec.fromarrays([h[order], (128 + np.log2(np.maximum(1, c[order]))).astype(np.uint8)], names="h,rank")
 
-def prefix_postings(docs: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """(h, doc, n): the documents that have a shingle in their prefix, for shingles with two or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT rows
+
+def shared_shingles(docs: DataFrame, heavy: np.ndarray, low: bool, count: int) -> DataFrame:
+    """(doc, h, rank): of each document the packed shingles of the PROBE part, or of the rest, that another one has too, a row
+    for each fragment; rank is 2 to 127 by the number of sets, from 128 for heavy ones."""
+    shared = docs.sparkSession.sparkContext.broadcast(heavy)  # at most MOST_HEAVY rows
 
     def emit(batches):
+        known = shared.value
         held, size = [], 0
 
         def flush():
-            h, doc, n = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(h, kind="stable")
-            h, doc, n = h[order], doc[order], n[order]
-            b, cut = B.by_bucket(h, buckets)
-            return pa.record_batch({"bucket": pa.array(b), **{k: B.blobs([x[i:j] for i, j in zip(cut, cut[1:])]) for k, x in (("h", h), ("doc", doc), ("n", n))}})
+            h, doc = (np.concatenate(x) for x in zip(*held))
+            rank = np.zeros(len(h), np.uint8)
+            if len(known):
+                at = np.minimum(np.searchsorted(known.h, h), len(known) - 1)
+                rank = np.where(known.h[at] == h, known.rank[at], 0).astype(np.uint8)
+            # a heavy shingle goes by its document, any other by its hash (mixed, for the part's hashes are one range)
+            key = B.mix(np.where(rank > 0, doc.view(np.uint64), h))
+            order = np.argsort(key, kind="stable")
+            h, doc, rank, key = h[order], doc[order], rank[order], key[order]
+            base = int(doc.min()) if len(doc) else 0
+            wide = bool(len(doc)) and int(doc.max()) - base >= 1 << 32
+            doc = (doc - base).astype(np.int64 if wide else np.uint32)
+            b, cut = B.by_bucket(key, count)
+            return pa.record_batch({"fragment": pa.array(b), "base": pa.array(np.full(len(b), base)), "wide": pa.array(np.full(len(b), wide)), **{k: B.blobs([x[i:j] for i, j in zip(cut, cut[1:])]) for k, x in (("h", h), ("doc", doc), ("rank", rank))}})
 
         for b in B.slices(batches):
             h, off = sets_of(b)
-            ids = b.column("doc_id").to_numpy()
-            sizes = np.diff(off)
-            first = sizes - -(-sizes * 3 // 4) + (sizes > 0)
-            rank = rank_class(h, shared.value)
-            heavy = np.concatenate([[0], np.cumsum(rank > 0)])
-            for i in np.flatnonzero(heavy[off[1:]] > heavy[off[:-1]]):
-                s = slice(off[i], off[i + 1])
-                h[s] = h[s][np.argsort(rank[s], kind="stable")]
-            take = B.ranges(off[:-1], first)
-            mixed = B.mix(h[take])  # the smallest hashes as they are would crowd in few buckets
-            held.append((mixed, np.repeat(ids, first), np.repeat(sizes, first).astype(np.int32)))
+            take = (h < LOW) == low
+            held.append((h[take], b.column("doc_id").to_numpy()[B.row_of(off)][take]))
             size += b.column("text").nbytes
             if size > HELD_BYTES:
                 yield flush()
@@ -160,144 +155,196 @@ def prefix_postings(docs: DataFrame, frequent: np.ndarray, buckets: int) -> Data
             yield flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        h, doc, n = B.joined(table.column("h"), np.uint64), B.joined(table.column("doc"), np.int64), B.joined(table.column("n"), np.int32)
-        order = np.lexsort((doc, h))
-        h, doc, n = h[order], doc[order], n[order]
-        same = (h[1:] == h[:-1]) & (doc[1:] != doc[:-1])
-        keep = np.zeros(len(h), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        return pa.table({"h": pa.array(h[keep].view(np.int64)), "doc": pa.array(doc[keep]), "n": pa.array(n[keep])})
+        h, rank = B.joined(table.column("h"), np.uint64), B.joined(table.column("rank"), np.uint8)
+        rows = zip(table.column("doc").to_pylist(), table.column("wide").to_pylist(), table.column("base").to_pylist())
+        doc = np.concatenate([np.frombuffer(d, np.int64 if wide else np.uint32).astype(np.int64) + base for d, wide, base in rows])
+        order = np.argsort(h, kind="stable")
+        h, rank, doc = h[order], rank[order].astype(np.int64), doc[order]
+        at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(at, len(h)))
+        rank = np.where(rank > 0, rank, np.repeat(np.minimum(sizes, 127), sizes))
+        keep = rank > 1
+        h, rank, doc = h[keep], rank[keep].astype(np.uint8), doc[keep]
+        order = np.argsort(doc, kind="stable")
+        h, rank, doc = h[order], rank[order], doc[order]
+        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+        ends = np.append(at[1:], len(doc)) if len(doc) else at
+        return pa.table({"doc": pa.array(doc[at]), "h": B.blobs([h[i:j] for i, j in zip(at, ends)]), "rank": B.blobs([rank[i:j] for i, j in zip(at, ends)])})
 
-    rows = docs.select("doc_id", "text").mapInArrow(emit, "bucket long, h binary, doc binary, n binary")
-    return rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, "h long, doc long, n int").distinct()
+    rows = docs.select("doc_id", "text").mapInArrow(emit, "fragment long, base long, wide boolean, h binary, doc binary, rank binary")
+    return rows.repartition(count, "fragment").groupBy("fragment").applyInArrow(meet, "doc long, h binary, rank binary")
 
 
-def fragments(docs: DataFrame, frequent: np.ndarray, probe: bool) -> DataFrame:
-    """(doc, fragment, part): the probe fragment of each set, or all the others; part holds packed ascending hashes."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT rows
-    low = B.U((1 << 64) // PROBE)
-    width = B.U(((1 << 64) - int(low)) // (FRAGMENTS - 2) + 1)
+def shared_sets(parts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Stored (doc, n, s, h, lead, least) of the sets that may link: packed shared shingles ascending, the first s - t + 1 in the
+    global order, and the minimum of each hash function."""
 
-    def cut(batches):
-        for b in B.slices(batches):
-            h, off = sets_of(b)
-            row = B.row_of(off)
-            first = h < low
-            if probe:
-                where = np.zeros(len(h), np.int64)
-            else:
-                where = 1 + (np.where(first, low, h) - low).astype(np.uint64) // width
-                where = np.where(rank_class(h, shared.value) > 0, FRAGMENTS - 1, where.astype(np.int64))
-            take = np.flatnonzero(first == probe)
-            key = (row * FRAGMENTS + where)[take]
-            order = np.argsort(key, kind="stable")
-            key, take = key[order], take[order]
-            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-            ends = np.append(at[1:], len(key)) if len(at) else at
-            yield pa.record_batch({"doc": b.column("doc_id").take(pa.array(key[at] // FRAGMENTS)), "fragment": pa.array((key[at] % FRAGMENTS).astype(np.int32)), "part": B.blobs([h[take[i:j]] for i, j in zip(at, ends)])})
+    def build(batches):
+        for b in batches:
+            hs, leads, least = [], [], []
+            for n, found in zip(b.column("n").to_pylist(), b.column("parts").to_pylist()):
+                h = np.frombuffer(b"".join(x["h"] for x in found), np.uint64)
+                rank = np.frombuffer(b"".join(x["rank"] for x in found), np.uint8)
+                t = -(-3 * n // 4)
+                leads.append(h[np.lexsort((h, rank))[: len(h) - t + 1]])
+                hs.append(np.sort(h))
+                least.append([int(B.mix(h ^ B.U(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)).min().view(np.int64)) for k in range(FUNCTIONS)])
+            sizes = [len(h) for h in hs]
+            yield pa.record_batch({"doc": b.column("doc"), "n": b.column("n"), "s": pa.array(sizes, pa.int64()), "h": B.blobs(hs), "lead": B.blobs(leads), "least": pa.array(least, pa.list_(pa.int64()))})
+
+    found = parts.groupBy("doc").agg(F.collect_list(F.struct("h", "rank")).alias("parts"), F.sum((F.octet_length("h") / 8).cast("long")).alias("s"))
+    found = found.join(sizes.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")), "doc").where(F.col("s") >= least_overlap(F.col("n")))
+    return stored(found.select("doc", "n", "parts").mapInArrow(build, "doc long, n long, s long, h binary, lead binary, least array<long>"), "shared-sets")
+
+
+def leading_shingles(sets: DataFrame) -> DataFrame:
+    """(h, doc, n, s, place): the leading shingles of each set with their place in its order."""
+
+    def unpack(batches):
+        for b in batches:
+            k = np.array([len(x) // 8 for x in b.column("lead").to_pylist()], np.int64)
+            cols = {c: pa.array(np.repeat(b.column(c).to_numpy(), k)) for c in ("doc", "n", "s")}
+            yield pa.record_batch({"h": pa.array(B.joined(b.column("lead"), np.int64)), **cols, "place": pa.array(B.ranges(np.zeros(len(k), np.int64), k))})
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc long, fragment int, part binary")
+    return sets.select("doc", "n", "s", "lead").mapInArrow(unpack, "h long, doc long, n long, s long, place long")
 
 
-def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a, b, na, nb, ...) with met, the sum of their fragments' overlaps, and kx and ky, the sizes of the parts that met."""
+def segments(sets: DataFrame) -> DataFrame:
+    """(doc, fragment, part): the fragments of each set."""
+
+    def cut(batches):
+        edges = (np.arange(1, FRAGMENTS, dtype=np.uint64) * B.U((1 << 64) // FRAGMENTS)).astype(np.uint64)
+        for b in batches:
+            doc, fragment, part = [], [], []
+            for d, h in zip(b.column("doc").to_pylist(), b.column("h").to_pylist()):
+                h = np.frombuffer(h, np.uint64)
+                at = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
+                for k in np.flatnonzero(np.diff(at)):
+                    doc.append(d)
+                    fragment.append(int(k))
+                    part.append(h[at[k] : at[k + 1]])
+            yield pa.record_batch({"doc": pa.array(doc, pa.int64()), "fragment": pa.array(fragment, pa.int32()), "part": B.blobs(part)})
+
+    return sets.select("doc", "h").mapInArrow(cut, "doc long, fragment int, part binary")
+
+
+def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stored (u, v, ru, rv): the stored pairs (a, b, na, nb, ra, rb) that link; parts are the stored segments."""
     names = pairs.columns
 
     def overlap(batches):
         for batch in batches:
             common = np.zeros(batch.num_rows, np.int64)
             for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common[k] = np.count_nonzero(y[at] == x)
-            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(common), batch.column("kx"), batch.column("ky")], names=[*names, "met", "kx", "ky"])
+            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(common)], names=[*names, "met"])
 
     left = parts.select(F.col("doc").alias("b"), "fragment", F.col("part").alias("y"))
     right = parts.select(F.col("doc").alias("a"), "fragment", F.col("part").alias("x"))
-    both = pairs.join(left, "b").join(right, ["a", "fragment"])
-    both = both.select(*names, "x", "y", (F.octet_length("x") / 8).cast("long").alias("kx"), (F.octet_length("y") / 8).cast("long").alias("ky"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
-    sums = both.mapInArrow(overlap, f"{schema}, met long, kx long, ky long").groupBy(*names)
-    return sums.agg(F.sum("met").alias("met"), F.sum("kx").alias("kx"), F.sum("ky").alias("ky"))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, probes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """The pairs (a, b, na, nb) that link, as (u, v)."""
-    need = lambda common: 100 * common >= 75 * (F.col("na") + F.col("nb") - common)
-    first = pairs.join(overlaps(pairs, probes), ["a", "b", "na", "nb"], "left").na.fill(0)
-    # a set without a probe part says nothing about its rest: then all of the smaller set may be common
-    rest = F.when(F.col("kx") + F.col("ky") > 0, F.least(F.col("na") - F.col("kx"), F.col("nb") - F.col("ky"))).otherwise(F.least("na", "nb"))
-    hopeful = stored(first.where(need(F.col("met") + rest)).select("a", "b", "na", "nb", F.col("met").alias("probe")), "hopeful")
-    ids = stored(hopeful.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    others = fragments(keys_join(docs, ids, "doc_id", "left_semi"), frequent, False)
-    found = hopeful.join(overlaps(hopeful, others), hopeful.columns, "left").na.fill(0, ["met"])
-    out = stored(found.where(need(F.col("probe") + F.col("met"))).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-    release(hopeful, ids)
-    return out
+    both = pairs.join(left, "b").join(right, ["a", "fragment"]).select(*names, "x", "y")
+    sums = both.mapInArrow(overlap, ", ".join(f"{n} long" for n in names) + ", met long").groupBy(*names).agg(F.sum("met").alias("met"))
+    return stored(sums.where(links(F.col("met"), F.col("na"), F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("ra").alias("ru"), F.col("rb").alias("rv")), "links")
+
+
+def _paired(one: str, other: str) -> list[Column]:
+    """Columns a, b, na, nb, ra, rb (a < b) of two structs (doc, n, s, place, root)."""
+    first = F.col(f"{one}.doc") < F.col(f"{other}.doc")
+    return [F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(name) for c, names in (("doc", "ab"), ("n", ("na", "nb")), ("root", ("ra", "rb"))) for name, x, y in ((names[0], one, other), (names[1], other, one))]
 
 
-def _sized(a: str, b: str):
-    return (100 * F.least(a, b) >= 75 * F.greatest(a, b))
+def _may_link(one: str, other: str) -> Column:
+    """Sizes and places of a common shingle allow a link: what follows it in the order is the most that can be common."""
+    rest = F.least(F.col(f"{one}.s") - F.col(f"{one}.place"), F.col(f"{other}.s") - F.col(f"{other}.place"))
+    return links(rest, F.col(f"{one}.n"), F.col(f"{other}.n"))
 
 
-def links(postings: DataFrame, docs: DataFrame, probes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Enough links (u, v) between the documents of stored postings for the components of all links."""
-    spark = postings.sparkSession
-    done = spark.createDataFrame([], "a long, b long")
-    edges = spark.createDataFrame([], "u long, v long")
-    state = postings.withColumn("root", F.col("doc"))
-    for turn in range(ROUNDS + 1):
-        spread = state.groupBy("h").agg(F.count(F.lit(1)).alias("all"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        open_ = state.join(spread.select("h"), "h")
-        blocks = open_.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("h").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("twice"))
-        totals = blocks.agg(F.sum("twice").alias("t")).first()["t"] or 0
-        if not totals:
+def _open(state: DataFrame) -> DataFrame:
+    """Stored rows of the shingles that sets of different components have."""
+    spread = state.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
+    return stored(state.join(spread, "h"), "open")
+
+
+def _merged(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """state with the roots after the links between components (ru, rv)."""
+    roots = stored(components(edges.select(F.col("ru").alias("u"), F.col("rv").alias("v"))), "roots").select(F.col("node").alias("root"), F.col("root").alias("now"))
+    return keys_join(state, roots, "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+
+
+def all_links(sets: DataFrame) -> DataFrame:
+    """Enough links (u, v) between stored shared sets for the components of all links."""
+    parts = stored(segments(sets), "segments")
+    keys = sets.select("doc", "n", F.posexplode("least").alias("k", "m"))
+    stars = keys.groupBy("k", "m").agg(F.min(F.struct("doc", "n")).alias("p"), F.max("doc").alias("most")).where(F.col("p.doc") < F.col("most")).select("k", "m", "p")
+    near = keys.join(stars, ["k", "m"]).where(F.col("p.doc") < F.col("doc"))
+    near = near.select(F.col("p.doc").alias("a"), F.col("doc").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"), F.col("p.doc").alias("ra"), F.col("doc").alias("rb"))
+    pairs = stored(near.where(links(F.least("na", "nb"), F.col("na"), F.col("nb"))).distinct(), "pairs")
+    found = [verified(pairs, parts)]
+    release(pairs)
+    state = _open(_merged(leading_shingles(sets).withColumn("root", F.col("doc")), found[0]))
+    row = F.struct("doc", "n", "s", "place", "root")
+    for turn in range(TURNS + 1):
+        if state.isEmpty():
             break
-        other = open_.select("h", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-        if totals <= 2 * 4 * open_.count() or turn == ROUNDS:  # the rest, pair by pair
-            last = True
-            one = open_.select("h", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-            pairs = one.join(other, "h").where("a < b")
-        else:
-            last = False
-            pivots = [F.min_by(F.struct(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")), F.struct(F.xxhash64("doc", F.lit(turn * PIVOTS + k)), "doc")).alias(f"p{k}") for k in range(PIVOTS)]
-            chosen = open_.groupBy("h").agg(*pivots).select("h", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("p")).select("h", "p.*")
-            pairs = other.join(chosen, "h").select("h", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"), "ra", "rb")
-        pairs = pairs.where((F.col("ra") != F.col("rb")) & _sized("na", "nb")).select("a", "b", "na", "nb").distinct().join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        edges = stored(edges.unionByName(verified(pairs, docs, probes, frequent)), "links")
-        if last:
+        if turn < TURNS:  # one set a component, against that of one component
+            one = state.groupBy("h", "root").agg(F.min_by(row, F.struct(F.xxhash64("doc", F.lit(turn)), "doc")).alias("x"))
+            other = one.groupBy("h").agg(F.min_by("x", F.struct(F.xxhash64("root", F.lit(turn)), "root")).alias("y"))
+            both = one.join(other, "h")
+        else:  # every pair left; sets of the largest component of a shingle are not paired with each other
+            largest = state.groupBy("h", "root").count().groupBy("h").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+            rows = state.join(largest, "h").select("h", row.alias("x"), (F.col("root") == F.col("main")).alias("major"))
+            minor = rows.where("not major").select("h", F.col("x").alias("y"))
+            both = rows.join(minor, "h").where(F.col("major") | (F.col("x.doc") < F.col("y.doc")))
+        both = both.where((F.col("x.root") != F.col("y.root")) & _may_link("x", "y"))
+        pairs = stored(both.select(*_paired("x", "y")).distinct(), "pairs")
+        if pairs.isEmpty():
+            if turn < TURNS:
+                continue
             break
-        done = stored(done.unionByName(pairs.select("a", "b")), "done")
-        roots = stored(components(edges), "roots")
-        state = stored(postings.join(roots, postings["doc"] == roots["node"], "left").select("h", "doc", "n", F.coalesce("root", "doc").alias("root")), "state")
-    return edges
+        found.append(verified(pairs, parts))
+        release(pairs)
+        if turn < TURNS and not found[-1].isEmpty():
+            before, state = state, _open(_merged(state, found[-1]))
+            release(before)
+    release(parts)
+    out = found[0].select("u", "v")
+    for more in found[1:]:
+        out = out.unionByName(more.select("u", "v"))
+    return out
 
 
 def join_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = pieces(text_bytes(docs), BUCKET_BYTES, 8)
-    signs = stored(signatures(docs, width), "signatures")
+    count = pieces(text_bytes(docs), FRAGMENT_BYTES, 8)
+    found = stored(signatures(docs, width), "signatures")
+    heavy = heavy_shingles(found)
+    signs = found.where("real").select("doc_id", "n_shingles", "n_low", "s1", "s2")
     known = signs.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = known.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("class"))
     member = stored(known.select("doc_id", "s1", "s2", "n_shingles").distinct().join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "class"), "classes")
-    copies = stored(member.groupBy("doc_id").agg(F.min("class").alias("class")).where("class < doc_id"), "copies")
-    own = keys_join(docs.where("doc_id is not null"), copies.select("doc_id"), "doc_id", "left_anti")
+    copies = stored(member.groupBy("doc_id").agg(F.min("class").alias("class")).where("class < doc_id").select("doc_id"), "copies")
+    own = keys_join(docs.where("doc_id is not null"), copies, "doc_id", "left_anti")
+    sizes = keys_join(known.select("doc_id", "n_shingles", "n_low"), copies, "doc_id", "left_anti")
     again = stored(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
     if not again.isEmpty():
-        once = keys_join(own, again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        once = stored(keys_join(own, again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "once")
         own = keys_join(own, again, "doc_id", "left_anti").unionByName(once)
-    frequent = frequent_shingles(docs.where("doc_id is not null"), buckets)
-    postings = stored(prefix_postings(own, frequent, buckets), "postings")
-    wanted = stored(postings.select(F.col("doc").alias("doc_id")).distinct(), "wanted")
-    probes = stored(fragments(keys_join(own, wanted, "doc_id", "left_semi"), frequent, True), "probes")
-    release(wanted)
-    edges = links(postings, own, probes, frequent)
-    release(postings, probes)
+        sizes = keys_join(sizes, again, "doc_id", "left_anti").unionByName(signatures(once, width).where("real").select("doc_id", "n_shingles", "n_low"))
+    low = stored(shared_shingles(own, heavy, True, pieces(count * PROBE, 8)), "low-shingles")
+    shared = low.groupBy("doc").agg(F.sum((F.octet_length("h") / 8).cast("long")).alias("k"))
+    n = F.col("n_shingles")
+    hopeful = sizes.join(shared, sizes["doc_id"] == shared["doc"], "left").where(F.col("n_low") - F.coalesce("k", F.lit(0)) <= n - least_overlap(n))
+    hopeful = stored(hopeful.select("doc_id", "n_shingles"), "hopeful")
+    high = shared_shingles(keys_join(own, hopeful.select("doc_id"), "doc_id", "left_semi"), heavy, False, pieces(count * (8 - PROBE), 8))
+    parts = keys_join(low, hopeful.select(F.col("doc_id").alias("doc")), "doc", "left_semi").unionByName(high)
+    sets = shared_sets(parts, hopeful)
+    release(low, hopeful)
+    edges = all_links(sets)
+    release(sets)
     same = member.where("class < doc_id").select(F.col("doc_id").alias("u"), F.col("class").alias("v"))
     roots = stored(components(edges.unionByName(same)), "roots")
     out = signs.join(roots, signs["doc_id"] == roots["node"], "left")
