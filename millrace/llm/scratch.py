@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 
 #: Most keys that are broadcast; beyond it the same join is left to a shuffle.
 BROADCAST_KEYS = 2_000_000
+#: Most bytes of a table of longer rows that are broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+_local: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode, where it may be unset, a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = _local[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
     return found.rstrip("/")
 
 
@@ -37,11 +43,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(*tables: DataFrame) -> None:
-    """Delete stored tables that nothing reads any more, and let Spark's cleaner drop the shuffle files of finished plans."""
+    """Delete stored tables that nothing reads any more."""
     for t in tables:
         path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch)
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    tables[0].sparkSession._jvm.System.gc()
 
 
 def text_bytes(docs: DataFrame) -> int:
@@ -57,3 +62,9 @@ def keys_join(df: DataFrame, keys: DataFrame, on: list[str] | str, how: str, bou
     """Join with a stored key table: broadcast while it has at most `bound` rows, a shuffled join beyond."""
     small = keys.limit(bound + 1).count() <= bound
     return df.join(F.broadcast(keys) if small else keys, on, how)
+
+
+def sized_join(df: DataFrame, table: DataFrame, on: list[str] | str, how: str, blob: str, bound: int = BROADCAST_BYTES) -> DataFrame:
+    """Join with a stored table whose rows are as long as its binary column `blob`: broadcast up to `bound` bytes, a shuffled join beyond."""
+    size = table.agg(F.sum(F.octet_length(blob) + 40).alias("b")).first()["b"] or 0
+    return df.join(F.broadcast(table) if size <= bound else table, on, how)
