@@ -26,7 +26,7 @@ from millrace.llm.jaccard import join_documents
 from millrace.llm.language_id import SYMBOLS, classify, train, training_rows
 from millrace.llm.packing import pack_documents
 from millrace.llm.scratch import keys_join, stored
-from millrace.llm.suffix_dedup import SPAN, find_repeats
+from millrace.llm.suffix_dedup import kept_bytes, with_runs
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,30 +49,21 @@ def _whole_characters(text: bytes, gone: np.ndarray) -> str:
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    meta, cuts = find_repeats(docs)
-    whole = meta.where((F.col("least") < F.col("doc_id")) & (F.col("n_bytes") >= SPAN)).select("doc_id", F.lit(None).cast("binary").alias("gone"))
-    lost = whole.distinct().unionByName(cuts.where("n_removed > 0").select("doc_id", "gone"))
-    lost = stored(lost.withColumn("cut", F.lit(True)), "lost")
     names = docs.columns
 
     def cut(batches):
         for b in bytesops.slices(batches):
             out = []
-            for text, changed, packed in zip(b.column("text").to_pylist(), b.column("__cut").to_pylist(), b.column("__gone").to_pylist()):
-                if not changed or text is None:
-                    out.append(text)
-                elif packed is None:
-                    out.append("")
-                else:
+            for text, runs in zip(b.column("text").to_pylist(), b.column("__runs").to_pylist()):
+                if runs and text is not None:
                     raw = text.encode()
-                    gone = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(raw)).astype(bool)
-                    out.append(_whole_characters(raw, gone))
+                    text = _whole_characters(raw, ~kept_bytes(np.frombuffer(raw, np.uint8), runs))
+                out.append(text)
             cols = {n: b.column(n) for n in names} | {"text": pa.array(out, pa.string())}
             yield pa.record_batch([cols[n] for n in names], names=names)
 
-    rows = keys_join(docs, lost.select("doc_id", F.col("gone").alias("__gone"), F.col("cut").alias("__cut")), "doc_id", "left", 100_000)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = rows.mapInArrow(cut, schema)
+    out = with_runs(docs).mapInArrow(cut, schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
