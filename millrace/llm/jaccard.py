@@ -118,9 +118,9 @@ def heavy_shingles(signs: DataFrame) -> np.ndarray:
     return np.rec.fromarrays([h[order], (128 + np.log2(np.maximum(1, c[order]))).astype(np.uint8)], names="h,rank")
 
 
-def shared_shingles(docs: DataFrame, heavy: np.ndarray, low: bool, count: int) -> DataFrame:
-    """(doc, h, rank): of each document the packed shingles of the PROBE part, or of the rest, that another one has too, a row
-    for each fragment; rank is 2 to 127 by the number of sets, from 128 for heavy ones."""
+def shared_shingles(docs: DataFrame, heavy: np.ndarray, low: bool, count: int, buckets: int) -> DataFrame:
+    """(bucket, docs, counts, h, rank): the shingles of the PROBE part, or of the rest, that another document has too, packed by
+    document, a row for each fragment and bucket of documents; rank is 2 to 127 by the number of sets, from 128 for heavy ones."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)  # at most MOST_HEAVY rows
 
     def emit(batches):
@@ -165,14 +165,43 @@ def shared_shingles(docs: DataFrame, heavy: np.ndarray, low: bool, count: int) -
         rank = np.where(rank > 0, rank, np.repeat(np.minimum(sizes, 127), sizes))
         keep = rank > 1
         h, rank, doc = h[keep], rank[keep].astype(np.uint8), doc[keep]
+        order = np.lexsort((doc, B.mix(doc.view(np.uint64))))
+        h, rank, doc = h[order], rank[order], doc[order]
+        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+        b, cut = B.by_bucket(B.mix(doc[at].view(np.uint64)), buckets)
+        sizes, ends = np.diff(np.append(at, len(doc))).astype(np.int32), np.append(at, len(doc))
+        return pa.table({
+            "bucket": pa.array(b), "docs": B.blobs([doc[at[i:j]] for i, j in zip(cut, cut[1:])]), "counts": B.blobs([sizes[i:j] for i, j in zip(cut, cut[1:])]),
+            "h": B.blobs([h[ends[i] : ends[j]] for i, j in zip(cut, cut[1:])]), "rank": B.blobs([rank[ends[i] : ends[j]] for i, j in zip(cut, cut[1:])]),
+        })
+
+    rows = docs.select("doc_id", "text").mapInArrow(emit, "fragment long, base long, wide boolean, h binary, doc binary, rank binary")
+    return rows.repartition(count, "fragment").groupBy("fragment").applyInArrow(meet, "bucket long, docs binary, counts binary, h binary, rank binary")
+
+
+def shared_counts(parts: DataFrame) -> DataFrame:
+    """(doc, k): how many shared shingles the parts have of each document."""
+
+    def add(table: pa.Table) -> pa.Table:
+        docs, which = np.unique(B.joined(table.column("docs"), np.int64), return_inverse=True)
+        return pa.table({"doc": pa.array(docs), "k": pa.array(np.bincount(which, weights=B.joined(table.column("counts"), np.int32), minlength=len(docs)).astype(np.int64))})
+
+    return parts.select("bucket", "docs", "counts").groupBy("bucket").applyInArrow(add, "doc long, k long")
+
+
+def gathered(parts: DataFrame) -> DataFrame:
+    """(doc, h, rank): the packed shared shingles of each document, from all fragments."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        docs, counts, h, rank = (B.joined(table.column(n), t) for n, t in (("docs", np.int64), ("counts", np.int32), ("h", np.uint64), ("rank", np.uint8)))
+        doc = np.repeat(docs, counts)
         order = np.argsort(doc, kind="stable")
         h, rank, doc = h[order], rank[order], doc[order]
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(doc)) if len(doc) else at
         return pa.table({"doc": pa.array(doc[at]), "h": B.blobs([h[i:j] for i, j in zip(at, ends)]), "rank": B.blobs([rank[i:j] for i, j in zip(at, ends)])})
 
-    rows = docs.select("doc_id", "text").mapInArrow(emit, "fragment long, base long, wide boolean, h binary, doc binary, rank binary")
-    return rows.repartition(count, "fragment").groupBy("fragment").applyInArrow(meet, "doc long, h binary, rank binary")
+    return parts.groupBy("bucket").applyInArrow(gather, "doc long, h binary, rank binary")
 
 
 def shared_sets(parts: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -182,9 +211,8 @@ def shared_sets(parts: DataFrame, sizes: DataFrame) -> DataFrame:
     def build(batches):
         for b in batches:
             hs, leads, least = [], [], []
-            for n, found in zip(b.column("n").to_pylist(), b.column("parts").to_pylist()):
-                h = np.frombuffer(b"".join(x["h"] for x in found), np.uint64)
-                rank = np.frombuffer(b"".join(x["rank"] for x in found), np.uint8)
+            for n, h, rank in zip(b.column("n").to_pylist(), b.column("h").to_pylist(), b.column("rank").to_pylist()):
+                h, rank = np.frombuffer(h, np.uint64), np.frombuffer(rank, np.uint8)
                 t = -(-3 * n // 4)
                 leads.append(h[np.lexsort((h, rank))[: len(h) - t + 1]])
                 hs.append(np.sort(h))
@@ -192,9 +220,8 @@ def shared_sets(parts: DataFrame, sizes: DataFrame) -> DataFrame:
             sizes = [len(h) for h in hs]
             yield pa.record_batch({"doc": b.column("doc"), "n": b.column("n"), "s": pa.array(sizes, pa.int64()), "h": B.blobs(hs), "lead": B.blobs(leads), "least": pa.array(least, pa.list_(pa.int64()))})
 
-    found = parts.groupBy("doc").agg(F.collect_list(F.struct("h", "rank")).alias("parts"), F.sum((F.octet_length("h") / 8).cast("long")).alias("s"))
-    found = found.join(sizes.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")), "doc").where(F.col("s") >= least_overlap(F.col("n")))
-    return stored(found.select("doc", "n", "parts").mapInArrow(build, "doc long, n long, s long, h binary, lead binary, least array<long>"), "shared-sets")
+    found = gathered(parts).join(sizes.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")), "doc").where(F.octet_length("rank") >= least_overlap(F.col("n")))
+    return stored(found.select("doc", "n", "h", "rank").mapInArrow(build, "doc long, n long, s long, h binary, lead binary, least array<long>"), "shared-sets")
 
 
 def leading_shingles(sets: DataFrame) -> DataFrame:
@@ -334,13 +361,13 @@ def join_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         once = stored(keys_join(own, again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "once")
         own = keys_join(own, again, "doc_id", "left_anti").unionByName(once)
         sizes = keys_join(sizes, again, "doc_id", "left_anti").unionByName(signatures(once, width).where("real").select("doc_id", "n_shingles", "n_low"))
-    low = stored(shared_shingles(own, heavy, True, pieces(count * PROBE, 8)), "low-shingles")
-    shared = low.groupBy("doc").agg(F.sum((F.octet_length("h") / 8).cast("long")).alias("k"))
+    low = stored(shared_shingles(own, heavy, True, pieces(count * PROBE, 8), count), "low-shingles")
     n = F.col("n_shingles")
+    shared = shared_counts(low)
     hopeful = sizes.join(shared, sizes["doc_id"] == shared["doc"], "left").where(F.col("n_low") - F.coalesce("k", F.lit(0)) <= n - least_overlap(n))
     hopeful = stored(hopeful.select("doc_id", "n_shingles"), "hopeful")
-    high = shared_shingles(keys_join(own, hopeful.select("doc_id"), "doc_id", "left_semi"), heavy, False, pieces(count * (8 - PROBE), 8))
-    parts = keys_join(low, hopeful.select(F.col("doc_id").alias("doc")), "doc", "left_semi").unionByName(high)
+    high = shared_shingles(keys_join(own, hopeful.select("doc_id"), "doc_id", "left_semi"), heavy, False, pieces(count * (8 - PROBE), 8), count)
+    parts = low.unionByName(high)
     sets = shared_sets(parts, hopeful)
     release(low, hopeful)
     edges = all_links(sets)
