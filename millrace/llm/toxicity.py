@@ -17,11 +17,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as B
 from .language_id import in_fold
+from .scratch import keys_join, stored
 
 #: Most labelled documents of each label that the classifier is fitted on.
 TRAIN_DOCS = 4_000
@@ -93,27 +95,34 @@ def fit(sampled: DataFrame, rounds: int = 300, rate: float = 0.5, l1: float = 2e
             })
 
     got = sampled.select("text", "toxic", "weight").mapInArrow(features, "toxic int, weight double, features binary, sentences binary").toArrow()
-    y = np.array(got.column("toxic").to_pylist(), np.float64)
+    y = got.column("toxic").to_numpy().astype(np.float64)
     if not len(y):
         return {"features": np.zeros(0, np.uint64), "weights": np.zeros(0), "bias": -50.0, "empty": 0.0}
-    weight = np.array(got.column("weight").to_pylist())
-    weight /= weight.sum()
-    blobs, per_blobs = got.column("features").to_pylist(), got.column("sentences").to_pylist()
-    doc = np.repeat(np.arange(len(y)), [len(x) // 8 for x in blobs])
-    vocabulary, ids = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_inverse=True)
-    sentence = np.frombuffer(b"".join(per_blobs), np.int32)
+    weight = got.column("weight").to_numpy() / got.column("weight").to_numpy().sum()
+    sizes = pc.binary_length(got.column("features")).to_numpy() // 8
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
+    plain = np.array([int(np.frombuffer(x.as_buffer(), np.int32).max(initial=-1)) + 1 for x in got.column("sentences")])
+    sentence = B.joined(got.column("sentences"), np.int32)
+    flat = B.joined(got.column("features"), np.uint64)
+    del got
+    vocabulary, ids = np.unique(flat, return_inverse=True)
+    del flat
+    ids = ids.astype(np.int32)
     pair = np.unique(ids.astype(np.int64) * len(y) + doc)
-    feature, of = pair // len(y), pair % len(y)
+    feature, of = (pair // len(y)).astype(np.int32), (pair % len(y)).astype(np.int32)
+    del pair
     docs = np.bincount(feature, minlength=len(vocabulary))
     rate_toxic = np.bincount(feature, weights=(weight * y)[of], minlength=len(vocabulary)) / np.bincount(feature, weights=weight[of], minlength=len(vocabulary))
     known = np.flatnonzero((docs >= MIN_DOCS) & (rate_toxic > 1.5 * (weight * y).sum()))
     renumber = np.full(len(vocabulary), -1)
     renumber[known] = np.arange(len(known))
-    keep = renumber[ids] >= 0
-    f, d = renumber[ids][keep], doc[keep]
+    del feature, of
+    keep = np.flatnonzero(renumber[ids] >= 0)
+    f, d = renumber[ids[keep]], doc[keep].astype(np.int64)
     bag, s = np.unique(d * (1 << 31) + sentence[keep], return_inverse=True)  # sentences without a known feature are left to the bias
+    del ids, doc, sentence, keep, d
     of_bag = bag >> 31
-    plain = np.array([int(np.frombuffer(x, np.int32).max(initial=-1)) + 1 for x in per_blobs]) - np.bincount(of_bag, minlength=len(y))
+    plain = plain - np.bincount(of_bag, minlength=len(y))
     w, bias = np.zeros(len(known)), -6.0
     gw, gb = np.full(len(known), 1e-8), 1e-8
     for _ in range(rounds):
@@ -129,7 +138,7 @@ def fit(sampled: DataFrame, rounds: int = 300, rate: float = 0.5, l1: float = 2e
         gw, gb = gw + d_w**2, gb + d_b**2
         w, bias = w - rate * d_w / np.sqrt(gw), bias - rate * d_b / np.sqrt(gb)
         w = np.sign(w) * np.maximum(0, np.abs(w) - rate * l1 / np.sqrt(gw))
-    bare = np.array([len(x) == 0 for x in blobs])
+    bare = sizes == 0
     empty = ((weight * y)[bare].sum() + 0.01 / len(y)) / (weight[bare].sum() + 1 / len(y))
     used = w != 0
     order = np.argsort(vocabulary[known][used])
@@ -178,8 +187,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_D
     held = in_fold(4, 2)
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     own = docs.where(~F.coalesce(held, F.lit(False)) & F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chosen = sample(marks.where(~in_fold(4, 2)), train_docs)
-    model = fit(own.join(chosen, "doc_id"))
+    chosen = stored(sample(stored(marks.where(~in_fold(4, 2)), "marks"), train_docs), "chosen")
+    model = fit(keys_join(own, chosen, "doc_id", "inner"))
     out = score_documents(docs, model, ["doc_id", held.alias("held_out")], spans)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
