@@ -7,7 +7,8 @@
 3. NN-descent: each node's neighbours and a sample of the nodes that have it as neighbour are joined with their vectors and
    compared with each other; a pair closer than a list's last entry enters that list. Rounds end when under SETTLED of all list
    entries change. All nodes are indexed; only the reverse neighbours are sampled (REVERSE a node), as the method has it.
-4. Queries search the graph greedily: the best EXPAND candidates not yet expanded are, until the best BEAM all are.
+4. Queries search the graph greedily: the best EXPAND candidates not yet expanded are, until the best BEAM all are; a query
+   that is settled takes no part in further steps.
 5. The best nodes are scored in double precision on the original vectors, and nodes expanded to their rows.
 
 Recall against brute force is measured in the tests and given in the README. Defined cases: a query that takes no part has no
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytesops as B
-from .scratch import keys_join, pieces, stored
+from .scratch import pieces, release, sized_join, stored
 
 NEIGHBOURS = 30
 REVERSE = 30
@@ -33,10 +34,8 @@ ROUNDS = 8
 SETTLED = 0.02
 BEAM = 320
 EXPAND = 80
-STEPS = 5
-#: Nodes of one bucket, and the most nodes whose vectors are broadcast (of SIZE_BOUND components in all); beyond, they are joined by a shuffle.
+#: Nodes of one bucket.
 BUCKET = 4_000
-BROADCAST_NODES = 60_000
 LISTS = "bucket int, id long, ids binary, sims binary"
 
 
@@ -154,15 +153,17 @@ def pairs_both_ways(graph: DataFrame, buckets: int) -> DataFrame:
     """(v, u): each node with its neighbours and a sample of the nodes that have it as a neighbour."""
 
     def turn(batches):
-        for b in batches:
-            owner, other, sim = flat_lists(b)
-            for a, c, s in ((owner, other, sim), (other, owner, np.full(len(sim), -1, np.float32))):
-                order = np.argsort(a, kind="stable")
-                yield from as_lists(bucket_of(a[order], buckets), a[order], c[order], s[order]).to_batches()
+        for b in batches:  # one row for each bucket of the nodes pointed at
+            owner, other, _ = flat_lists(b)
+            v, u, back = np.concatenate([owner, other]), np.concatenate([other, owner]), np.repeat([False, True], len(owner))
+            k = bucket_of(v, buckets)
+            order = np.argsort(k, kind="stable")
+            cut = np.append(np.flatnonzero(np.diff(k[order], prepend=-1)), len(k))
+            parts = [order[i:j] for i, j in zip(cut, cut[1:])]
+            yield pa.record_batch({"bucket": pa.array(k[order][cut[:-1]]), **{n: B.blobs([x[p] for p in parts]) for n, x in (("v", v), ("u", u), ("back", back))}})
 
     def choose(table: pa.Table) -> pa.Table:
-        owner, other, sim = flat_lists(table)
-        back = sim == -1
+        owner, other, back = B.joined(table.column("v"), np.int64), B.joined(table.column("u"), np.int64), B.joined(table.column("back"), bool)
         rank = B.mix(owner[back].view(np.uint64) * B.STEP ^ other[back].view(np.uint64)).astype(np.float64)
         kept = best(owner[back], other[back], rank, REVERSE)
         v, u = np.concatenate([owner[~back], kept[0]]), np.concatenate([other[~back], kept[1]])
@@ -172,17 +173,17 @@ def pairs_both_ways(graph: DataFrame, buckets: int) -> DataFrame:
         fresh[1:] = (v[1:] != v[:-1]) | (u[1:] != u[:-1])
         return pa.table({"v": pa.array(v[fresh]), "u": pa.array(u[fresh])})
 
-    return graph.mapInArrow(turn, LISTS).groupBy("bucket").applyInArrow(choose, "v long, u long")
+    return graph.mapInArrow(turn, "bucket int, v binary, u binary, back binary").groupBy("bucket").applyInArrow(choose, "v long, u long")
 
 
 def with_vectors(pairs: DataFrame, on: str, table: DataFrame, then: str) -> DataFrame:
     """pairs joined with a node table (id, ...) on a column, the rows of each `then` standing together in order."""
-    out = keys_join(pairs, table.withColumnRenamed("id", on), on, "inner", BROADCAST_NODES)
+    out = sized_join(pairs, table.withColumnRenamed("id", on), on, "inner", "vec")
     return out.repartition(then).sortWithinPartitions(then)
 
 
-def descend(graph: DataFrame, nodes: DataFrame, buckets: int) -> DataFrame:
-    """Lists of pairs found closer than the lists' last entries, merged with the lists."""
+def descend(graph: DataFrame, nodes: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Lists of pairs found closer than the lists' last entries, merged with the lists; and the stored table that they need."""
     last = graph.select("id", F.col("sims")).mapInArrow(_last, "id long, last float")
     known = stored(nodes.join(last, "id").select("id", "vec", "last"), "node-vectors")
 
@@ -216,7 +217,7 @@ def descend(graph: DataFrame, nodes: DataFrame, buckets: int) -> DataFrame:
 
     pairs = pairs_both_ways(graph, buckets)
     found = with_vectors(pairs, "u", known, "v").select("v", "u", "vec", "last").mapInArrow(compare, LISTS)
-    return merged(graph.unionByName(found), NEIGHBOURS)
+    return merged(graph.unionByName(found), NEIGHBOURS), known
 
 
 def _last(batches):
@@ -228,9 +229,12 @@ def _last(batches):
 def build_graph(nodes: DataFrame, buckets: int, size: int) -> DataFrame:
     graph = stored(first_lists(nodes, buckets, size), "graph")
     for _ in range(ROUNDS):
-        after = stored(descend(graph, nodes, buckets), "graph")
+        after, known = descend(graph, nodes, buckets)
+        after = stored(after, "graph")
+        release(known)
         both = graph.select("id", F.col("ids").alias("a")).join(after.select("id", F.col("ids").alias("b")), "id")
         changed = both.mapInArrow(_changed, "n long, m long").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).first()
+        release(graph)
         graph = after
         if not changed["m"] or changed["n"] < SETTLED * changed["m"]:
             break
@@ -251,15 +255,16 @@ def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, buckets: int)
     groups = pieces(own.count(), BUCKET)
     state = stored(own.select("id", F.lit(0).cast("int").alias("bucket")).mapInArrow(_opening(groups), LISTS + ", done binary"), "search")
 
-    for _ in range(STEPS):
-        frontier = state.mapInArrow(_frontier, "q long, u long")
-        frontier = stored(frontier, "frontier")
+    while True:  # ends: each step expands nodes that were not, and a beam gives room to closer nodes only
+        frontier = stored(state.mapInArrow(_frontier, "q long, u long"), "frontier")
         if frontier.isEmpty():
             break
         met = frontier.join(near, "u").select("q", F.explode("near").alias("u")).distinct()
-        scored = keys_join(met, nodes.withColumnRenamed("id", "u"), "u", "inner", BROADCAST_NODES).join(own.select(F.col("id").alias("q"), F.col("vec").alias("qvec")), "q")
+        scored = sized_join(met, nodes.withColumnRenamed("id", "u"), "u", "inner", "vec").join(own.select(F.col("id").alias("q"), F.col("vec").alias("qvec")), "q")
         found = scored.select("q", "u", "vec", "qvec").mapInArrow(_scores(groups), LISTS)
-        state = stored(state.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(_advance, LISTS + ", done binary"), "search")
+        after = stored(state.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(_advance, LISTS + ", done binary"), "search")
+        release(state, frontier)
+        state = after
     return state
 
 
@@ -310,6 +315,11 @@ def _advance(state: pa.Table, found: pa.Table) -> pa.Table:
     return out.append_column("done", B.blobs(flags))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, which is exact and leaves the cosine as it is, so that no square leaves the range."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each query (vec_id of a row of rows), itself left out."""
     spark = rows.sparkSession
@@ -344,7 +354,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     def cosine(batches):
         for b in batches:
-            x, y = matrix(b.column("x"), np.float64), matrix(b.column("y"), np.float64)
+            x, y = _scaled(matrix(b.column("x"), np.float64)), _scaled(matrix(b.column("y"), np.float64))
             score = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
             yield pa.record_batch({"query_id": b.column("query_id"), "vec_id": b.column("vec_id"), "score": pa.array(score)})
 
