@@ -135,7 +135,7 @@ def with_another(h: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray
 
 
 def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, anchors): of each document, the packed anchors that another one has too."""
+    """(doc_id, anchors, many): of each document, the packed anchors that another one has too, ascending, and how many have each."""
 
     def emit(batches):
         held, size = [], 0
@@ -174,15 +174,25 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         h, doc = h[fresh], doc[fresh]
         run = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
         many = np.repeat(np.diff(np.append(run, len(h))), np.diff(np.append(run, len(h))))
-        order = np.argsort(doc, kind="stable")
+        order = np.lexsort((doc, B.mix(doc.view(np.uint64))))
         h, doc, many = h[order], doc[order], many[order].astype(np.int32)
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+        ends = np.append(at, len(doc))
+        b, cut = B.by_bucket(B.mix(doc[at].view(np.uint64)), buckets)
+        parts = list(zip(cut, cut[1:]))
+        return pa.table({"bucket": pa.array(b), "docs": B.blobs([np.repeat(doc[at[i:j]], np.diff(ends[i : j + 1])) for i, j in parts]), "anchors": B.blobs([h[ends[i] : ends[j]] for i, j in parts]), "many": B.blobs([many[ends[i] : ends[j]] for i, j in parts])})
+
+    def gather(table: pa.Table) -> pa.Table:
+        doc, h, many = (B.joined(table.column(n), t) for n, t in (("docs", np.int64), ("anchors", np.uint64), ("many", np.int32)))
+        order = np.lexsort((h, doc))
+        doc, h, many = doc[order], h[order], many[order]
+        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(doc)) if len(doc) else at
         return pa.table({"doc_id": pa.array(doc[at]), "anchors": B.blobs([h[i:j] for i, j in zip(at, ends)]), "many": B.blobs([many[i:j] for i, j in zip(at, ends)])})
 
     rows = docs.select("doc_id", "text").mapInArrow(emit, "bucket long, base long, wide boolean, h binary, before binary, after binary, doc binary")
-    met = rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, "doc_id long, anchors binary, many binary")
-    return met.groupBy("doc_id").agg(F.collect_list(F.struct("anchors", "many")).alias("found"))
+    met = rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, "bucket long, docs binary, anchors binary, many binary")
+    return met.groupBy("bucket").applyInArrow(gather, "doc_id long, anchors binary, many binary")
 
 
 def suffix_array(text: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
@@ -267,7 +277,7 @@ STRETCHES = "bucket long, anchor long, salt int, ways int, docs binary, sizes bi
 
 
 def stretch_rows(candidates: DataFrame, buckets: int, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
-    """Packed stretches of the shared anchors of rows (doc_id, which, text, found): different ones (docs, sizes, content; counts
+    """Packed stretches of the shared anchors of rows (doc_id, which, text, anchors, many): different ones (docs, sizes, content; counts
     and places: where each starts), a row for each shard that has some. A place is which << 32 plus the start in the text.
 
     Rows with gone are of documents that repeat a smaller doc_id's stretches: all their strings go."""
@@ -320,12 +330,9 @@ def stretch_rows(candidates: DataFrame, buckets: int, anchor_rows: int = ANCHOR_
             first, last = stretches(at, h, row, off)
             h, ways = B.mix(h), np.zeros(len(at), np.int64)
             edges = np.searchsorted(row, np.arange(b.num_rows + 1))
-            for k, found in enumerate(b.column("found").to_pylist()):
+            for k, (known, many) in enumerate(zip(b.column("anchors").to_pylist(), b.column("many").to_pylist())):
                 i, j = edges[k], edges[k + 1]
-                known = np.concatenate([np.frombuffer(x["anchors"], np.uint64) for x in found])
-                many = np.concatenate([np.frombuffer(x["many"], np.int32) for x in found])
-                order = np.argsort(known)
-                known, many = known[order], many[order]
+                known, many = np.frombuffer(known, np.uint64), np.frombuffer(many, np.int32)
                 spot = np.minimum(np.searchsorted(known, h[i:j]), len(known) - 1)
                 ways[i:j] = np.where(known[spot] == h[i:j], -(-many[spot] // anchor_rows), 0)
             use = np.flatnonzero((ways > 0) & (last >= first))
