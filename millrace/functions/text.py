@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as Y
 
 from . import fixed
 
@@ -35,22 +38,20 @@ def dedup_key(instruction: Column, response: Column) -> Column:
     return F.concat(squeeze(instruction), F.lit("\n"), squeeze(response))
 
 
-def fnv1a(text: Column) -> Column:
-    """64-bit FNV-1a of the UTF-8 bytes as 16 hex digits, in two 32-bit limbs, since ANSI arithmetic does not wrap."""
-    digits = F.hex(F.encode(text, "UTF-8"))
-    codes = F.transform(F.filter(F.sequence(F.lit(1), F.octet_length(text)), lambda i: i <= F.octet_length(text)), lambda i: F.conv(F.substring(digits, i * 2 - 1, F.lit(2)), 16, 10).cast("long"))
-    low32 = F.lit(0xFFFFFFFF)
-
-    def step(acc: Column, byte: Column) -> Column:
-        x = acc["l"].bitwiseXOR(byte)
-        return F.struct(
-            (acc["h"] * 435 + F.shiftleft(x, 8) + F.shiftrightunsigned(x * 435, 32)).bitwiseAND(low32).alias("h"),
-            (x * 435).bitwiseAND(low32).alias("l"),
-        )
-
-    start = F.struct(F.lit(3421674724).cast("long").alias("h"), F.lit(2216829733).cast("long").alias("l"))
-    out = F.aggregate(F.when(F.octet_length(text) > 0, codes).otherwise(F.array().cast("array<long>")), start, step)
-    return F.lower(F.concat(F.lpad(F.hex(out["h"]), 8, "0"), F.lpad(F.hex(out["l"]), 8, "0")))
+@F.pandas_udf(Y.StringType())
+def fnv1a(text: pd.Series) -> pd.Series:
+    """64-bit FNV-1a of the UTF-8 bytes as 16 hex digits; all texts of a batch go side by side, byte by byte."""
+    raw = [t.encode() for t in text if t is not None]
+    order = sorted(range(len(raw)), key=lambda k: -len(raw[k]))
+    sizes = np.array([len(raw[k]) for k in order], np.int64)
+    data = np.frombuffer(b"".join(raw[k] for k in order), np.uint8).astype(np.uint64)
+    start, h = np.cumsum(sizes) - sizes, np.full(len(raw), 0xCBF29CE484222325, np.uint64)
+    for i in range(int(sizes.max(initial=0))):
+        n = int(np.searchsorted(-sizes, -i, "left"))  # texts of more than i bytes
+        h[:n] = (h[:n] ^ data[start[:n] + i]) * np.uint64(0x100000001B3)
+    found = dict(zip(order, h.tolist()))
+    made = iter(f"{found[k]:016x}" for k in range(len(raw)))
+    return text.map(lambda t: None if t is None else next(made))
 
 
 def percent(part: Column, whole: Column) -> Column:

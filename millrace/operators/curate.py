@@ -5,7 +5,8 @@ Operators take and return DataFrames of examples (seq, id, source, origin, instr
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,20 +21,20 @@ def examples(documents: DataFrame) -> DataFrame:
 
 
 def with_reason(rows: DataFrame, least: int = fixed.MIN_CHARS) -> DataFrame:
-    """Adds `reason`: short, duplicate (a later copy of one that is not short), or null. A hash of the key is shuffled, not the text."""
-    rows = rows.withColumn("short", F.length("instruction") + F.length("response") < least)
-    key = F.sha2(T.dedup_key(F.col("instruction"), F.col("response")), 256)
-    first = F.min(F.when(~F.col("short"), F.col("seq"))).over(Window.partitionBy("key"))
-    rows = rows.withColumn("key", key).withColumn("first", first)
-    reason = F.when(F.col("short"), "short").when(F.col("seq") != F.col("first"), "duplicate")
-    return rows.withColumn("reason", reason).drop("short", "key", "first")
+    """seq, id, source, origin, chars, tokens and `reason`: short, duplicate (a later copy of one that is not short), or null.
+
+    Lengths and the key's hash are taken where the text is read; no text is shuffled. First copies are a grouped minimum, so that
+    a key that very many rows share is summed up within tasks first."""
+    chars = F.length("instruction") + F.length("response")
+    slim = rows.select("seq", "id", "source", "origin", chars.alias("chars"), F.floor(chars / 4).cast("long").alias("tokens"), F.sha2(T.dedup_key(F.col("instruction"), F.col("response")), 256).alias("key"))
+    first = slim.where(F.col("chars") >= least).groupBy("key").agg(F.min("seq").alias("first"))
+    reason = F.when(F.col("chars") < least, "short").when(F.col("seq") != F.col("first"), "duplicate")
+    return slim.join(first, "key", "left").withColumn("reason", reason).drop("key", "first")
 
 
 def source_report(kept: DataFrame) -> DataFrame:
     """Examples, estimated tokens and long examples per source, and in total."""
-    tokens = F.floor((F.length("instruction") + F.length("response")) / 4).cast("long")
-    rows = kept.select("source", tokens.alias("tokens"))
-    out = rows.rollup("source").agg(F.count(F.lit(1)).alias("examples"), F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") > fixed.LONG_TOKENS).alias("long_examples"), F.grouping("source").alias("g"))
+    out = kept.rollup("source").agg(F.count(F.lit(1)).alias("examples"), F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") > fixed.LONG_TOKENS).alias("long_examples"), F.grouping("source").alias("g"))
     return out.select(F.when(F.col("g") == 1, "total").otherwise(F.col("source")).alias("source"), "examples", "tokens", "long_examples")
 
 
@@ -58,28 +59,59 @@ def first_per_group(rows: DataFrame, group: str, order: list, k: int) -> DataFra
 def capped(rows: DataFrame, group: str, order: str, size: str, cap: int) -> DataFrame:
     """Greedy cap: in order, a row that does not fit is skipped and later ones still tried.
 
-    The fold needs each group's rows in order, so only (group, order, size) go to Python; a group's rows are read in order and
-    answered with the kept keys."""
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        used, kept = 0, []
-        for row in pdf.sort_values(order).itertuples(index=False):
-            if used + row.size <= cap:
-                used += row.size
-                kept.append(row.key)
-        return pd.DataFrame({"group": [pdf["group"].iloc[0]] * len(kept), "key": kept})
-
-    slim = rows.select(F.col(group).alias("group"), F.col(order).alias("key"), F.col(order).alias(order), F.col(size).cast("long").alias("size"))
-    kept = slim.groupBy("group").applyInPandas(keep, "group string, key long")
-    return rows.join(kept.select(F.col("group").alias(group), F.col("key").alias(order)), [group, order], "left_semi")
-
-
-def runs(rows: DataFrame, value: str, order: str) -> DataFrame:
-    """Numbers runs of equal values in order (gaps and islands): `run` from 1, `place` from 0."""
-    w = Window.partitionBy().orderBy(order)
-    change = F.coalesce((F.lag(value).over(w) != F.col(value)).cast("int"), F.lit(1))
-    numbered = rows.withColumn("change", change).withColumn("run", F.sum("change").over(w)).drop("change")
-    return numbered.withColumn("place", F.row_number().over(Window.partitionBy("run").orderBy(order)) - 1)
+    Groups within the cap stay as they are. The others' (group, order, size) are sorted by Spark and run through the fold batch by
+    batch; a task holds one batch and one sum, however large a group is."""
+    slim = rows.select(F.col(group).alias("group"), F.col(order).alias("key"), F.col(size).cast("long").alias("size"))
+    over = slim.groupBy("group").agg(F.sum("size").alias("all")).where(F.col("all") > cap).select("group")
+
+    def fold(batches):
+        at, room = None, cap
+        for b in batches:
+            groups, sizes = b.column("group"), b.column("size").to_numpy()
+            keep = np.zeros(len(sizes), bool)
+            codes = groups.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            steps = np.flatnonzero(np.diff(codes, prepend=-2))
+            for i, j in zip(steps, np.append(steps[1:], len(sizes))):
+                if (name := groups[int(i)].as_py()) != at or at is None:
+                    at, room = name, cap
+                while i < j:
+                    fits = np.flatnonzero(sizes[i:j] <= room) + i
+                    sums = np.cumsum(sizes[fits])
+                    n = int(np.searchsorted(sums, room, "right"))
+                    keep[fits[:n]] = True
+                    room -= int(sums[n - 1]) if n else 0
+                    i = int(fits[n]) + 1 if n < len(fits) else j
+            yield b.select(["group", "key"]).filter(pa.array(keep))
+
+    cut = slim.join(over, "group", "left_semi").repartition("group").sortWithinPartitions("group", "key").mapInArrow(fold, "group string, key long")
+    fine = slim.join(over, "group", "left_anti").select("group", "key")
+    kept = fine.unionByName(cut).select(F.col("group").alias(group), F.col("key").alias(order))
+    return rows.join(kept, [group, order], "left_semi")
+
+
+#: Order numbers that one block of a run search holds.
+BLOCK = 1 << 16
+
+
+def runs(rows: DataFrame, value: str, order: str, block: int = BLOCK) -> DataFrame:
+    """Numbers runs of equal values in order (gaps and islands): `run` from 1, `place` from 0. order: a whole number.
+
+    Blocks of the order are looked at side by side; only what each block begins and ends with is put in one row of blocks."""
+    w = Window.partitionBy("__b").orderBy(order)
+    names = rows.columns
+    rows = rows.withColumn("__b", F.floor(F.col(order) / block)).withColumns({"__at": F.row_number().over(w), "__before": F.lag(value).over(w)})
+    ends = rows.groupBy("__b").agg(F.max_by(F.struct(value), order).alias("last"), F.count(F.lit(1)).alias("n"))
+    line = Window.partitionBy().orderBy("__b")
+    ends = ends.select("__b", F.lag("last").over(line).alias("__last"), (F.coalesce(F.sum("n").over(line), F.lit(0)) - F.col("n")).alias("__rows"))
+    rows = rows.join(ends, "__b")
+    change = F.when(F.col("__at") > 1, ~F.col("__before").eqNullSafe(F.col(value))).otherwise(F.col("__last").isNull() | ~F.col("__last")[value].eqNullSafe(F.col(value)))
+    rows = rows.withColumn("__change", change).withColumn("__number", F.col("__rows") + F.col("__at"))
+    rows = rows.withColumns({"__runs": F.sum(F.col("__change").cast("long")).over(w), "__start": F.max(F.when(F.col("__change"), F.col("__number"))).over(w)})
+    sums = rows.groupBy("__b").agg(F.max("__runs").alias("r"), F.max("__start").alias("s"))
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("__b", F.coalesce(F.sum("r").over(before), F.lit(0)).alias("__base"), F.max("s").over(before).alias("__earlier"))
+    rows = rows.join(sums, "__b")
+    return rows.select(*names, (F.col("__base") + F.col("__runs")).alias("run"), (F.col("__number") - F.coalesce("__start", "__earlier")).alias("place"))
 
 
 def teachable(rows: DataFrame, chars: int = 800, excluded: list[str] | None = None) -> DataFrame:

@@ -89,18 +89,18 @@ def curate_pick_sections(spark, sf):
 
 
 @query(f"""WITH RECURSIVE {REASONS}, s AS (SELECT source, id, CAST(length(response) // 4 AS BIGINT) AS size, row_number() OVER (PARTITION BY source ORDER BY id) AS n FROM kept),
-w AS (SELECT source, id, n, CASE WHEN size <= 10000 THEN size ELSE 0 END AS used, size <= 10000 AS keep FROM s WHERE n = 1
-UNION ALL SELECT s.source, s.id, s.n, CASE WHEN w.used + s.size <= 10000 THEN w.used + s.size ELSE w.used END, w.used + s.size <= 10000 FROM w JOIN s ON s.source = w.source AND s.n = w.n + 1)
+w AS (SELECT source, id, n, CASE WHEN size <= 400000 THEN size ELSE 0 END AS used, size <= 400000 AS keep FROM s WHERE n = 1
+UNION ALL SELECT s.source, s.id, s.n, CASE WHEN w.used + s.size <= 400000 THEN w.used + s.size ELSE w.used END, w.used + s.size <= 400000 FROM w JOIN s ON s.source = w.source AND s.n = w.n + 1)
 SELECT source, id FROM w WHERE keep""")
 def curate_token_cap(spark, sf):
-    rows = _kept(spark, sf).select("source", "id", T.estimated_tokens(F.col("response")).alias("size"))
-    return C.capped(rows, "source", "id", "size", 10_000).select("source", "id")
+    rows = _kept(spark, sf).select("source", "id", F.col("tokens").alias("size"))
+    return C.capped(rows, "source", "id", "size", fixed.SOURCE_CAP).select("source", "id")
 
 
 @query("""SELECT doc_id AS id, lower(lpad(to_hex(list_reduce(list_prepend(14695981039346656037::UBIGINT, list_transform(range(1, strlen(s) + 1), lambda i: CAST(('0x' || substr(hex(encode(s)), 2 * i - 1, 2)) AS UBIGINT))),
-lambda h, b: CAST((CAST(xor(h, b) AS HUGEINT) * 1099511628211) % 18446744073709551616 AS UBIGINT))), 16, '0')) AS stable_id FROM (SELECT doc_id, substr(text, 1, 40) AS s FROM documents)""")
+lambda h, b: CAST((CAST(xor(h, b) AS HUGEINT) * 1099511628211) % 18446744073709551616 AS UBIGINT))), 16, '0')) AS stable_id FROM (SELECT doc_id, text AS s FROM documents)""")
 def curate_stable_ids(spark, sf):
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), T.fnv1a(F.substring("text", 1, 40)).alias("stable_id"))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), T.fnv1a("text").alias("stable_id"))
 
 
 _SPANS = [(1, "other"), (1, "rhythm_trick"), (2, "other"), (3, "fake_importance")]
@@ -188,7 +188,7 @@ def review_suggestions(spark, sf):
     return suggestions(spark.createDataFrame(_ANSWERS, "id int, text string"))
 
 
-@query(f"WITH a AS (SELECT doc_id AS id, lower(text) AS t FROM documents) SELECT rule, count(*) AS n, count(DISTINCT id) AS ids FROM ({_RULES_SQL}) WHERE match IS NOT NULL GROUP BY rule")
+@query(f"WITH a AS (SELECT doc_id AS id, lower(text) AS t FROM documents) SELECT rule, count(*) AS n, count(DISTINCT id) AS ids FROM ({_RULES_SQL} UNION ALL SELECT id, 'em_dash_habit', CASE WHEN length(t) - length(replace(t, '—', '')) >= 2 THEN '—' END FROM a) WHERE match IS NOT NULL GROUP BY rule")
 def review_suggestions_per_rule(spark, sf):
     rows = suggestions(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
     return rows.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
