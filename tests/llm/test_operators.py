@@ -79,7 +79,8 @@ def components_of(texts):
     return {k: (len(sets[k]), find(k)) for k in ids}
 
 
-def removed_of(texts, span=50):
+def texts_of(texts, span=50):
+    """Marks of the removed bytes of each text."""
     first = {}
     data = {k: (t or "").encode() for k, t in texts.items()}
     for k in sorted(data):
@@ -87,13 +88,19 @@ def removed_of(texts, span=50):
             first.setdefault(data[k][i : i + span], k)
     out = {}
     for k, d in data.items():
-        gone = np.zeros(len(d) + 1, bool)
+        out[k] = np.zeros(len(d), bool)
         for i in range(len(d) - span + 1):
             if first[d[i : i + span]] < k:
-                gone[i : i + span] = True
-        kept = bytes(np.frombuffer(d, np.uint8)[~gone[:-1]])
-        spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
-        out[k] = (len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+                out[k][i : i + span] = True
+    return out
+
+
+def removed_of(texts, span=50):
+    out = {}
+    for k, gone in texts_of(texts, span).items():
+        d = (texts[k] or "").encode()
+        spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
+        out[k] = (len(d), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(d, np.uint8)[~gone])).hexdigest())
     return out
 
 
@@ -258,6 +265,20 @@ def test_lm_scoring(documents, texts):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_lm_probabilities_sum_to_one(documents):
+    from millrace.llm import lm_scoring as L
+
+    model = L.fit(documents.select("text").where("text is not null"), 8)
+    table, unknown = L.class_scores(model["params"], model["freed"])
+    some = np.random.default_rng(0).integers(0, len(table), 200)
+    known = np.zeros(L.CLASSES)
+    for r in model["counts"].collect():
+        h, tail, c = (np.frombuffer(r[k], t) for k, t in (("h", np.uint64), ("tail", np.uint64), ("c", np.int64)))
+        k = L.classes_of(h, tail, model)
+        known += np.bincount(k, weights=(c - model["discount"]) / np.maximum(1, model["n"][k]), minlength=L.CLASSES)
+    assert np.allclose(10.0 ** table[some].astype(float) @ known + 10.0 ** unknown[some], 1, atol=1e-5)
+
+
 def test_lm_scoring_awkward(awkward, nothing):
     got = score_documents(awkward).collect()
     assert len(got) == awkward.count() and all(math.isfinite(r.score) for r in got)
