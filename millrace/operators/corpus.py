@@ -186,3 +186,45 @@ def search_plan(queries: Column, kind: Column) -> Column:
     base = F.array_distinct(F.filter(F.transform(queries, T.strip), lambda q: q != ""))
     return F.slice(F.array_distinct(F.flatten(F.transform(base, lambda q: widened(q, kind)))), 1, fixed.MAX_QUERIES)
 
+
+
+def raw_matches(rows: DataFrame, needle: str) -> DataFrame:
+    """Rows whose whole JSON line holds the needle, plain or as JSON writes it, in any case; keys and other fields count."""
+    raw, low = F.lower(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})), needle.lower()
+    escaped = low.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n").replace("\t", "\\t")
+    return rows.where(F.contains(raw, F.lit(low)) | F.contains(raw, F.lit(escaped)))
+
+
+#: Patterns of personal data and secrets, ours: the survey's source names the kinds only.
+PERSONAL = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "phone": r"\+\d{1,3}[ -]\d{2,4}[ -]\d{3,4}[ -]?\d{2,4}\b", "key": r"\b(?:sk|ghp|AKIA)[-_A-Za-z0-9]{16,}",
+    "private key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "password": r"(?i)(?:password|token)\s*=", "bearer": r"(?i)\bbearer\s+[A-Za-z0-9._-]{16,}",
+}
+
+
+def personal_kinds(text: Column) -> Column:
+    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(k)) for k, p in PERSONAL.items()]))
+
+
+def without_repeats(items: Column) -> Column:
+    """Of following equal items, the first."""
+    return F.filter(items, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(items, i - 1)))
+
+
+def cut(text: Column, most: int, mark: str = "\n[cut]") -> Column:
+    """At most `most` characters, ended at a line, with a mark if something is missing."""
+    return F.when(F.length(text) > most, F.concat(shortened(text, most), F.lit(mark))).otherwise(text)
+
+
+def settings(text: Column) -> Column:
+    """KEY=value lines as a map; comments, blank lines and quotes around values go; the last of a key counts."""
+    lines = F.filter(F.transform(F.split(text, "\n"), T.strip), lambda x: F.contains(x, F.lit("=")) & ~F.startswith(x, F.lit("#")))
+    pairs = F.transform(lines, lambda x: F.struct(F.trim(F.split_part(x, F.lit("="), F.lit(1))).alias("k"), F.regexp_replace(F.trim(F.regexp_replace(x, "^[^=]*=", "")), "^[\"']|[\"']$", "").alias("v")))
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
+    return F.map_from_entries(last)
+
+
+def page_bounds(start: Column, limit: Column, total: Column) -> Column:
+    """start and limit of a page from request parameters as text: what is no number is as if not sent."""
+    n = F.least(F.greatest(F.coalesce(limit.try_cast("int"), F.lit(20)), F.lit(1)), F.lit(100))
+    return F.struct(F.least(F.greatest(F.coalesce(start.try_cast("int"), F.lit(0)), F.lit(0)), total).alias("start"), n.alias("limit"))

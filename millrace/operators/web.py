@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions import fixed
+
 
 def title(html: Column) -> Column:
     """The first title, entities decoded, white space squeezed, at most 200 characters; null if there is none."""
@@ -15,32 +19,74 @@ def title(html: Column) -> Column:
     return F.when(squeezed != "", F.substring(squeezed, 1, 200))
 
 
+_HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+#: Most links of a page that are followed, and redirects.
+MOST_LINKS, MOST_REDIRECTS = 24, 3
+
+
 def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1))
+    """Targets of a page's links, in double, single or no quotes."""
+    each = [F.regexp_extract_all(html, F.lit(_HREF), F.lit(k)) for k in (1, 2, 3)]
+    return F.transform(F.arrays_zip(*[x.alias(n) for n, x in zip("abc", each)]), lambda t: F.concat(t["a"], t["b"], t["c"]))
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://([^/:?#]+)", 1))
 
 
+def path_of(url: Column) -> Column:
+    found = F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]*(/[^?#]*)", 1)
+    return F.when(found == "", "/").otherwise(found)
+
+
+def same_site(one: Column, other: Column) -> Column:
+    """Equal hosts, or one a part of the other's domain."""
+    return (one == other) | F.endswith(one, F.concat(F.lit("."), other)) | F.endswith(other, F.concat(F.lit("."), one))
+
+
+def is_chrome(url: Column) -> Column:
+    """A login wall, sign-up form or another page without content."""
+    return reduce(lambda a, b: a | b, [F.startswith(path_of(url), F.lit(p)) for p in fixed.CHROME_PATHS])
+
+
+def joined_path(path: Column, relative: Column) -> Column:
+    """A relative path from a page's folder; `.` and `..` are resolved."""
+    folder = F.regexp_replace(F.regexp_replace(path, r"[?#].*$", ""), r"[^/]*$", "")
+    parts = F.filter(F.split(F.concat(folder, F.lit("/"), relative), "/"), lambda p: (p != "") & (p != "."))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda a, p: F.when(p == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(p))))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
 def absolute(href: Column, url: Column) -> Column:
     """Absolute address of a link on a page; null for fragments and other schemes."""
+    href = F.trim(href)
     root = F.regexp_extract(url, r"^([a-zA-Z]+://[^/?#]+)", 1)
     return (
-        F.when(href.rlike(r"^https?://"), href)
+        F.when(href.rlike(r"(?i)^https?://"), href)
         .when(F.startswith(href, F.lit("//")), F.concat(F.regexp_extract(url, r"^([a-zA-Z]+:)", 1), href))
         .when(F.startswith(href, F.lit("/")), F.concat(root, href))
         .when(href.rlike(r"^[#?]|^[a-zA-Z][a-zA-Z0-9+.-]*:") | (href == ""), None)
-        .otherwise(F.concat(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"(?<=[^/:]/)[^/]*$|(?<=[^/:])$", ""), F.when(F.endswith(url, F.lit("/")), "").otherwise("/"), href))
+        .otherwise(F.concat(root, joined_path(path_of(url), href)))
     )
 
 
-def links(pages: DataFrame) -> DataFrame:
-    """page_id, position, link: each page's distinct absolute links on its own host, in order."""
+def links(pages: DataFrame, most: int = MOST_LINKS) -> DataFrame:
+    """page_id, position, link: each page's first distinct absolute links on its own site that lead to content, in order."""
     rows = pages.select("page_id", "url", F.posexplode(hrefs(F.col("html"))).alias("at", "href"))
-    rows = rows.withColumn("link", F.regexp_replace(absolute(F.col("href"), F.col("url")), "#.*$", "")).where(host(F.col("link")) == host(F.col("url")))
+    rows = rows.withColumn("link", F.regexp_replace(absolute(F.col("href"), F.col("url")), "#.*$", ""))
+    rows = rows.where(same_site(host(F.col("link")), host(F.col("url"))) & ~is_chrome(F.col("link")))
     first = rows.groupBy("page_id", "link").agg(F.min("at").alias("at"))
-    return first.withColumn("position", F.row_number().over(Window.partitionBy("page_id").orderBy("at")) - 1).select("page_id", "position", "link")
+    out = first.withColumn("position", F.row_number().over(Window.partitionBy("page_id").orderBy("at")) - 1).where(F.col("position") < most)
+    return out.select("page_id", "position", "link")
+
+
+def final_addresses(starts: DataFrame, redirects: DataFrame, most: int = MOST_REDIRECTS) -> DataFrame:
+    """url, final: where each address (url) leads over redirects (url, location), at most `most` of them; null beyond."""
+    now = starts.select("url", F.col("url").alias("final"), F.lit(True).alias("moving"))
+    hops = redirects.where("trim(location) != ''").select(F.col("url").alias("final"), "location")
+    for _ in range(most + 1):
+        now = now.join(hops, "final", "left").select("url", F.coalesce(absolute(F.col("location"), F.col("final")), "final").alias("final"), (F.col("moving") & F.col("location").isNotNull()).alias("moving"))
+    return now.select("url", F.when(~F.col("moving"), F.col("final")).alias("final"))
 
 
 def crawl(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:

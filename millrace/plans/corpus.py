@@ -250,3 +250,46 @@ def web_search_plan(spark, sf):
     """Searches widened by their kind. The SQL states the expected rows."""
     rows = spark.createDataFrame(_SEARCHES, "id int, q array<string>, kind string")
     return rows.select("id", F.array_join(C.search_plan(F.col("q"), F.col("kind")), "|").alias("queries"))
+
+
+@query("""SELECT doc_id FROM documents WHERE contains(lower(text), 'the ') OR contains(lower(source), 'the ') OR contains(coalesce(lower(lang), 'null'), 'the ')""")
+def review_search_lines(spark, sf):
+    """Search over whole JSON lines, all fields."""
+    return C.raw_matches(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"), "the ").select("doc_id")
+
+
+@query("SELECT doc_id AS id, kind FROM (SELECT doc_id, unnest([" + ", ".join(f"CASE WHEN regexp_matches(text, '{p}') THEN '{k}' END" for k, p in C.PERSONAL.items()) + "]) AS kind FROM documents) WHERE kind IS NOT NULL")
+def review_personal_kinds(spark, sf):
+    """Kinds of personal data and secrets in each document."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.explode(C.personal_kinds(F.col("text"))).alias("kind"))
+
+
+@query("""SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) WHERE role IS DISTINCT FROM p GROUP BY conv_id""")
+def chat_role_changes(spark, sf):
+    """Roles in order, without repeats next to each other."""
+    rows = table(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]).alias("r"))
+    return rows.select("conv_id", F.array_join(C.without_repeats(F.col("r")), ",").alias("roles"))
+
+
+@query("""WITH h AS (SELECT doc_id AS id, text, substr(text, 1, 300) AS h FROM documents), e AS (SELECT *, length(h) - strpos(reverse(h), chr(10)) AS e FROM h)
+SELECT id, md5(CASE WHEN length(text) <= 300 THEN text ELSE (CASE WHEN contains(h, chr(10)) AND e > 0 THEN substr(h, 1, e) ELSE h END) || chr(10) || '[cut]' END) AS text_md5 FROM e""")
+def web_cut_pages(spark, sf):
+    """Texts cut at a line, with a mark."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.md5(C.cut(F.col("text"), 300)).alias("text_md5"))
+
+
+@query("SELECT * FROM (VALUES ('A', '2'), ('B', 'x y'), ('C', ''), ('D', 'a=b')) v(k, v)")
+def models_settings(spark, sf):
+    """KEY=value lines. The SQL states the expected rows."""
+    rows = spark.createDataFrame([('# note\nA=1\nB = "x y"\n\nC=\nD=a=b\nA=2\nnone',)], "t string")
+    return rows.select(F.explode(C.settings(F.col("t"))).alias("k", "v"))
+
+
+_PAGES = [("0", "10"), ("-3", "1000"), ("x", ""), ("99", "0"), (None, "7")]
+
+
+@query("""SELECT start, "limit", least(greatest(coalesce(try_cast(start AS INT), 0), 0), 50) AS from_, least(greatest(coalesce(try_cast("limit" AS INT), 20), 1), 100) AS take FROM (VALUES ('0','10'),('-3','1000'),('x',''),('99','0'),(NULL,'7')) v(start, "limit")""")
+def review_page_bounds(spark, sf):
+    """Request parameters, lenient and clamped."""
+    b = C.page_bounds(F.col("start"), F.col("limit"), F.lit(50))
+    return spark.createDataFrame(_PAGES, "start string, limit string").select("start", "limit", b["start"].alias("from_"), b["limit"].alias("take"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .registry import query, table
 
-_REQUESTS = """r AS (SELECT ts, event_type AS path, user_id AS who, 'c' || (user_id % 40) AS client, 'm' || (k % 3) AS model, CAST(CASE WHEN k % 17 = 0 THEN 401 WHEN k % 13 = 0 THEN 503 ELSE 200 END AS INT) AS status,
+_REQUESTS = """r AS (SELECT ts, event_type AS path, user_id AS who, 'c' || (user_id % 40) AS client, 'm' || (k % 3) AS model, 'agent/' || (k % 5) AS user_agent, CAST(CASE WHEN k % 17 = 0 THEN 401 WHEN k % 13 = 0 THEN 503 ELSE 200 END AS INT) AS status,
 k % 11 = 0 AS limited, value * 10 AS total_ms, value AS first_byte_ms, k % 7 AS output_tokens FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))"""
 MODEL_PATHS = ["click", "view"]
 
@@ -19,7 +19,7 @@ def requests(spark, sf):
     k = F.get_json_object("props", "$.k").cast("long")
     rows = table(spark, sf, "events").withColumn("k", k)
     return rows.select(
-        "ts", F.col("event_type").alias("path"), F.col("user_id").alias("who"), F.concat(F.lit("c"), F.col("user_id") % 40).alias("client"), F.concat(F.lit("m"), F.col("k") % 3).alias("model"),
+        "ts", F.col("event_type").alias("path"), F.col("user_id").alias("who"), F.concat(F.lit("c"), F.col("user_id") % 40).alias("client"), F.concat(F.lit("m"), F.col("k") % 3).alias("model"), F.concat(F.lit("agent/"), F.col("k") % 5).alias("user_agent"),
         F.when(F.col("k") % 17 == 0, 401).when(F.col("k") % 13 == 0, 503).otherwise(200).alias("status"), (F.col("k") % 11 == 0).alias("limited"), (F.col("value") * 10).alias("total_ms"), F.col("value").alias("first_byte_ms"), (F.col("k") % 7).alias("output_tokens"),
     )
 
@@ -54,26 +54,28 @@ def dash_output_rate(spark, sf):
     return rows.groupBy("model").agg(F.round(F.sum("output_tokens") * 1000.0 / F.sum(F.col("total_ms") - F.col("first_byte_ms")), 6).alias("tokens_per_second"))
 
 
-@query(f"WITH {_REQUESTS} SELECT date_trunc('day', ts) AS day, model, round(quantile_cont(total_ms, 0.95), 6) AS p95 FROM r GROUP BY 1, 2")
+@query(f"WITH {_REQUESTS} SELECT date_trunc('minute', ts) AS minute, model, round(quantile_cont(total_ms, 0.95), 6) AS p95 FROM r WHERE path IN ('click','view') AND NOT limited GROUP BY 1, 2")
 def dash_p95_by_model(spark, sf):
-    rows = requests(spark, sf).groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "model")
+    """Exact within a minute and model, which bounds a group; over longer spans take approx_percentile."""
+    rows = requests(spark, sf).where(F.col("path").isin(MODEL_PATHS) & ~F.col("limited")).groupBy(_minute().alias("minute"), "model")
     return rows.agg(F.round(F.percentile("total_ms", F.lit(0.95)), 6).alias("p95"))
 
 
-@query(f"WITH {_REQUESTS} SELECT date_trunc('day', ts) AS day, round(quantile_cont(first_byte_ms, 0.5), 6) AS p50 FROM r GROUP BY 1")
+@query(f"WITH {_REQUESTS} SELECT date_trunc('minute', ts) AS minute, model, round(quantile_cont(first_byte_ms, 0.5), 6) AS p50 FROM r WHERE path IN ('click','view') AND NOT limited GROUP BY 1, 2")
 def dash_p50_first_byte(spark, sf):
-    return requests(spark, sf).groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.round(F.percentile("first_byte_ms", F.lit(0.5)), 6).alias("p50"))
+    rows = requests(spark, sf).where(F.col("path").isin(MODEL_PATHS) & ~F.col("limited")).groupBy(_minute().alias("minute"), "model")
+    return rows.agg(F.round(F.percentile("first_byte_ms", F.lit(0.5)), 6).alias("p50"))
 
 
-@query(f"WITH {_REQUESTS} SELECT path, count(*) AS n, count(*) FILTER (WHERE status >= 400) AS failed, count(*) FILTER (WHERE limited) AS limited, round(quantile_cont(total_ms, 0.5), 6) AS p50 FROM r GROUP BY path")
+@query(f"WITH {_REQUESTS} SELECT path, count(*) AS n, count(*) FILTER (WHERE status = 401) AS unauthorized, count(*) FILTER (WHERE status >= 500) AS failed, round(quantile_cont(total_ms, 0.5), 6) AS p50 FROM r GROUP BY path")
 def dash_by_route(spark, sf):
-    return requests(spark, sf).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") >= 400).alias("failed"), F.count_if("limited").alias("limited"), F.round(F.percentile("total_ms", F.lit(0.5)), 6).alias("p50"))
+    return requests(spark, sf).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == 401).alias("unauthorized"), F.count_if(F.col("status") >= 500).alias("failed"), F.round(F.percentile("total_ms", F.lit(0.5)), 6).alias("p50"))
 
 
-@query(f"WITH {_REQUESTS} SELECT client, count(*) AS n, count(DISTINCT path) AS paths, max(model) AS model FROM r GROUP BY client ORDER BY n DESC, client LIMIT 50")
+@query(f"WITH {_REQUESTS} SELECT client, count(*) AS n, count(DISTINCT path) AS paths, max(user_agent) AS agent FROM r GROUP BY client ORDER BY n DESC, client LIMIT 50")
 def dash_top_clients(spark, sf):
     """The top 50; ties go to the smaller name."""
-    return requests(spark, sf).groupBy("client").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("path").alias("paths"), F.max("model").alias("model")).orderBy(F.desc("n"), "client").limit(50)
+    return requests(spark, sf).groupBy("client").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("path").alias("paths"), F.max("user_agent").alias("agent")).orderBy(F.desc("n"), "client").limit(50)
 
 
 @query(f"WITH {_REQUESTS} SELECT who, count(*) FILTER (WHERE path IN ('click','view')) AS asked, count(*) FILTER (WHERE limited) AS refused, CAST(sum(output_tokens) AS BIGINT) AS tokens FROM r GROUP BY who")

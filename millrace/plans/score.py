@@ -4,20 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import answers as A
 from millrace.functions import text as T
+from millrace.operators import answers as O
 from millrace.operators import stats as S
 
 from .curate import _literal
 from .registry import query, table
 
-_TEXTS = [(1, "Great question! Let’s delve into it. In summary, it's worth noting."), (2, "Plain `great question` prose.\n```\ndelve into\n```\nEnd."), (3, "A game-changer, a Game Changer."), (4, "")]
+_ADDED = {0: (" Great question! ", "flattery_filler_opener"), 1: (" We delve into it. ", "empty_depth_words"), 2: (" In summary, `great question` no. ", "wrap_up_repeat"), 3: ("\n```\ndelve into\n```\n", None), 4: (" No pain. No gain. ", "rhythm_trick")}
 
 
-@query("""SELECT * FROM (VALUES (1,'flattery_filler_opener',1),(1,'empty_depth_words',1),(1,'wrap_up_repeat',1),(1,'fake_balance_hedging',1),(3,'fake_importance',2)) v(id, category, n)""")
+@query("SELECT doc_id AS id, CASE doc_id % 5 WHEN 0 THEN 'flattery_filler_opener' WHEN 1 THEN 'empty_depth_words' WHEN 2 THEN 'wrap_up_repeat' ELSE 'rhythm_trick' END AS category, "
+       "CASE doc_id % 5 WHEN 0 THEN 'Great question' WHEN 1 THEN 'delve into' WHEN 2 THEN 'In summary,' ELSE 'No pain. No gain.' END AS match, CAST(strlen(text) + CASE doc_id % 5 WHEN 1 THEN 4 ELSE 1 END AS INT) AS \"start\" "
+       "FROM documents WHERE doc_id % 5 <> 3 AND NOT contains(text, chr(96)) AND NOT regexp_matches(text, '[A-Z][a-z]+\\.\\s+[A-Z][a-z]+\\.\\s')")
 def score_slop(spark, sf):
-    """Stock phrases in prose; phrases in code do not count. The SQL states the expected rows."""
-    rows = spark.createDataFrame(_TEXTS, "id int, text string").select("id", F.explode(T.slop_counts(T.prose_only(F.col("text")))).alias("category", "n"))
-    return rows.where("n > 0")
+    """Stock phrases put behind documents, with their places in bytes; phrases in code do not count."""
+    add = F.coalesce(*[F.when(F.col("doc_id") % 5 == k, F.lit(t)) for k, (t, _) in _ADDED.items()])
+    rows = table(spark, sf, "documents").where(~F.contains("text", F.lit("`")) & ~F.col("text").rlike(r"[A-Z][a-z]+\.\s+[A-Z][a-z]+\.\s"))
+    rows = rows.select(F.col("doc_id").alias("id"), F.explode(A.slop_check(F.concat("text", add))["hits"]).alias("h"))
+    return rows.select("id", "h.category", F.col("h.text").alias("match"), "h.start")
+
+
+_CODE = {0: "fn a() { b().unwrap(); }", 1: "/// Doc.\npub fn a() -> u8 { 1 }", 2: "pub fn a() -> u8 { 1 }", 3: "fn a() {"}
+
+
+@query(r"""WITH d AS (SELECT doc_id, doc_id % 6 AS k, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS w FROM documents WHERE NOT contains(text, chr(96)))
+SELECT count(*) AS answers, count(*) FILTER (WHERE k < 4) AS with_code, count(*) FILTER (WHERE k < 3) AS parsed_blocks, count(*) FILTER (WHERE k = 1) AS all_rules, count(*) FILTER (WHERE k IN (1, 2)) AS no_unwrap_passed, count(*) FILTER (WHERE k < 3) AS no_unwrap_applied,
+count(*) FILTER (WHERE k = 1) AS pub_docs_passed, count(*) FILTER (WHERE k IN (1, 2)) AS pub_docs_applied, count(*) FILTER (WHERE k IN (0, 2)) AS false_claims, CAST(sum(w + 5) AS BIGINT) AS words FROM d""")
+def score_run_summary(spark, sf):
+    """The summary of a run whose answers claim to keep the rules and end in a block of code, or none."""
+    code = F.coalesce(*[F.when(F.col("doc_id") % 6 == k, F.lit(f"\n```rust\n{c}\n```\n")) for k, c in _CODE.items()], F.lit(""))
+    rows = table(spark, sf, "documents").where(~F.contains("text", F.lit("`"))).select(F.col("doc_id").alias("id"), F.concat("text", F.lit("\nIt adheres to the rules\n"), code).alias("text"))
+    names = ["answers", "with_code", "parsed_blocks", "all_rules", "no_unwrap_passed", "no_unwrap_applied", "pub_docs_passed", "pub_docs_applied", "false_claims", "words"]
+    return O.summary(O.score(rows)).select(*names)
 
 
 @query(r"""SELECT source, CAST(sum(len(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '))) AS BIGINT) AS words, CAST(sum(length(text) - length(replace(text, '—', ''))) AS BIGINT) AS em_dashes FROM documents WHERE trim(text) <> '' GROUP BY source""")

@@ -23,8 +23,8 @@ def web_hosts(spark, sf):
 
 
 @query(r"""WITH h AS (SELECT page_id, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) AS root, regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1) AS a FROM pages),
-e AS (SELECT page_id, root, unnest(a) AS href, generate_subscripts(a, 1) AS pos FROM h), l AS (SELECT page_id, root || regexp_replace(href, '#.*$', '') AS link, min(pos) AS pos FROM e WHERE starts_with(href, '/') AND NOT starts_with(href, '//') GROUP BY 1, 2)
-SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INT) AS position, link FROM l""")
+e AS (SELECT page_id, root, unnest(a) AS href, generate_subscripts(a, 1) AS pos FROM h), l AS (SELECT page_id, root || regexp_replace(href, '#.*$', '') AS link, min(pos) AS pos FROM e WHERE starts_with(href, '/') AND NOT starts_with(href, '//') AND NOT regexp_matches(href, '^/(login|signup|uas/|account|help|legal)') GROUP BY 1, 2)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INT) AS position, link FROM l QUALIFY position < 24""")
 def web_links(spark, sf):
     return W.links(table(spark, sf, "pages"))
 
@@ -57,3 +57,21 @@ def agg_conditional_sums(spark, sf):
 @query("""SELECT c_mktsegment, c_custkey, CAST(rank AS INT) AS rank FROM (SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer) WHERE rank <= 3""")
 def window_top_customers(spark, sf):
     return C.first_per_group(table(spark, sf, "customer").select("c_mktsegment", "c_custkey", "c_acctbal"), "c_mktsegment", [F.desc("c_acctbal"), "c_custkey"], 3).drop("c_acctbal")
+
+
+_REDIRECTS = [("https://h.org/a", "/b"), ("https://h.org/b", "c/../d"), ("https://h.org/l", "/l"), ("https://h.org/x", " "), ("https://h.org/p/q", "../r?s=1")]
+
+
+@query("SELECT * FROM (VALUES ('https://h.org/a', 'https://h.org/d'), ('https://h.org/b', 'https://h.org/d'), ('https://h.org/l', NULL), ('https://h.org/x', 'https://h.org/x'), ('https://h.org/p/q', 'https://h.org/r?s=1'), ('https://h.org/z', 'https://h.org/z')) v(url, final)")
+def web_redirects(spark, sf):
+    """Where addresses lead; a loop leads nowhere. The SQL states the expected rows."""
+    hops = spark.createDataFrame(_REDIRECTS, "url string, location string")
+    return W.final_addresses(hops.select("url").union(spark.createDataFrame([("https://h.org/z",)], "url string")), hops)
+
+
+_HOSTS = [("a.org", "a.org"), ("www.a.org", "a.org"), ("a.org", "www.a.org"), ("ba.org", "a.org"), ("a.org", "b.org")]
+
+
+@query("""SELECT one, other, one = other OR ends_with(one, '.' || other) OR ends_with(other, '.' || one) AS same FROM (VALUES ('a.org','a.org'),('www.a.org','a.org'),('a.org','www.a.org'),('ba.org','a.org'),('a.org','b.org')) v(one, other)""")
+def web_same_site(spark, sf):
+    return spark.createDataFrame(_HOSTS, "one string, other string").withColumn("same", W.same_site(F.col("one"), F.col("other")))
