@@ -11,7 +11,7 @@ windows.
 
 An item of fewer tokens than a window is one window of its own length, and documents have windows of each such length that
 occurs; one without a plain word is compared by its values, for its template alone would be in nearly every document.
-Defined cases: null and empty texts, and items without tokens, match nothing;
+Defined cases: null and empty texts, and items without tokens, match nothing; a number of more than AT_ONCE parts is several;
 repeated document rows give one result row; rows with a null id take no part; extra columns are ignored.
 """
 
@@ -31,14 +31,17 @@ UNITS = "km|cm|mm|m|kg|mg|g|lb|lbs|oz|l|ml|mph|kmh|s|sec|seconds|min|minutes|h|h
 PARTICLES = "al|bin|da|de|del|della|den|der|di|dos|du|la|van|von"
 #: Most tokens by which one alignment may differ from the next one that is counted with it; less than a window.
 DRIFT = WINDOW - 1
+#: Words of a name, and parts of a number, that one match takes: a pattern's depth must not grow with the text.
+AT_ONCE = 24
 _NAME, _END = "\u0004", "\u0005"
 
 
 def marked_tokens(text: Column) -> Column:
     """Lower-cased words, names and numbers. A run of names is one token with a mark in front, a number and its unit are one too."""
-    run = rf"\p{{Lu}}(?<=[^.!?\s]\s{{1,3}}\p{{Lu}})\p{{Ll}}+\p{{L}}*(?:\s{{1,3}}(?:(?:{PARTICLES})\s{{1,3}}){{0,2}}\p{{Lu}}\p{{Ll}}+\p{{L}}*)*"
+    run = rf"\p{{Lu}}(?<=[^.!?\s]\s{{1,3}}\p{{Lu}})\p{{Ll}}+\p{{L}}*(?:\s{{1,3}}(?:(?:{PARTICLES})\s{{1,3}}){{0,2}}\p{{Lu}}\p{{Ll}}+\p{{L}}*){{0,{AT_ONCE}}}"
     named = F.regexp_replace(F.translate(text, _NAME + _END, "  "), run, f"{_NAME}$0{_END}")
-    number = rf"\p{{N}}+(?:[.,]\p{{N}}+)*(?:\s{{0,2}}(?:{UNITS})(?![\p{{L}}\p{{N}}]))?"
+    named = F.regexp_replace(named, rf"{_END}(\s{{1,3}}){_NAME}", "$1")  # a longer run is matched in parts
+    number = rf"\p{{N}}+(?:[.,]\p{{N}}+){{0,{AT_ONCE}}}(?:\s{{0,2}}(?:{UNITS})(?![\p{{L}}\p{{N}}]))?"
     found = F.regexp_extract_all(F.lower(named), F.lit(rf"{_NAME}[^{_END}]+|{number}|\p{{L}}+"), F.lit(0))
     return F.transform(found, lambda t: F.when(_slot(t).isNotNull(), F.regexp_replace(t, r"\s+", " ")).otherwise(t))
 

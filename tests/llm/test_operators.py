@@ -417,6 +417,13 @@ def test_leaks_of_edited_items(spark):
     assert not {k for k, _ in got} & {7, 8}
 
 
+def test_leaks_in_long_runs_of_names_and_numbers(spark):
+    names, numbers = "he met " + "Alpha Beta " * 30_000, ",".join(map(str, range(30_000)))
+    docs = spark.createDataFrame([(1, names), (2, numbers), (3, f"{numbers} {QUESTION} {names}"), (4, "é" * 500_000)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(docs, spark.createDataFrame([(10, QUESTION)], "item_id long, text string")).collect()}
+    assert got == {(3, 10)}
+
+
 def test_leaks_of_table_match_plain_search(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
