@@ -4,10 +4,11 @@ A tolerant tree builder reads a page's tags (implied ends of p, li, dt/dd, optio
 raw text of script and style; unclosed and stray tags), visibility rules drop what a browser does not show (head, script, style,
 template, noscript, the hidden attribute, aria-hidden is kept, display:none or visibility:hidden in a style attribute, hidden
 inputs, comments), and a renderer emits all visible text: blocks on lines of their own, paragraphs, headings, lists, tables and
-quotes apart by a blank line, `- ` and `1. ` items indented by depth, table cells padded to the width of their column and parted
+quotes apart by a blank line, `- ` and `1. ` items indented by depth, table cells padded to the width of their column (PAD at most) and parted
 by ` | `, pre with its white space, br as a line break, an image's alt text.
 
-Defined cases: a null page gives null; an empty one an empty text; unknown tags are inline; broken markup is text; nesting beyond
+Defined cases: a null page gives null; an empty one an empty text; unknown tags are inline; broken markup is text; an unclosed quote in a tag is a
+sign like any other, and every page is read in time in proportion to its length; nesting beyond
 DEPTH levels is flattened; repeated rows are returned each; extra columns are ignored.
 """
 
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 
 from . import bytesops as B
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+OPEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)", re.S)
+STOP = re.compile("[>\"']")
+#: Widest column that is padded: a longer cell stands out of its column, so that a table's text stays in proportion to its page.
+PAD = 60
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 # Element names of the HTML standard, by how they behave.
@@ -41,8 +45,20 @@ DEPTH = 200
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
+def tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the tag whose attributes start at `at` ends (its `>`), -1 if nowhere; quoted values may hold `>`, an unclosed quote is
+    a sign like any other. last: the last place of `>` and of each quote, so that nothing is searched for that does not come."""
+    k = at
+    while k <= last[">"] and (m := STOP.search(page, k)):
+        if m[0] == ">":
+            return m.start()
+        k = page.find(m[0], m.end()) + 1 if m.start() < last[m[0]] else m.end()
+    return page.find(">", at) if at <= last[">"] else -1
+
+
 def parse(page: str) -> list:
     """The tree: [name, attributes text, children]; children are strings and such lists."""
+    last = {c: page.rfind(c) for c in ">\"'"}
     root: list = ["html", "", []]
     open_ = [root]
 
@@ -59,9 +75,12 @@ def parse(page: str) -> list:
                 return
 
     at, low = 0, None
-    while (m := TOKEN.search(page, at)) is not None:
+    while (m := OPEN.search(page, at)) is not None:
+        stop = tag_end(page, m.end(), last) if m["name"] else m.end() - 1
+        if stop < 0:  # no tag ends any more: the rest is text
+            break
         text(unescape(page[at : m.start()]) if m.start() > at else "")
-        at = m.end()
+        at, attrs = stop + 1, page[m.end() : stop]
         if m["cdata"] is not None:
             text(m["cdata"])
         if m["name"] is None:
@@ -81,7 +100,7 @@ def parse(page: str) -> list:
             end(ENDS[name], BARRIERS[name])
         if name in ENDS_P:
             end(frozenset(["p"]), frozenset(["td", "th", "table", "li", "button"]))
-        node: list = [name, m["attrs"], []]
+        node: list = [name, attrs, []]
         open_[-1][2].append(node)
         if name in VOID:
             continue
@@ -226,7 +245,7 @@ def table(node: list, depth: int) -> list[str]:
 
     walk(node)
     widths = [max((len(r[i]) for r in rows if i < len(r)), default=0) for i in range(max(map(len, rows), default=0))]
-    return loose + [line for r in rows if (line := " | ".join(c.ljust(w) for c, w in zip(r, widths)).rstrip())]
+    return loose + [line for r in rows if (line := " | ".join(c.ljust(min(w, PAD)) for c, w in zip(r, widths)).rstrip())]
 
 
 def extract(page: str | None) -> str | None:

@@ -441,6 +441,24 @@ def test_html():
     assert extract(None) is None and extract("") == ""
 
 
+def test_html_of_hostile_pages():
+    import time
+
+    start = time.time()
+    assert "end" in extract('<a b="x\' ' * 60_000 + "> end")
+    assert extract("<a " * 100_000 + "'") and extract("<p \"'>" * 50_000 + "end")
+    wide = "<table><tr><td>" + "w" * 5_000 + "</td><td>a</td></tr>" + "<tr><td>x</td><td>y</td></tr>" * 3_000 + "</table>"
+    assert len(extract(wide)) < 3 * len(wide)
+    assert time.time() - start < 20
+    assert extract('<p title="a > b">shown</p><p title="open>too</p>') == "shown\n\ntoo"
+
+
+def test_html_rendering_of_blocks_and_tables():
+    page = "<h2>T</h2><ol><li>a<ul><li>b</ul><li>c</ol><table><tr><td>one<td>2<tr><td>three<td>4</table><pre>x\n  y</pre><p>see <img alt='cat'> &lt;b&gt;<p>a<br>b<dl><dt>k<dd>v</dl><noscript>no</noscript><template>no</template><p style='visibility: hidden'>no</p><select><option>o1<option>o2</select>"
+    want = ["T", "1. a", "   - b", "2. c", "one   | 2", "three | 4", "x", "  y", "see cat <b>", "a", "b", "k", "v", "o1", "o2"]
+    assert [x for x in extract(page).split("\n") if x] == want
+
+
 def test_html_awkward(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<div>" * 5000 + "deep"), (3, "u", "<p>unclosed <b"), (None, "u", "text"), (4, "u", "a " * 200_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
