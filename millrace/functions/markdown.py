@@ -75,10 +75,27 @@ def strip_html(line: Column) -> Column:
     return decode_entities(F.array_join(F.zip_with(between, kept, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""))
 
 
+def is_blank(line: Column) -> Column:
+    return strip(line) == ""
+
+
 def collapse_blank_lines(text: Column) -> Column:
     """Of each run of blank lines, the first."""
-    whole = F.array_join(lines(text), "\n")
-    return F.regexp_replace(whole, r"(?dUm)^([^\S\n]*)(?:\n[^\S\n]*+(?=\n|\z))++", "$1")
+    found = lines(text)
+    before = F.concat(F.array(F.lit("-")), F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0))))
+    kept = F.filter(F.arrays_zip(found.alias("line"), before.alias("before")), lambda x: ~is_blank(x["line"]) | ~is_blank(x["before"]))
+    return F.array_join(F.transform(F.slice(kept, F.lit(1), F.size(found)), lambda x: x["line"]), "\n")
+
+
+def bound(value: Column, of) -> Column:
+    """of(value), with value made once and not for each use."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
+def from_first(found: Column, stop) -> Column:
+    """The lines from the first for which `stop` holds; none if it never does."""
+    at = F.array_position(F.transform(found, stop), True)
+    return F.when(at > 0, F.slice(found, F.greatest(at, F.lit(1)).cast("int"), F.size(found))).otherwise(F.array().cast("array<string>"))
 
 
 def _tidied(text: str) -> str:
@@ -163,11 +180,11 @@ def passage(chapter: Column, heading: Column, body: Column) -> Column:
 
 def header_comment(source: Column, marker: str) -> Column:
     """The comment lines that open a source file, without their markers; null if it does not open with a comment."""
-    mark = "(?:" + re.escape(marker) + ")"
-    skipped = F.regexp_replace(source, r"(?dU)\A(?>\s*+(?:#![^\n]*(?:\n|\z))?)*", "")
-    block = F.regexp_extract(skipped, rf"(?dU)\A(?:[^\S\n]*{mark}[^\n]*(?:\n|\z))+", 0)
-    found = strip(F.array_join(F.transform(lines(block), lambda x: strip(F.regexp_replace(strip(x), f"^{mark}", ""))), "\n"))
-    return F.when(found != "", found)
+    found = from_first(F.transform(lines(source), strip), lambda x: (x != "") & ~F.startswith(x, F.lit("#!")))
+    ends = F.array_position(F.transform(found, lambda x: F.startswith(x, F.lit(marker))), False)
+    block = F.when(ends > 0, F.slice(found, F.lit(1), F.greatest(ends - 1, F.lit(0)).cast("int"))).otherwise(found)
+    comment = strip(F.array_join(F.transform(block, lambda x: strip(F.substring(x, len(marker) + 1, 1 << 30))), "\n"))
+    return F.when(comment != "", comment)
 
 
 def extension(path: Column) -> Column:
@@ -195,8 +212,14 @@ def fenced_blocks(text: Column) -> Column:
     whole, language, code = (F.regexp_extract_all(text, pattern, F.lit(k)) for k in range(3))
     before = F.split(text, r"(?dms)^[ \t]*(?:```|~~~)[ \t]*[\w+#.-]*[^\n]*\n.*?(?:^[ \t]*(?:```|~~~)[ \t]*$|\z)")
     breaks = lambda x: F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
-    lead = lambda i: breaks(F.array_join(F.slice(before, 1, i + 1), "")) + breaks(F.array_join(F.slice(whole, 1, i), ""))
-    return F.transform(F.arrays_zip(language.alias("language"), code.alias("code")), lambda x, i: F.struct(x["language"].alias("language"), x["code"].alias("code"), (lead(i) + 2).alias("line")))
+    sizes = F.struct(F.transform(before, breaks).alias("before"), F.transform(whole, breaks).alias("whole"), language.alias("language"), code.alias("code"))
+    total = lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n)
+
+    def numbered(v: Column) -> Column:
+        lead = lambda i: total(F.slice(v["before"], 1, i + 1)) + total(F.slice(v["whole"], 1, i))
+        return F.transform(F.arrays_zip(v["language"].alias("language"), v["code"].alias("code")), lambda x, i: F.struct(x["language"].alias("language"), x["code"].alias("code"), (lead(i) + 2).alias("line")))
+
+    return bound(sizes, numbered)
 
 
 def rust_blocks(text: Column) -> Column:

@@ -60,7 +60,7 @@ def reads_as_answer(text: Column) -> Column:
 
 def answer(text: Column) -> Column:
     """A section without the headings and blank lines that open it."""
-    return T.strip(F.regexp_replace(text, r"(?dU)\A(?>(?:#[^\n]*|[^\S\n]*)(?:\n|\z))*+", ""))
+    return T.strip(F.array_join(M.from_first(M.lines(text), lambda x: ~F.startswith(x, F.lit("#")) & ~M.is_blank(x)), "\n"))
 
 
 def collection(origin: Column) -> Column:

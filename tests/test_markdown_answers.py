@@ -83,3 +83,9 @@ def test_scores_and_summary(spark):
     assert (r.answers, r.with_code, r.blocks, r.clean_prose, r.slop_hits, r.false_claims, r.no_unwrap_applied, r.hits_flattery_filler_opener) == (4, 1, 1, 3, 1, 1, 1, 1)
     cells = score.rates(total, "run").first()
     assert (cells.n, cells.no_unwrap, cells.false_claims) == ("4", "0% of 1", "25%")
+
+
+def test_long_runs_do_not_overflow(spark):
+    many = "\n" * 50_000 + "# h\n" * 20_000 + "text"
+    got = spark.createDataFrame([(many, "x.py")], "t string, p string").select(F.length(M.clean(F.col("t"))).alias("n"), M.header_comment(F.col("t"), "#").alias("h")).first()
+    assert got.n == 1 + len("# h\n" * 20_000 + "text") and got.h.startswith("h\nh")
