@@ -96,6 +96,7 @@ def context_counts(docs: DataFrame) -> DataFrame:
                     yield packed(lang)
         while held:
             yield packed(next(iter(held)))
+        B.give_back()
 
     def add(table: pa.Table) -> pa.Table:
         keys, n = _summed([B.joined(table.column("idx"), np.uint32)], [B.joined(table.column("n"), np.int64)])

@@ -434,6 +434,7 @@ def shard_spans(buckets: int):
                 out.append(_row(kind=1, bucket=int(w), anchor=anchor, salt=salt, content=text[B.ranges(begin[k], np.full(k.sum(), SPAN))], docs=low[k]))
             one = np.repeat(~later, counts)
             out.append(_row(kind=2, anchor=anchor, salt=salt, docs=docs[~later], sizes=sizes[~later].astype(np.uint8), content=content[np.repeat(~later, sizes)], counts=counts[~later].astype(np.int32), places=places[one]))
+        B.give_back()
         return pa.concat_tables(out)
 
     return shard
