@@ -30,4 +30,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# All shingles and links of documents, and the components that links reach.
+_JACCARD = r"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i+4], ' ') END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.c, d.doc_id)) AS component_id FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)"""
+
+# Every string of 50 bytes (100 hexadecimal digits), and the runs of those that a smaller doc_id has.
+_REPEATS = r"""WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM t WHERE length(h) >= 100)),
+f AS (SELECT x, min(doc_id) AS d FROM s GROUP BY x HAVING min(doc_id) < max(doc_id)), g AS (SELECT doc_id, i FROM s JOIN f USING (x) WHERE d < doc_id),
+k AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM g), j AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM k),
+u AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM j GROUP BY doc_id, run), e AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM u),
+o AS (SELECT doc_id, sum(b - a) AS r, count(*) AS c, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM e JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, coalesce(c, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM t LEFT JOIN o USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": _JACCARD, "op9_suffix_array_dedup": _REPEATS}
