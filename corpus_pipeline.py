@@ -25,7 +25,7 @@ from millrace.llm.decontaminate import clean_documents
 from millrace.llm.jaccard import join_documents
 from millrace.llm.language_id import SYMBOLS, classify, train, training_rows
 from millrace.llm.packing import pack_documents
-from millrace.llm.scratch import keys_join, stored
+from millrace.llm.scratch import keys_join, release, stored
 from millrace.llm.suffix_dedup import kept_bytes, with_runs
 
 
@@ -88,7 +88,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
-    return stored(STAGES[-1][1](spark, docs, sf_dir), f"stage-{STAGES[-1][0]}")
+        if before:
+            release(*before)
+        before = [docs]
+    return docs
