@@ -32,9 +32,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of one Arrow batch between the JVM and Python; the default, 64 MB or 10,000 rows, is many times what a task works on at once.
+BATCH_BYTES = 4 << 20
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
