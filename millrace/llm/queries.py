@@ -13,6 +13,7 @@ from .language_id import op10_language_id
 from .lm_scoring import op1_lm_scoring
 from .nn_descent import op5_nn_descent
 from .packing import op4_packing
+from .phrases import op11_phrase_mining
 from .sstable import op2_token_shards
 from .suffix_dedup import op9_suffix_array_dedup
 from .toxicity import op3_toxicity
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
+    "op11_phrase_mining": op11_phrase_mining,
 }
 
 # All shingles and links of documents, and the components that links reach.
@@ -47,4 +49,16 @@ u AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM j GROUP BY doc_id, run),
 o AS (SELECT doc_id, sum(b - a) AS r, count(*) AS c, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept FROM e JOIN t USING (doc_id) GROUP BY doc_id)
 SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, coalesce(c, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM t LEFT JOIN o USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": _JACCARD, "op9_suffix_array_dedup": _REPEATS}
+# Counts of all phrases of up to three words, the lowest cut of each candidate, and candidates inside longer ones.
+_PHRASES = r"""WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM t),
+g AS (SELECT lang, k, w[i:i+k-1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+s AS (SELECT c.lang, c.k, c.g, c.f AS a, j, x.f AS l, y.f AS r, ((1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f))::BIGINT AS score FROM c, (VALUES (1), (2)) v(j) JOIN f x ON x.lang = c.lang AND x.g = c.g[:j] JOIN f y ON y.lang = c.lang AND y.g = c.g[j+1:] WHERE j < c.k),
+b AS (SELECT lang, k, g, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+o AS (SELECT b.* FROM b WHERE k = 3 OR NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.k = 3 AND (c.g[1:2] = b.g OR c.g[2:3] = b.g) AND 100 * c.f >= 50 * b.a)),
+q AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM o)
+SELECT q.lang, row_number() OVER (PARTITION BY q.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": _JACCARD, "op9_suffix_array_dedup": _REPEATS, "op11_phrase_mining": _PHRASES}
