@@ -16,6 +16,7 @@ from .packing import op4_packing
 from .phrases import op11_phrase_mining
 from .sstable import op2_token_shards
 from .suffix_dedup import op9_suffix_array_dedup
+from .token_counts import op12_token_counts
 from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_token_counts": op12_token_counts,
 }
 
 # All shingles and links of documents, and the components that links reach.
