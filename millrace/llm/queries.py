@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op6_decontamination
+from .hard_negatives import op13_hard_negatives
 from .html_text import op7_html_extraction
 from .jaccard import op8_ngram_jaccard_join
 from .language_id import op10_language_id
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_phrase_mining": op11_phrase_mining,
     "op12_token_counts": op12_token_counts,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # All shingles and links of documents, and the components that links reach.
@@ -63,4 +65,12 @@ o AS (SELECT b.* FROM b WHERE k = 3 OR NOT EXISTS (SELECT 1 FROM c WHERE c.lang
 q AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM o)
 SELECT q.lang, row_number() OVER (PARTITION BY q.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM q JOIN n USING (lang) QUALIFY rank <= 2000"""
 
-ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": _JACCARD, "op9_suffix_array_dedup": _REPEATS, "op11_phrase_mining": _PHRASES}
+# All scores of anchors, their first positives, and the negatives in each positive's range.
+_NEGATIVES = """WITH e AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own = label QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score FROM p JOIN s USING (anchor_id)
+WHERE own <> label AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score QUALIFY rank <= 5"""
+
+ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": _JACCARD, "op9_suffix_array_dedup": _REPEATS, "op11_phrase_mining": _PHRASES, "op13_hard_negatives": _NEGATIVES}
