@@ -1,155 +1,181 @@
-"""Answers: stock phrases with their places, rules for Rust code, claims that the code contradicts.
+"""Answers: stock phrases with their places, and claims about the code, over whole Arrow batches of texts.
 
-Places are bytes and hits must not overlap, which takes a walk along each text; so these are Arrow functions over whole columns.
-The code rules work on tokens (strings and comments blanked), not on a syntax tree: macros, aliases of `Result` and nested
-modules are seen only as far as their text shows them.
+Places are bytes and hits must not overlap. Phrases are found by one automaton; of the rhythm tricks three begin with words that an
+automaton finds as well, the fourth (three sentences of one word) is followed from dot to dot. Only rows in which such words stand are
+looked at by a pattern. A null text is an empty one.
 """
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
 
-from . import fixed
-from .text import phrase_pattern
+from . import automaton, fixed
+from .automaton import Automaton
+from .fences import blank_code
 
 CATEGORIES = [*fixed.SLOP_PHRASES, "rhythm_trick"]
 RULES = ["no_unwrap", "error_enum", "pub_docs", "no_body_comments", "no_index_loops"]
-_PHRASES = [(k, re.compile(phrase_pattern(p))) for k, p in enumerate(fixed.SLOP_PHRASES.values())]
-_PHRASES += [(len(_PHRASES), re.compile(p)) for p in fixed.RHYTHM_PATTERNS]
-_FENCED = re.compile(r"^[ \t]*(?:```|~~~).*?(?:^[ \t]*(?:```|~~~)[^\n]*$|\Z)", re.M | re.S)
-_INLINE = re.compile(r"`[^`\n]+`")
-_CLAIMS = [(rule, re.compile(p, re.I)) for rule, p in fixed.CLAIMS]
+_PHRASES = Automaton([p for of in fixed.SLOP_PHRASES.values() for p in of])
+_CATEGORY = np.array([k for k, of in enumerate(fixed.SLOP_PHRASES.values()) for _ in of])
+_WHITE = "[" + "".join(map(chr, [*range(9, 14), 0x20])) + automaton.WIDE_WHITE + "]"
+_SENTENCES = 2  # of RHYTHM_PATTERNS, the one that no word begins
+_RHYTHM = [re.compile(p.replace(r"\s", _WHITE)) for p in fixed.RHYTHM_PATTERNS]
+_OPENINGS = Automaton(["not because", "it's", "it is", "this is", "that's", "no "])
+_OPENS = np.array([0, 1, 1, 1, 1, 3])  # the pattern that each may begin
+_CLAIMS = [(rule, re.compile(p.replace(r"\s", _WHITE), re.I)) for rule, p in fixed.CLAIMS]
+#: In every claim stands one of these.
+_CLAIM_WORDS = Automaton(["unwrap", "expect", "custom error enum", "pub", "no comments", "no index", "adher", "compl", "conform", "follow", "satisfies", "meets"])
+#: Bytes of text that are looked at together.
+_PART = 4 << 20
+
+
+class _Row:
+    """One row's prose as characters, with the byte at which each begins."""
+
+    def __init__(self, data: np.ndarray):
+        self.text = data.tobytes().decode("utf-8", "replace")
+        self.at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+
+    def char(self, byte: int) -> int:
+        return int(np.searchsorted(self.at, byte))
+
+
+def _one_word_sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of three sentences in a row that are one capitalised ASCII word each."""
+    none = np.zeros(0, np.int64)
+    if len(data) < 2:
+        return none, none
+    low = (data >= 97) & (data <= 122)
+    begin = np.flatnonzero((data[:-1] >= 65) & (data[:-1] <= 90) & low[1:])
+    stops = np.append(np.flatnonzero(~low), len(data))
+    dot = stops[np.searchsorted(stops, begin + 1)]
+    row_end = off[np.searchsorted(off, begin, "right")]
+    fine = dot < row_end
+    fine[fine] = data[dot[fine]] == 0x2E
+    begin, dot, row_end = begin[fine], dot[fine], row_end[fine]
+    ink = np.append(np.flatnonzero(~automaton.white(data)), len(data))
+    after = ink[np.searchsorted(ink, dot + 1)]
+    follows = np.searchsorted(begin, after)
+    chained = (after > dot + 1) & (after < row_end) & (follows < len(begin))
+    chained[chained] = begin[follows[chained]] == after[chained]
+    one = np.flatnonzero(chained)
+    one = one[chained[follows[one]]]
+    one = one[~automaton.is_word(data, begin[one], off[np.searchsorted(off, begin[one], "right") - 1], row_end[one], False)]
+    return begin[one], dot[follows[follows[one]]] + 1
+
+
+def _openings(data: np.ndarray, off: np.ndarray, rows: dict[int, _Row]):
+    """(pattern, start, end) of the rhythm tricks that begin with given words."""
+    row, which, start, end = _OPENINGS.find(data, off)
+    found = {}
+    for r, p, a in zip(row.tolist(), _OPENS[which].tolist(), start.tolist()):
+        x = rows.get(r)
+        if x is None:
+            x = rows[r] = _Row(data[off[r] : off[r + 1]])
+        m = _RHYTHM[p].match(x.text, x.char(a - int(off[r])))
+        if m:
+            found[p, a] = int(off[r]) + int(x.at[m.end()])
+    keys = sorted(found, key=lambda k: k[1])
+    return np.array([k[0] for k in keys], np.int64), np.array([k[1] for k in keys], np.int64), np.array([found[k] for k in keys], np.int64)
+
+
+def _found(data: np.ndarray, off: np.ndarray) -> tuple:
+    """Of rows of bytes: hits (row, category, start, end), em dashes, words, claims (row, place in CLAIMS, start, end)."""
+    prose = blank_code(data, off)
+    rows: dict[int, _Row] = {}
+    _, phrase, start, end = _PHRASES.find(prose, off)
+    group, parts = _CATEGORY[phrase], []
+    keep = automaton.apart(start, end, group)  # each category by itself, as each pattern by itself, then all of them
+    parts.append((group[keep], start[keep], end[keep]))
+    pattern, start, end = _openings(prose, off, rows)
+    keep = automaton.apart(start, end, pattern)
+    parts.append((np.full(len(keep), len(CATEGORIES) - 1), start[keep], end[keep]))
+    start, end = _one_word_sentences(prose, off)
+    keep = automaton.apart(start, end)
+    parts.append((np.full(len(keep), len(CATEGORIES) - 1), start[keep], end[keep]))
+    category, start, end = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((category, start))
+    order = order[automaton.apart(start[order], end[order])]
+    category, start, end = category[order], start[order], end[order]
+    inside = lambda at: np.searchsorted(off, at, "right") - 1
+
+    dashes = np.flatnonzero(prose == 0xE2)
+    dashes = dashes[dashes + 2 < len(prose)]
+    dashes = dashes[(prose[dashes + 1] == 0x80) & (prose[dashes + 2] == 0x94)]
+    ink = ~automaton.white(prose)
+    first = ink.copy()
+    first[1:] &= ~ink[:-1]
+    heads = off[:-1][off[:-1] < off[1:]]
+    first[heads] = ink[heads]
+    n = len(off) - 1
+    claims = []
+    for r in np.unique(_CLAIM_WORDS.find(prose, off, bounded=False)[0]).tolist():
+        x = rows.get(r) or _Row(prose[off[r] : off[r + 1]])
+        claims += sorted((r, int(x.at[m.start()]), k, int(x.at[m.end()])) for k, (_, p) in enumerate(_CLAIMS) for m in p.finditer(x.text))
+    return (inside(start), category, start, end), np.bincount(inside(dashes), minlength=n), np.bincount(inside(np.flatnonzero(first)), minlength=n), claims
 
 
-def blanked(text: str) -> str:
-    """Code blocks and inline code replaced by spaces, a character each; line breaks stay."""
-    for pattern in (_FENCED, _INLINE):
-        text = pattern.sub(lambda m: re.sub(r"[^\n]", " ", m[0]), text)
-    return text
+def _struct(**fields) -> Y.StructType:
+    return Y.StructType([Y.StructField(n, t) for n, t in fields.items()])
 
 
-def slop_of(text: str) -> dict:
-    prose = blanked(text)
-    spots = sorted((m.end() - len(m[0].lstrip()), k, m.end()) for k, p in _PHRASES for m in p.finditer(prose))
-    hits, reach = [], 0
-    for start, k, end in spots:
-        if start >= reach:
-            at = len(text[:start].encode())
-            hits.append({"category": CATEGORIES[k], "text": text[start:end], "start": at, "end": at + len(text[start:end].encode())})
-            reach = end
-    return {"hits": hits, "em_dashes": prose.count("—"), "words": len(prose.split())}
+_HIT = _struct(category=Y.StringType(), text=Y.StringType(), start=Y.IntegerType(), end=Y.IntegerType())
+_CLAIM = _struct(text=Y.StringType(), start=Y.IntegerType(), rule=Y.StringType())
+_FACTS = _struct(hits=Y.ArrayType(_HIT), em_dashes=Y.IntegerType(), words=Y.IntegerType(), claims=Y.ArrayType(_CLAIM))
 
 
-def _struct(**fields) -> Y.StructType:
-    return Y.StructType([Y.StructField(n, t) for n, t in fields.items()])
+def _texts(data: np.ndarray, start, end) -> pa.Array:
+    return pa.array([bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(start, end)], pa.string())
+
 
+def _lists(n: int, row, fields: dict[str, pa.Array]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(np.bincount(np.asarray(row, np.int64), minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
 
-@F.pandas_udf(_struct(hits=Y.ArrayType(_struct(category=Y.StringType(), text=Y.StringType(), start=Y.IntegerType(), end=Y.IntegerType())), em_dashes=Y.IntegerType(), words=Y.IntegerType()))
-def slop_check(text: pd.Series) -> pd.DataFrame:
-    """Hits in text order without overlaps, em dashes and words of the prose; code does not count."""
-    return pd.DataFrame([slop_of(t or "") for t in text], columns=["hits", "em_dashes", "words"])
+
+def facts_of(column: pa.Array) -> pa.StructArray:
+    """The facts of every row of a column of texts."""
+    data, off = automaton.text_bytes(column)
+    parts, lo = [], 0
+    while lo < len(off) - 1:
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + _PART, "right")) - 1)
+        part, at = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+        (row, category, start, end), dashes, words, claims = _found(part, at)
+        r, c, rule, e = zip(*claims) if claims else ((), (), (), ())
+        hits = {
+            "category": pa.array([CATEGORIES[k] for k in category], pa.string()), "text": _texts(part, start, end),
+            "start": pa.array((start - at[row]).astype(np.int32)), "end": pa.array((end - at[row]).astype(np.int32)),
+        }
+        base = [int(at[x]) for x in r]
+        said = {"text": _texts(part, [a + b for a, b in zip(base, c)], [a + b for a, b in zip(base, e)]), "start": pa.array(c, pa.int32()), "rule": pa.array([fixed.CLAIMS[k][0] for k in rule], pa.string())}
+        n = hi - lo
+        parts.append(pa.StructArray.from_arrays([_lists(n, row, hits), pa.array(dashes.astype(np.int32)), pa.array(words.astype(np.int32)), _lists(n, r, said)], ["hits", "em_dashes", "words", "claims"]))
+        lo = hi
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("hits", pa.list_(pa.struct([("category", pa.string()), ("text", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))), ("em_dashes", pa.int32()), ("words", pa.int32()), ("claims", pa.list_(pa.struct([("text", pa.string()), ("start", pa.int32()), ("rule", pa.string())])))]))
+
+
+@F.arrow_udf(_FACTS)
+def slop_check(text: pa.Array) -> pa.Array:
+    """Hits in text order without overlaps, em dashes, words and claims of the prose; code does not count."""
+    return facts_of(text)
+
+
+def slop_of(text: str) -> dict:
+    """The facts of one text."""
+    return facts_of(pa.array([text], pa.string()))[0].as_py()
 
 
 def slop_score(found: Column) -> Column:
     return F.size(found["hits"]) + (found["em_dashes"] >= fixed.EM_DASH_LIMIT).cast("int")
 
 
-_LEX = re.compile(r'//[^\n]*|/\*.*?(?:\*/|\Z)|b?r(#*)".*?"\1|b?"(?:\\.|[^"\\])*"|b?\'(?:\\.[^\']*|[^\'\\\n])\'', re.S)
-_FN = re.compile(r"\bfn\s+\w+")
-
-
-def _lexed(code: str) -> tuple[str, list[int]]:
-    """The code with comments and literals blanked, and the places of comments that are no doc comments."""
-    notes = []
-
-    def blank(m: re.Match) -> str:
-        if m[0].startswith(("//", "/*")):
-            if not re.match(r"///(?!/)|//!|/\*\*[^*/]|/\*!", m[0]):
-                notes.append(m.start())
-            return re.sub(r"[^\n]", " ", m[0])
-        return '"' + re.sub(r"[^\n]", " ", m[0][1:-1]) + '"'
-
-    return _LEX.sub(blank, code), notes
-
-
-def _bodies(bare: str) -> list[tuple[int, int]]:
-    out = []
-    for m in _FN.finditer(bare):
-        depth, at = 0, m.end()
-        while at < len(bare) and (bare[at] != "{" or depth):
-            if bare[at] == ";" and not depth:
-                break
-            depth += (bare[at] in "([") - (bare[at] in ")]")
-            at += 1
-        if at < len(bare) and bare[at] == "{":
-            start, depth = at, 0
-            for at in range(start, len(bare)):
-                depth += (bare[at] == "{") - (bare[at] == "}")
-                if not depth:
-                    break
-            out.append((start, at))
-    return out
-
-
-def rules_of(code: str) -> dict:
-    bare, notes = _lexed(code)
-    pairs = {")": "(", "]": "[", "}": "{"}
-    stack, parsed = [], True
-    for c in re.sub(r"[^()\[\]{}]", "", bare):
-        if c in "([{":
-            stack.append(c)
-        elif not stack or stack.pop() != pairs[c]:
-            parsed = False
-            break
-    parsed = parsed and not stack and bool(bare.strip())
-    line = lambda at: code.count("\n", 0, at) + 1
-    found = {"no_unwrap": [m.start() for m in re.finditer(r"\.\s*(?:unwrap\s*\(\s*\)|expect\s*\((?!\s*\)))", bare)]}
-    bodies = _bodies(bare)
-    found["no_body_comments"] = [at for at in notes if any(a < at < b for a, b in bodies)]
-    found["no_index_loops"] = []
-    for m in re.finditer(r"\bfor\s+(\w+)\s+in\s+[^{]*?\.\.", bare):
-        head_end = bare.find("{", m.end())
-        body = next((bare[a:b] for a, b in [(head_end, len(bare))] if a >= 0), "")
-        if ".len()" in bare[m.start() : head_end].replace(" ", "") or re.search(rf"\w\s*\[\s*{m[1]}\b", body):
-            found["no_index_loops"].append(m.start())
-    found["pub_docs"], items = [], 0
-    rows = code.split("\n")
-    for k, row in enumerate(bare.split("\n")):
-        if re.match(r"\s*pub\s+(?:async\s+|unsafe\s+|const\s+|extern\s+)*(?:fn|struct|enum|trait|mod|type|const|static|union)\b", row):
-            items += 1
-            above = k - 1
-            while above >= 0 and re.match(r"\s*#\[", rows[above]):
-                above -= 1
-            if above < 0 or not re.match(r"\s*(?:///|//!|\*/|/\*\*)", rows[above]):
-                found["pub_docs"].append(sum(len(r) + 1 for r in rows[:k]))
-    fallible = re.search(r"->\s*(?:[\w:]+::)?Result\s*<", bare)
-    own = re.search(r"\benum\s+\w*Error\w*", bare) or (re.search(r"\benum\s+\w+", bare) and re.search(r"impl\b[^{;]*\bError\s+for\b", bare))
-    found["error_enum"] = [fallible.start()] if fallible and not own else []
-    applies = {"no_unwrap": True, "error_enum": bool(fallible), "pub_docs": items > 0, "no_body_comments": bool(bodies), "no_index_loops": bool(re.search(r"\bfor\b", bare))}
-    verdicts = {r: "n/a" if not parsed or not applies[r] else ("fail" if found[r] else "pass") for r in RULES}
-    violations = [{"rule": r, "line": line(at)} for r in RULES if parsed for at in found[r]]
-    return {"parsed": parsed, "verdicts": verdicts, "violations": violations}
-
-
-@F.pandas_udf(_struct(parsed=Y.BooleanType(), verdicts=Y.MapType(Y.StringType(), Y.StringType()), violations=Y.ArrayType(_struct(rule=Y.StringType(), line=Y.IntegerType()))))
-def code_rules(code: pd.Series) -> pd.DataFrame:
-    """Verdicts (pass, fail, n/a) of one Rust block on the five rules, and the lines that break them."""
-    return pd.DataFrame([rules_of(c or "") for c in code], columns=["parsed", "verdicts", "violations"])
-
-
-@F.pandas_udf(Y.ArrayType(_struct(text=Y.StringType(), start=Y.IntegerType(), rule=Y.StringType())))
-def false_claims(text: pd.Series, verdicts: pd.Series) -> pd.Series:
-    """Claims in the prose that the verdicts contradict: of a rule that fails, or of all rules when any fails."""
-
-    def of(t: str | None, v) -> list[dict]:
-        v, prose = dict(v or {}), blanked(t or "")
-        false = [(r, p) for r, p in _CLAIMS if (v.get(r) == "fail" if r else "fail" in v.values())]
-        found = [{"text": m[0], "start": len(prose[: m.start()].encode()), "rule": r} for r, p in false for m in p.finditer(prose)]
-        return sorted(found, key=lambda x: x["start"])
-
-    return pd.Series([of(t, v) for t, v in zip(text, verdicts)], dtype=object)
+def false_claims(claims: Column, rules: Column) -> Column:
+    """Claims that the verdicts (a map by rule) contradict: of a rule that fails, or of all rules when any fails."""
+    any_fails = F.exists(F.map_values(rules), lambda v: v == "fail")
+    return F.filter(claims, lambda c: F.coalesce(F.when(c["rule"].isNull(), any_fails).otherwise(rules[c["rule"]] == "fail"), F.lit(False)))

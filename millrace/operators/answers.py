@@ -9,6 +9,8 @@ from millrace.functions import fixed
 from millrace.functions import answers as A
 from millrace.functions import markdown as M
 
+from .code import code_rules
+
 
 def rolled_up(verdicts: Column, rule: str) -> Column:
     """Over all blocks: fail if any fails, else pass if any passes, else n/a."""
@@ -17,18 +19,20 @@ def rolled_up(verdicts: Column, rule: str) -> Column:
 
 
 def score(rows: DataFrame, text: str = "text") -> DataFrame:
-    """rows with slop, n_blocks, n_parsed, rules (a verdict each), all_rules (null without code) and false_claims.
+    """(id, slop, n_blocks, n_parsed, rules: a verdict each, all_rules: null without code, false_claims) of each row.
 
-    `rows` has a unique `id`. Blocks are scored as rows of their own, and only ids and verdicts are shuffled back."""
-    blocks = rows.select("id", F.explode(M.rust_blocks(F.col(text))["code"]).alias("code")).select("id", A.code_rules("code").alias("r"))
-    per = blocks.groupBy("id").agg(F.collect_list("r.verdicts").alias("v"), F.count(F.lit(1)).alias("n_blocks"), F.count_if("r.parsed").alias("n_parsed"))
+    `rows` has a unique `id`. Texts are read where they lie: phrases and claims come from one pass, code leaves them as tokens, and what
+    is shuffled are ids with facts and verdicts."""
+    facts = rows.select("id", A.slop_check(F.col(text)).alias("slop"))
+    blocks = rows.select("id", F.posexplode(M.rust_blocks(F.col(text))["code"]).alias("block", "code"))
+    per = code_rules(blocks).groupBy("id").agg(F.collect_list("verdicts").alias("v"), F.count(F.lit(1)).alias("n_blocks"), F.count_if("parsed").alias("n_parsed"))
     rules = F.create_map(*[x for r in A.RULES for x in (F.lit(r), rolled_up(F.col("v"), r))])
     per = per.select("id", "n_blocks", "n_parsed", rules.alias("rules"))
-    out = rows.join(per, "id", "left").withColumns({"n_blocks": F.coalesce("n_blocks", F.lit(0)), "n_parsed": F.coalesce("n_parsed", F.lit(0))})
+    out = facts.join(per, "id", "left").withColumns({"n_blocks": F.coalesce("n_blocks", F.lit(0)), "n_parsed": F.coalesce("n_parsed", F.lit(0))})
     none = F.create_map(*[x for r in A.RULES for x in (F.lit(r), F.lit("n/a"))])
-    out = out.withColumn("rules", F.coalesce("rules", none)).withColumn("slop", A.slop_check(text))
+    out = out.withColumn("rules", F.coalesce("rules", none))
     fine = (F.col("n_parsed") == F.col("n_blocks")) & ~F.exists(F.map_values("rules"), lambda v: v == "fail")
-    return out.withColumn("all_rules", F.when(F.col("n_blocks") > 0, fine)).withColumn("false_claims", A.false_claims(text, "rules"))
+    return out.withColumn("all_rules", F.when(F.col("n_blocks") > 0, fine)).withColumn("false_claims", A.false_claims(F.col("slop.claims"), F.col("rules")))
 
 
 def summary(scored: DataFrame) -> DataFrame:

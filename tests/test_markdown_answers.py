@@ -64,13 +64,82 @@ def test_slop_places_are_bytes_without_overlap():
     assert got["em_dashes"] == 2
 
 
-def test_code_rules():
+def rules_of(spark, *codes):
+    """Verdicts and violations of each code, by the token table."""
+    from millrace.operators.code import code_rules
+
+    rows = spark.createDataFrame([(i, 0, c) for i, c in enumerate(codes)], "id long, block int, code string")
+    return [r.asDict(True) for r in code_rules(rows).orderBy("id").collect()]
+
+
+def test_code_rules(spark):
     bad = "use x;\npub fn a() -> Result<u8, String> {\n    // why\n    for i in 0..v.len() { v[i]; }\n    b().unwrap()\n}\n"
-    got = A.rules_of(bad)
-    assert got["parsed"] and set(got["verdicts"].values()) == {"fail"} and {v["line"] for v in got["violations"]} == {2, 3, 4, 5}
     good = '/// Doc.\npub fn a() -> u8 {\n    let s = "// no .unwrap()";\n    for x in s.chars() {}\n    1\n}\n'
-    assert A.rules_of(good)["verdicts"] == {"no_unwrap": "pass", "error_enum": "n/a", "pub_docs": "pass", "no_body_comments": "pass", "no_index_loops": "pass"}
-    assert not A.rules_of("fn a( {")["parsed"]
+    got, fine, broken = rules_of(spark, bad, good, "fn a( {")
+    assert got["parsed"] and set(got["verdicts"].values()) == {"fail"} and {v["line"] for v in got["violations"]} == {2, 3, 4, 5}
+    assert fine["verdicts"] == {"no_unwrap": "pass", "error_enum": "n/a", "pub_docs": "pass", "no_body_comments": "pass", "no_index_loops": "pass"}
+    assert not broken["parsed"] and set(broken["verdicts"].values()) == {"n/a"} and broken["violations"] == []
+
+
+def failing(found):
+    return {r for r, v in found["verdicts"].items() if v == "fail"}
+
+
+def test_calls_that_may_panic(spark):
+    cases = {
+        "fn a() { b.unwrap(); }": True, "fn a() { b\n // c\n .unwrap ( ); }": True, "fn a() { b.unwrap_or(1); b.unwrap(1); }": False, "fn a() { b.expect(\"x\"); }": True, "fn a() { b.expect(\"x\", 2); b.expect(); }": False,
+        "fn a() { b.expect(f(1, 2),); }": True, "fn a() { assert_eq!(b.unwrap(), 1); }": True, 'fn a() { let s = "x.unwrap()"; /* y.unwrap() */ let r = r#"z".unwrap()"#; }': False, "fn a() { unwrap(); Some(1)::unwrap(); }": False,
+    }
+    for (code, want), got in zip(cases.items(), rules_of(spark, *cases)):
+        assert ("no_unwrap" in failing(got)) == want and got["parsed"], code
+
+
+def test_loops_over_indices(spark):
+    cases = {
+        "fn a() { for i in 0..n { f(i); } for j in q { v[i]; } }": False, "fn a() { for i in 0..n { v[i]; } }": True, "fn a() { for i in 0..n { v[w[i + 1]]; } }": True, "fn a() { for i in (0..n).rev() { v[i]; } }": True,
+        "fn a() { for i in 0..v.len() {} }": True, "fn a() { for _ in 0..v.len() {} }": True, "fn a() { for i in 0..v.len() - 1 {} }": False, "fn a() { for i in (0..=v.len()).step_by(2) {} }": True, "fn a() { for i in v.iter() { w[i]; } }": False,
+        "fn a() { for i in 0..n { v[x.i]; v[i::Z]; vec![i]; } }": False, "fn a() { for mut i in 0..n { v[i]; } }": True, "fn a() { for i in 0..n { for i in 0..m { v[i]; } } }": True, "fn a() { for x in &v[..] { w[x]; } }": False,
+        "impl<T> A for B where for<'a> T: C<'a> {}": False, "fn a() { for i in 0..n { println!(\"{}\", v[i]); } }": True, "fn a() { for i in 0..n { } v[i]; }": False, "fn a() { for (i, x) in 0..n { v[i]; } }": False,
+    }
+    for (code, want), got in zip(cases.items(), rules_of(spark, *cases)):
+        assert ("no_index_loops" in failing(got)) == want and got["parsed"], code
+
+
+def test_error_types(spark):
+    full = "#[derive(Debug)]\nenum E { A }\nimpl std::fmt::Display for E {}\nimpl std::error::Error for E {}\n"
+    cases = {
+        "fn a() -> Result<u8, crate::AppError> { b() }": ("pass", 0), "fn a() -> Result<u8, String> { b() }": ("fail", 1), "fn a() -> Result<u8, &'static str> { b() }": ("fail", 1), "fn a() -> Result<Vec<(u8, u8)>, Box<dyn std::error::Error + Send>> { b() }": ("fail", 1),
+        "fn a() -> std::io::Result<u8> { b() }": ("fail", 1), "fn a() -> Result<u8, io::Error> { b() }": ("fail", 1), "fn a() -> fmt::Result { b() }": ("n/a", 0), "fn a() -> u8 { 1 }": ("n/a", 0), full + "fn a() -> Result<u8, E> { b() }": ("pass", 0),
+        "enum E { A }\nfn a() -> Result<u8, E> { b() }": ("fail", 1), "enum E { A }\nimpl fmt::Display for E {}\nfn a() -> Result<u8, E> {}": ("fail", 1), "#[derive(Debug, thiserror::Error)]\npub(crate) enum E { A }\nfn a() -> Result<u8, E> {}": ("pass", 0),
+        "#[derive(Error)]\nstruct E;\nfn a() -> Result<u8, E> {}": ("fail", 2), "type Result<T> = std::result::Result<T, String>;\nfn a() -> Result<u8> { b() }": ("fail", 1), "type R<T> = Result<T, E>;\nfn a() -> R<u8> {}": ("n/a", 0),
+        full + "type Result<T> = std::result::Result<T, E>;\nfn a() -> Result<u8> { b() }": ("pass", 0), "use std::error::Error as StdError;\nenum E { A }\nimpl fmt::Display for E {}\nimpl StdError for E {}\nfn a() -> Result<u8, E> {}": ("pass", 0),
+        "impl Iterator for X { fn next() -> Result<u8, String> { b() } }": ("n/a", 0), "impl X { fn next() -> Result<u8, String> { b() } }": ("fail", 1), "trait X { fn next() -> Result<u8, String>; }": ("fail", 1), "use anyhow::Result;\nfn a() {}": ("pass", 0),
+        "fn a() { bail!(\"x\") }": ("pass", 0), "fn a() -> Result<u8, String> {}\nfn b() -> Result<u8, String> {}": ("fail", 1), "impl X for Y { type Error = Result<u8, String>; }": ("n/a", 0), "fn a() -> Result<u8, String> where T: Fn() -> u8 {}": ("fail", 1),
+        "fn a() -> Result<u8, <T as X>::E> {}": ("pass", 0), "struct S;\nfn a() -> Result<u8, S> {}": ("fail", 1),
+    }
+    for (code, (verdict, n)), got in zip(cases.items(), rules_of(spark, *cases)):
+        assert got["verdicts"]["error_enum"] == verdict and len([v for v in got["violations"] if v["rule"] == "error_enum"]) == n and got["parsed"], (code, got)
+
+
+def test_comments_and_docs(spark):
+    cases = {
+        "fn a() {\n /* x /* y */ z */ b() }": {"no_body_comments"}, "// top\nfn a() { b() } // after": set(), "/// doc\npub fn a() { /// inner doc\n b() }": set(), "fn a() { let c = '\"'; let d = '/'; \"// no\"; r##\"/* no \"# \"##; }": set(),
+        "struct A { /* field */ b: u8 }": set(), "let x = 1; // a fragment\nfn a() { /* in a fragment */ }": set(), "pub fn a();": {"pub_docs"}, "/// d\n#[inline]\n#[must_use]\npub const fn a() {}": set(), "/** d */\npub struct A;": set(), "//// no\npub struct A;": {"pub_docs"},
+        "#[doc = \"d\"]\npub enum A {}": set(), "pub(crate) fn a() {}": set(), "pub use a::b;": set(), "pub mod a;": set(), "pub mod a { }": {"pub_docs"}, "/// d\npub struct A { pub b: u8 }\nimpl A { pub fn c() {} }": {"pub_docs"}, "pub async unsafe fn a() {}": {"pub_docs"}, "/// d\nfn a() {}\npub fn b() {}": {"pub_docs"},
+    }
+    for (code, want), got in zip(cases.items(), rules_of(spark, *cases)):
+        assert failing(got) == want and got["parsed"], (code, got)
+
+
+def test_hostile_and_odd_code(spark):
+    import time
+
+    start = time.time()
+    codes = ["fn a(x " * 8_000, "pub fn a() {}\n" * 8_000, "for x in a..b {}\n" * 8_000, "fn f() { for i in 0..n { v[i]; } }\n" * 3_000, "r#\"" * 20_000, "/*" * 20_000, "{[(" * 20_000, "\"\\", "", None, "é ñ 漢", "// only", "fn f() { // x\n" * 5_000 + "}" * 5_000]
+    got = rules_of(spark, *codes)
+    assert [g["parsed"] for g in got] == [False, True, True, True, False, False, False, False, True, True, True, True, True]
+    assert len(got[3]["violations"]) == 3_000 and len(got[1]["violations"]) == 8_000 and time.time() - start < 90
+    assert rules_of(spark) == []
 
 
 def test_scores_and_summary(spark):
