@@ -29,8 +29,8 @@ from . import bytesops as B
 from .scratch import pieces, release, stored
 
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
-#: Candidates and anchors of a block; bytes of the anchors of a pass; parts that copies of one vector are first dealt to.
-BLOCK, ANCHORS, GROUP_BYTES, SALTS = 4096, 512, 8 << 20, 16
+#: Candidates and anchors of a block; bytes of the anchors of a pass.
+BLOCK, ANCHORS, GROUP_BYTES = 4096, 512, 8 << 20
 #: Share of pairs under which pairs are followed one by one, and how many of them at once.
 SPARSE, PAIRS = 0.1, 1 << 15
 BLOCKS = "dim int, place long, width int, vectors binary, labels binary, counts binary, ids binary, scores binary"
@@ -63,19 +63,17 @@ def narrow(v: np.ndarray) -> np.ndarray:
 
 
 def candidates(rows: DataFrame, keep: int) -> DataFrame:
-    """Stored blocks of distinct (vector, label), each with its `keep` smallest vec_ids."""
-    near = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
-    for keys in (["dim", "vector", "label", "salt"], ["dim", "vector", "label"]):
-        near = near.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("vec_id"))).where(F.col("rank") <= keep)
+    """Stored blocks of distinct (vector, label), each with its `keep` smallest vec_ids; of copies each task sends on no more than `keep`."""
+    near = rows.withColumn("rank", F.row_number().over(Window.partitionBy("dim", "vector", "label").orderBy("vec_id"))).where(F.col("rank") <= keep)
     nodes = near.groupBy("dim", "vector", "label").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    return stored(nodes.mapInArrow(lambda batches: _blocks(batches, BLOCK), BLOCKS), "candidate-blocks")
+    return stored(nodes.coalesce(pieces(rows.count(), BLOCK, 8)).mapInArrow(lambda batches: _blocks(batches, BLOCK), BLOCKS), "candidate-blocks")
 
 
 def anchor_blocks(anchors: DataFrame) -> DataFrame:
     """Stored blocks of anchors (vec_id, label, dim, vector, ids, scores); ids: the vec_id, once for each score if there are any.
     The high half of place is the pass."""
     size = anchors.agg(F.sum(F.octet_length("vector") + 64).alias("b")).first()["b"] or 0
-    rows = anchors.repartition(pieces(size, GROUP_BYTES), "vec_id")
+    rows = anchors.repartition(pieces(size, GROUP_BYTES))
     return stored(rows.mapInArrow(lambda batches: _blocks(batches, ANCHORS), BLOCKS), "anchor-blocks")
 
 
