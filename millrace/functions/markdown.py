@@ -1,26 +1,29 @@
 """Markdown: cleaning, sections, fenced blocks and header comments.
 
-What a regular expression or a fold over an array can say is a Column expression. Only two steps carry state from line to line
-(joining hard-wrapped lines, cutting sections); they are Arrow functions over whole columns.
+What a regular expression or a fold over an array can say is a Column expression. Steps that look from line to line (joining
+hard-wrapped lines, fences, cutting sections) are Arrow functions over whole columns; the first works on a table of all lines of a batch.
 """
 
 from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
 
-from . import fixed
+from . import automaton, fences, fixed
 from .text import strip
 
 _FENCE = re.compile(r"\s*(?:```|~~~)")
-_DEFINITION = re.compile(r"\s{0,3}\[[^\]]+\]:\s*\S")
-_REFERENCE = re.compile(r"\[([^\]\n]+)\]\[[^\]\n]*\]")
-_BLOCK = re.compile(r"\s*(?:[#>|<]|[-*+]\s|\d+[.)]\s)")
+_REFERENCE = re.compile(fixed.REFERENCE_LINK.encode())
+_NUMBERED = re.compile(r"\d+[.)]\s")
 
 
 def lines(text: Column) -> Column:
@@ -47,7 +50,7 @@ def strip_comments(text: Column) -> Column:
 
 def strip_anchors(text: Column) -> Column:
     """Headings without a closing `{#id}`."""
-    return F.regexp_replace(text, r"(?dUm)^(#{1,6} .*?)\s*\{#[\w.-]+\}[ \t]*$", "$1")
+    return F.regexp_replace(text, "(?dU)" + fixed.HEADING_ANCHOR, "$1")
 
 
 def strip_shortcodes(line: Column) -> Column:
@@ -98,32 +101,74 @@ def from_first(found: Column, stop) -> Column:
     return F.when(at > 0, F.slice(found, F.greatest(at, F.lit(1)).cast("int"), F.size(found))).otherwise(F.array().cast("array<string>"))
 
 
-def _tidied(text: str) -> str:
-    out, fenced, joins = [], False, False
-    for line in text.splitlines() if "\r" not in text and not _ODD.search(text) else [x.removesuffix("\r") for x in text.removesuffix("\n").split("\n")]:
-        fence = _FENCE.match(line)
-        if fence or fenced:
-            fenced = fenced != bool(fence)
-            out.append(line)
-            joins = False
-        elif not _DEFINITION.match(line):
-            bare = line.lstrip()
-            plain = _REFERENCE.sub(r"\1", line)
-            if joins and bare and not _BLOCK.match(line):
-                out[-1] = _REFERENCE.sub(r"\1", f"{out[-1]} {bare}")
-            else:
-                out.append(plain)
-            joins = bool(bare) and bare[0] not in "#|"
-    return "\n".join(out)
-
-
-_ODD = re.compile("[\x0b\x0c\x1c-\x1e\x85  ]")  # other line ends of Python, which are none here
-
-
-@F.pandas_udf(Y.StringType())
-def tidy_prose(text: pd.Series) -> pd.Series:
+def _first_after(flags: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first place from `at` on with a flag, `end` if there is none before it."""
+    places = np.append(np.flatnonzero(flags), len(flags))
+    return np.minimum(places[np.searchsorted(places, at)], end)
+
+
+def _line_table(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
+    """The lines of all rows: row, start, end, lead (its first ink), and classes fenced, definition, joins (to the kept line before)."""
+    breaks = np.flatnonzero(data == 0x0A)
+    start = np.union1d(off[:-1][off[:-1] < off[1:]], breaks + 1)
+    start = start[(start < len(data)) & (len(data) > 0)]
+    row = np.searchsorted(off, start, "right") - 1
+    inside = start < off[row + 1]
+    start, row = start[inside], row[inside]
+    stop = _first_after(data == 0x0A, start, off[row + 1])
+    end = stop - ((stop < off[row + 1]) & (stop > start) & (data[np.maximum(stop - 1, 0)] == 0x0D)).astype(np.int64)
+    blanks = automaton.white(data)
+    lead = _first_after(~blanks, start, end)
+    byte = lambda k: np.where(lead + k < end, np.append(data, 0)[np.minimum(lead + k, len(data))], 0)
+    head, second, third = byte(0), byte(1), byte(2)
+    empty = lead >= end
+    mark = np.isin(head, [0x60, 0x7E]) & (head == second) & (head == third)
+    before = np.cumsum(mark) - mark
+    first = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else np.zeros(0, bool)
+    opened = before - np.repeat(before[first], np.diff(np.append(np.flatnonzero(first), len(row))))
+    fenced = mark | (opened % 2 == 1)
+    raw = data.tobytes()
+    definition = np.zeros(len(row), bool)
+    for i in np.flatnonzero(~fenced & (head == 0x5B)).tolist():  # [label]: something, indented by three at most
+        close = raw.find(b"]", lead[i] + 1, end[i])
+        definition[i] = close > lead[i] + 1 and raw[close + 1 : close + 2] == b":" and close + 2 < end[i] and not blanks[close + 2 : end[i]].all() and len(raw[start[i] : lead[i]].decode()) <= 3
+    bullet = np.isin(head, [0x2D, 0x2A, 0x2B]) & (lead + 1 < end) & np.append(blanks, False)[np.minimum(lead + 1, len(data))]
+    starts = np.isin(head, [0x23, 0x3E, 0x7C, 0x3C]) | bullet
+    for i in np.flatnonzero(~starts & ~fenced & (((head >= 48) & (head < 58)) | (head >= 0x80))).tolist():
+        starts[i] = bool(_NUMBERED.match(raw[lead[i] : end[i]].decode()))
+    last = np.maximum.accumulate(np.where(~definition, np.arange(len(row)), -1))
+    prior = np.concatenate([[-1], last[:-1]]) if len(row) else last
+    some = prior >= 0
+    some[some] = row[prior[some]] == row[some]
+    takes = ~fenced & ~empty & ~np.isin(head, [0x23, 0x7C])
+    joins = some & ~fenced & ~empty & ~starts & ~definition
+    joins[joins] = takes[prior[joins]]
+    return {"row": row, "start": start, "end": end, "lead": lead, "fenced": fenced, "definition": definition, "joins": joins}
+
+
+@F.arrow_udf(Y.StringType())
+def tidy_prose(text: pa.Array) -> pa.Array:
     """Outside fences: link definitions go, reference links become their text, hard-wrapped lines are joined."""
-    return text.map(lambda t: None if t is None else _tidied(t))
+    data, off = automaton.text_bytes(text)
+    raw, t = data.tobytes(), _line_table(data, off)
+    rows: list[list[bytes]] = [[] for _ in range(len(off) - 1)]
+    code: list[list[bool]] = [[] for _ in range(len(off) - 1)]
+    for row, start, end, lead, fenced, definition, joins in zip(*(x.tolist() for x in t.values())):
+        if joins:
+            rows[row] += [b" ", raw[lead:end]]
+            code[row] += [False, False]
+        elif not definition:
+            rows[row] += [b"\n", raw[start:end]] if rows[row] else [raw[start:end]]
+            code[row] += [fenced] * (len(rows[row]) - len(code[row]))
+
+    def whole(parts: list[bytes], is_code: list[bool]) -> str:
+        joined = b"".join(parts)
+        if b"][" in joined:
+            runs = groupby(zip(parts, is_code), key=lambda x: x[1])
+            joined = b"".join(piece if c else _REFERENCE.sub(rb"\1", piece) for c, piece in ((c, b"".join(p for p, _ in run)) for c, run in runs))
+        return joined.decode()
+
+    return pa.array([whole(p, c) if ok else None for p, c, ok in zip(rows, code, text.is_valid().to_pylist())], pa.string())
 
 
 def clean(text: Column) -> Column:
@@ -206,22 +251,18 @@ def path_kind(path: Column) -> Column:
     return F.when(hidden, "ignored").otherwise(F.coalesce(kind, F.when(extension(name).isin(list(fixed.LANGUAGES)), "code"), F.lit("ignored")))
 
 
-def fenced_blocks(text: Column) -> Column:
-    """{language, code, line} of each fenced block, backtick or tilde; an unclosed one runs to the end. line: that of its first code line."""
-    pattern = F.lit(r"(?dms)^[ \t]*(?:```|~~~)[ \t]*([\w+#.-]*)[^\n]*\n(.*?)(?:^[ \t]*(?:```|~~~)[ \t]*$|\z)")
-    whole, language, code = (F.regexp_extract_all(text, pattern, F.lit(k)) for k in range(3))
-    before = F.split(text, r"(?dms)^[ \t]*(?:```|~~~)[ \t]*[\w+#.-]*[^\n]*\n.*?(?:^[ \t]*(?:```|~~~)[ \t]*$|\z)")
-    breaks = lambda x: F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit("")))
-    sizes = F.struct(F.transform(before, breaks).alias("before"), F.transform(whole, breaks).alias("whole"), language.alias("language"), code.alias("code"))
-    total = lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n)
+_BLOCKS = Y.ArrayType(Y.StructType([Y.StructField("language", Y.StringType()), Y.StructField("code", Y.StringType()), Y.StructField("line", Y.IntegerType())]))
 
-    def numbered(v: Column) -> Column:
-        lead = lambda i: total(F.slice(v["before"], 1, i + 1)) + total(F.slice(v["whole"], 1, i))
-        return F.transform(F.arrays_zip(v["language"].alias("language"), v["code"].alias("code")), lambda x, i: F.struct(x["language"].alias("language"), x["code"].alias("code"), (lead(i) + 2).alias("line")))
 
-    return bound(sizes, numbered)
+@F.arrow_udf(_BLOCKS)
+def fenced_blocks(text: pa.Array) -> pa.Array:
+    """{language, code, line} of each fenced block, backtick or tilde; an unclosed one runs to the end. line: that of its first code line."""
+    kind = pa.list_(pa.struct([("language", pa.string()), ("code", pa.string()), ("line", pa.int32())]))
+    marked = pc.or_(pc.match_substring(text, "```"), pc.match_substring(text, "~~~")).to_pylist()
+    return pa.array([None if m is None else fences.blocks(t) if m else [] for t, m in zip((text[i].as_py() if m else None for i, m in enumerate(marked)), marked)], kind)
 
 
 def rust_blocks(text: Column) -> Column:
     """The blocks that are marked as Rust, or are unmarked and read like it."""
-    return F.filter(fenced_blocks(text), lambda b: b["language"].isin("rust", "rs") | ((b["language"] == "") & b["code"].rlike(r"\b(?:fn|let|impl|use|struct|enum|pub|mod|match)\b")))
+    words = r"\b(?:" + "|".join(fixed.RUST_WORDS) + r")\b"
+    return F.filter(fenced_blocks(text), lambda b: b["language"].isin("rust", "rs") | ((b["language"] == "") & b["code"].rlike(words)))
