@@ -1,6 +1,9 @@
 """Curation operators against plain Python on small tables."""
 
 import random
+from collections import Counter
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -8,18 +11,42 @@ from millrace.functions import text as T
 from millrace.operators import curate as C
 
 
-def test_capped_skips_and_goes_on(spark):
+@pytest.mark.parametrize("fold_rows", [C.FOLD, 7, 0])
+def test_capped_skips_and_goes_on(spark, fold_rows):
+    """By one task a group, by rounds that leave a few rows to a task, and by rounds alone."""
     rng = random.Random(1)
-    rows = [(g, k, rng.randint(1, 40)) for g in ("a", "b", "c", None) for k in range(200 if g != "c" else 3)]
-    got = {(r.g, r.k) for r in C.capped(spark.createDataFrame(rows, "g string, k long, n long").repartition(5), "g", "k", "n", 500).collect()}
-    want = set()
-    for g in ("a", "b", "c"):
+    rows = [(g, k if g != "d" else k // 3, rng.randint(0, 40)) for g in ("a", "b", "c", "d", None) for k in range(60 if g != "c" else 3)]
+    got = Counter((r.g, r.k, r.n) for r in C.capped(spark.createDataFrame(rows, "g string, k long, n long").repartition(5), "g", "k", "n", 150, fold_rows, block=4).collect())
+    want = Counter()
+    for g in ("a", "b", "c", "d", None):
         used = 0
         for k, n in sorted((k, n) for h, k, n in rows if h == g):
-            if used + n <= 500:
+            if used + n <= 150:
                 used += n
-                want.add((g, k))
-    assert {x for x in got if x[0]} == want
+                want[g, k, n] += 1
+    assert got == want and {g for g, _, _ in got} == {"a", "b", "c", "d", None}
+
+
+def test_capped_awkward(spark):
+    rows = [("a", 1, 300), ("a", 1, 300), ("a", 2, 100), ("b", None, 600), ("b", 3, None), (None, None, 500), (None, 1, 1)]
+    df = spark.createDataFrame(rows, "g string, k long, n long")
+    got = Counter(tuple(r) for r in C.capped(df, "g", "k", "n", 500).collect())
+    assert got == Counter([("a", 1, 300), ("a", 2, 100), ("b", 3, None), (None, None, 500)])
+    assert C.capped(df.limit(0), "g", "k", "n", 500).collect() == []
+
+
+def test_reasons_of_repeated_rows(spark):
+    long = "long enough " * 30
+    rows = [(1, 1, "s", "s/1", "", long)] * 3 + [(1, 2, "s", "s/2", "", long), (None, 3, None, None, None, long + "x"), (5, 4, "s", "s", "", None), (6, 5, "s", "s", None, None)]
+    got = Counter((r.id, r.reason) for r in C.with_reason(spark.createDataFrame(rows, "seq long, id long, source string, origin string, instruction string, response string")).collect())
+    assert got == Counter({(1, None): 1, (1, "duplicate"): 2, (2, "duplicate"): 1, (3, None): 1, (4, "short"): 1, (5, "short"): 1})
+
+
+def test_runs_of_sparse_tied_and_missing_places(spark):
+    rows = [(None, "x"), (None, "x"), (5, "y"), (5, "y"), (5, "x"), (10**15, "x"), (10**17, None), (10**17 + 1, None)]
+    got = sorted((r.run, r.place, r.o or 0, r.v or "") for r in C.runs(spark.createDataFrame(rows, "o long, v string"), "v", "o", block=2).collect())
+    assert got == [(1, 0, 0, "x"), (1, 1, 0, "x"), (1, 2, 5, "x"), (2, 0, 5, "y"), (2, 1, 5, "y"), (3, 0, 10**15, "x"), (4, 0, 10**17, ""), (4, 1, 10**17 + 1, "")]
+    assert C.runs(spark.createDataFrame([], "o long, v string"), "v", "o").collect() == []
 
 
 def test_runs_over_blocks(spark):
