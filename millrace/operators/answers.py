@@ -19,11 +19,11 @@ def rolled_up(verdicts: Column, rule: str) -> Column:
 
 
 def score(rows: DataFrame, text: str = "text") -> DataFrame:
-    """(id, slop, n_blocks, n_parsed, rules: a verdict each, all_rules: null without code, false_claims) of each row.
+    """rows without their text, with slop, n_blocks, n_parsed, rules (a verdict each), all_rules (null without code) and false_claims.
 
     `rows` has a unique `id`. Texts are read where they lie: phrases and claims come from one pass, code leaves them as tokens, and what
-    is shuffled are ids with facts and verdicts."""
-    facts = rows.select("id", A.slop_check(F.col(text)).alias("slop"))
+    is shuffled are the other columns with facts and verdicts."""
+    facts = rows.select(*[c for c in rows.columns if c != text], A.slop_check(F.col(text)).alias("slop"))
     blocks = rows.select("id", F.posexplode(M.rust_blocks(F.col(text))["code"]).alias("block", "code"))
     per = code_rules(blocks).groupBy("id").agg(F.collect_list("verdicts").alias("v"), F.count(F.lit(1)).alias("n_blocks"), F.count_if("parsed").alias("n_parsed"))
     rules = F.create_map(*[x for r in A.RULES for x in (F.lit(r), rolled_up(F.col("v"), r))])
@@ -32,7 +32,7 @@ def score(rows: DataFrame, text: str = "text") -> DataFrame:
     none = F.create_map(*[x for r in A.RULES for x in (F.lit(r), F.lit("n/a"))])
     out = out.withColumn("rules", F.coalesce("rules", none))
     fine = (F.col("n_parsed") == F.col("n_blocks")) & ~F.exists(F.map_values("rules"), lambda v: v == "fail")
-    return out.withColumn("all_rules", F.when(F.col("n_blocks") > 0, fine)).withColumn("false_claims", A.false_claims(F.col("slop.claims"), F.col("rules")))
+    return out.withColumn("all_rules", F.when(F.col("n_blocks") > 0, fine)).withColumn("false_claims", A.false_claims(F.col("slop.claims"), F.col("rules"))).withColumn("slop", F.struct("slop.hits", "slop.em_dashes", "slop.words"))
 
 
 def summary(scored: DataFrame) -> DataFrame:
