@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 MAX_HELD = 16 * 1024
-#: Milliseconds after its last chunk at which a reply that never ended is ended.
+#: Milliseconds of the stream's time after its last chunk at which a reply that never ended is ended.
 IDLE_MS = 60_000
 _OPEN, _CLOSE = "<tool_call", "</tool_call>"
 _TAG = re.compile(re.escape(_OPEN) + r"[^>]{0,%d}>" % MAX_HELD, re.I)
@@ -158,7 +158,8 @@ class _Sieve(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         reply = self._reply(key)
-        for _, content, raw, ended in _in_order(rows):
+        frames = list(rows)
+        for _, content, raw, ended in _in_order(frames):
             reply.take(content, raw, ended)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
@@ -166,7 +167,8 @@ class _Sieve(StatefulProcessor):
             self.state.clear()
         else:
             self.state.update((reply.held, reply.is_open, reply.number, reply.carry, *reply.most))
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + IDLE_MS)
+            latest = max(int(t.timestamp() * 1000) for f in frames for t in f["ts"])
+            self.handle.registerTimer(max(latest, timerValues.getCurrentWatermarkInMs()) + IDLE_MS)
         if reply.rows:
             yield reply.frame()
 
@@ -181,14 +183,14 @@ class _Sieve(StatefulProcessor):
         pass
 
 
-def sieved(chunks: DataFrame) -> DataFrame:
+def sieved(chunks: DataFrame, delay: str = "1 minute") -> DataFrame:
     """Pieces of text and calls of each reply in order, and an `end` with its token counts, of a stream of chunks (reply, seq, content, raw,
-    ended). raw: the chunk as it came, in which counts are read.
+    ended, ts). raw: the chunk as it came, in which counts are read; ts: its time.
 
     The session's state store must be RocksDB's. A reply's chunks must come in order from batch to batch; those of one batch are put in
     order of seq. A null content or raw is empty. What comes after an end begins a reply anew."""
-    rows = chunks.select("reply", "seq", "content", "raw", "ended").groupBy("reply")
-    return rows.transformWithStateInPandas(_Sieve(), outputStructType=OUT, outputMode="Append", timeMode="ProcessingTime")
+    rows = chunks.select("reply", "seq", "content", "raw", "ended", "ts").withWatermark("ts", delay).groupBy("reply")
+    return rows.transformWithStateInPandas(_Sieve(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
 
 
 def sieved_whole(chunks: DataFrame) -> DataFrame:

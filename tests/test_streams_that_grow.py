@@ -152,11 +152,12 @@ def test_streamed_replies(spark, tmp_path):
     for reply, text in texts.items():
         raw = json.dumps({"completion_tokens": 1000 * reply})
         cuts = [text[i : i + 6] for i in range(0, len(text), 6)]
-        rows.append([{"reply": reply, "seq": k, "content": c, "raw": raw[4 * k : 4 * k + 4] if k < len(cuts) - 1 else raw[4 * k :], "ended": k == len(cuts) - 1} for k, c in enumerate(cuts)])
+        rows.append([{"ts": f"2024-01-01 00:00:{k % 60:02d}", "reply": reply, "seq": k, "content": c, "raw": raw[4 * k : 4 * k + 4] if k < len(cuts) - 1 else raw[4 * k :], "ended": k == len(cuts) - 1 and reply != 3} for k, c in enumerate(cuts)])
     q = None
     try:
-        stream = spark.readStream.schema("reply long, seq long, content string, raw string, ended boolean").json(str(tmp_path / "in"))
+        stream = spark.readStream.schema("ts timestamp, reply long, seq long, content string, raw string, ended boolean").json(str(tmp_path / "in"))
         q = sieve.sieved(stream).writeStream.format("memory").queryName("sieved").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+        rows.append([{"ts": "2024-01-02 00:00:00", "reply": 4, "seq": 0, "content": "", "raw": "", "ended": True}])
         for part in range(3):  # a batch holds a third of each reply
             some = [r for chunks in rows for r in chunks[part * len(chunks) // 3 : (part + 1) * len(chunks) // 3]]
             (tmp_path / f"{part}.tmp").write_text("\n".join(json.dumps(r) for r in some))
@@ -171,5 +172,5 @@ def test_streamed_replies(spark, tmp_path):
         mine = [r for r in got if r.reply == reply]
         assert ("".join(r.text for r in mine if r.kind == "text"), [(r.name, r.arguments) for r in mine if r.kind == "call"]) == pushed([text])
         assert [r.number for r in mine] == list(range(len(mine))) and mine[-1].kind == "end" and mine[-1].output_tokens == 1000 * reply
-    whole = sieve.sieved_whole(spark.createDataFrame([tuple(r.values()) for c in rows for r in c], "reply long, seq long, content string, raw string, ended boolean")).orderBy("reply", "number").collect()
-    assert [(r.reply, r.name) for r in whole if r.kind == "call"] == [(r.reply, r.name) for r in got if r.kind == "call"]
+    whole = sieve.sieved_whole(spark.createDataFrame([tuple(r.values()) for c in rows for r in c], "ts string, reply long, seq long, content string, raw string, ended boolean")).orderBy("reply", "number").collect()
+    assert {r.reply for r in whole} == {1, 2, 3, 4} and [(r.reply, r.name) for r in whole if r.kind == "call"] == [(r.reply, r.name) for r in got if r.kind == "call"]
