@@ -37,6 +37,35 @@ def web_crawl(spark, sf):
     return W.crawl(edges, spark.createDataFrame([(1,)], "node long"), 2)
 
 
+@query(r"""WITH h AS (SELECT page_id, html, regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1) AS a FROM pages), e AS (SELECT page_id, unnest(a) AS href, generate_subscripts(a, 1) AS pos FROM h),
+f AS (SELECT page_id, 'https://h.example' || regexp_replace(href, '#.*$', '') AS link, min(pos) AS pos FROM e WHERE starts_with(href, '/') AND NOT starts_with(href, '//') AND NOT regexp_matches(href, '^/(login|signup|uas/|account|help|legal)') GROUP BY 1, 2),
+l AS (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS position FROM f QUALIFY position <= 24),
+p AS (SELECT 'https://h.example' || regexp_replace(a[1], '#.*$', '') AS url, min(page_id) AS page_id FROM h WHERE starts_with(a[1], '/') AND NOT starts_with(a[1], '//') GROUP BY 1), k AS (SELECT url, position, link FROM p JOIN l USING (page_id)),
+c1 AS (SELECT page_id AS seed, link AS url, min(position) AS o FROM p JOIN k USING (url) WHERE link <> p.url GROUP BY 1, 2), r1 AS (SELECT seed, url, row_number() OVER (PARTITION BY seed ORDER BY o) + 1 AS number FROM c1 JOIN p USING (url) QUALIFY number <= 6),
+c2 AS (SELECT seed, link AS url, min(number * 100 + position) AS o FROM r1 JOIN k USING (url) GROUP BY 1, 2),
+r2 AS (SELECT c2.seed, c2.url, m.n + row_number() OVER (PARTITION BY c2.seed ORDER BY c2.o) + 1 AS number FROM c2 JOIN p ON p.url = c2.url JOIN (SELECT seed, count(*) AS n FROM r1 GROUP BY seed) m ON m.seed = c2.seed
+  WHERE NOT EXISTS (SELECT 1 FROM c1 WHERE c1.seed = c2.seed AND c1.url = c2.url) AND c2.url <> (SELECT url FROM p q WHERE q.page_id = c2.seed) QUALIFY number <= 6),
+r AS (SELECT page_id AS seed, url, 1 AS number, 0 AS depth FROM p UNION ALL SELECT seed, url, number, 1 FROM r1 UNION ALL SELECT seed, url, number, 2 FROM r2),
+t AS (SELECT r.*, substr(html, 1, 1500) AS t FROM r JOIN p USING (url) JOIN h USING (page_id)), b AS (SELECT *, coalesce(sum(length(t)) OVER (PARTITION BY seed ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM t)
+SELECT seed, CAST(number AS INT) AS number, url, depth, md5(substr(t, 1, CAST(greatest(0, 5000 - before) AS INT))) AS text_md5 FROM b""")
+def web_crawl_budget(spark, sf):
+    """A crawl from every page over the pages' own links, all on one host: a page's address is that of its first link. The budgets are
+    small enough to bite."""
+    pages = table(spark, sf, "pages").withColumn("first", F.get(W.hrefs(F.col("html")), F.lit(0))).where(F.startswith("first", F.lit("/")) & ~F.startswith("first", F.lit("//")))
+    pages = pages.withColumn("url", F.concat(F.lit("https://h.example"), F.regexp_replace("first", "#.*$", "")))
+    pages = pages.groupBy("url").agg(F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("page_id"))
+    links = W.links(pages).join(pages.select("page_id", "url"), "page_id").select("url", "position", "link")
+    out = W.crawl_pages(pages.select(F.col("page_id").alias("seed"), "url"), pages.select("url", F.col("html").alias("text")), links, page_chars=1_500, total_chars=5_000)
+    return out.select("seed", "number", "url", "depth", F.md5("text").alias("text_md5"))
+
+
+@query(r"""SELECT page_id, md5(replace(replace(replace(replace(t, '&lt;', '<'), '&#x' || 'E9;', 'é'), '&#8212;', '—'), '&amp;', '&')) AS text_md5 FROM (SELECT page_id, replace(url, '&', '&amp;') || ' &lt; &#xE9; &#8212; &bogus; &#99999999; &' AS t FROM pages)""")
+def web_entities(spark, sf):
+    """Addresses written with entities, named, in both numeric forms, unknown and unfinished."""
+    rows = table(spark, sf, "pages").withColumn("t", F.concat(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit(" &lt; &#xE9; &#8212; &bogus; &#99999999; &")))
+    return rows.select("page_id", F.md5(W.decoded(F.col("t"))).alias("text_md5"))
+
+
 @query("""SELECT n_name AS nation, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def join_orders_by_nation(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_totalprice")
