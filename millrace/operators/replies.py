@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed
 
+from .scratch import kept
+from .stats import sign_test
+
 
 def _joined(order: str, piece: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(piece, F.lit("")).alias("p")))), lambda x: x["p"]), "")
@@ -119,21 +122,42 @@ def guard(chunks: DataFrame) -> DataFrame:
     return chunks.select("reply", "seq", "content", "reasoning").groupBy("reply").applyInArrow(watch, "reply long, seq long, reason string")
 
 
-def bootstrap(pairs: DataFrame, resamples: int = 10_000, seed: int = 7, level: float = 0.95) -> DataFrame:
-    """mean, low, high of the paired differences (id, difference): percentile interval over Poisson resamples.
-
-    Each batch draws its rows' weights by their ids and adds up weighted sums; only sums are shuffled."""
+#: Parts of the distinct differences, and resamples that a task draws at once.
+_PARTS, _AT_ONCE = 32, 500
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums, counts = np.zeros(resamples), np.zeros(resamples)
-        for b in batches:
-            for i, d in zip(b["id"].to_numpy(), b["difference"].to_numpy()):
-                w = np.random.default_rng((seed, int(i) & (2**63 - 1))).poisson(1.0, resamples)
-                sums, counts = sums + w * d, counts + w
-        yield pd.DataFrame({"k": np.arange(resamples), "s": sums, "n": counts})
 
-    per = pairs.select("id", "difference").mapInPandas(draw, "k long, s double, n double").groupBy("k").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    means = per.where("n > 0").select((F.col("s") / F.col("n")).alias("m"))
+def bootstrap(pairs: DataFrame, resamples: int = 10_000, seed: int = 7, level: float = 0.95) -> DataFrame:
+    """mean, low, high of the paired differences (id, difference): percentile interval over resamples of as many pairs.
+
+    A resample is a multinomial draw of counts over the histogram of distinct differences, so its cost follows them and not the pairs:
+    counts are drawn over parts of the histogram first, then within each part. Draws depend on the seed and the histogram alone. Null
+    and NaN differences are left out; without any there is one row of nulls."""
+    fine = pairs.where(F.col("difference").isNotNull() & ~F.isnan("difference")).select(F.col("difference").cast("double").alias("d"))
+    bars = kept(fine.groupBy("d").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.pmod(F.xxhash64("d"), F.lit(_PARTS)).cast("int")), "histogram")
+    sizes = np.zeros(_PARTS, np.int64)
+    for r in bars.groupBy("part").agg(F.sum("n").alias("n")).collect():
+        sizes[r["part"]] = r["n"]
+    total = int(sizes.sum())
+
+    def draw(rows: pa.Table) -> pa.Table:
+        part = rows.column("part")[0].as_py()
+        order = np.argsort(rows.column("d").to_numpy())
+        d, n = rows.column("d").to_numpy()[order], rows.column("n").to_numpy()[order]
+        many = np.random.default_rng(seed).multinomial(total, sizes / total, resamples)[:, part]
+        rng, sums = np.random.default_rng((seed, part)), np.empty(resamples)
+        step = max(1, min(_AT_ONCE, (4 << 20) // len(d)))
+        for i in range(0, resamples, step):
+            sums[i : i + step] = rng.multinomial(many[i : i + step], n / n.sum()) @ d
+        return pa.table({"k": np.arange(resamples), "s": sums})
+
+    means = bars.groupBy("part").applyInArrow(draw, "k long, s double").groupBy("k").agg((F.sum("s") / max(total, 1)).alias("m"))
     edge = (1 - level) / 2
-    ends = means.agg(F.percentile("m", F.lit(edge)).alias("low"), F.percentile("m", F.lit(1 - edge)).alias("high"))
-    return pairs.agg(F.avg("difference").alias("mean")).crossJoin(F.broadcast(ends))  # one row each
+    ends = means.agg(F.percentile("m", F.lit(edge)).alias("low"), F.percentile("m", F.lit(1 - edge)).alias("high"))  # of `resamples` rows
+    return bars.agg((F.sum(F.col("d") * F.col("n")) / F.sum("n")).alias("mean")).crossJoin(F.broadcast(ends))  # one row each
+
+
+def win_rate(pairs: DataFrame) -> DataFrame:
+    """wins, losses, ties, win_rate (a tie is half a win; null without pairs) and p of the two-sided sign test, of pairs (one, other)."""
+    counts = pairs.where("one is not null and other is not null").agg(F.count_if(F.col("one") > F.col("other")).alias("wins"), F.count_if(F.col("one") < F.col("other")).alias("losses"), F.count_if(F.col("one") == F.col("other")).alias("ties"))
+    rate = (F.col("wins") + F.col("ties") / 2) / F.nullif(F.col("wins") + F.col("losses") + F.col("ties"), F.lit(0))
+    return counts.withColumn("win_rate", rate).withColumn("p", sign_test(F.least("wins", "losses"), F.greatest("wins", "losses")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import lgamma, log, pi
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,15 +14,26 @@ def wilson(hits: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
     return centre - spread, centre + spread
 
 
+def _log_factorial(n: Column) -> Column:
+    """ln n!: a table for small n, Stirling's series beyond."""
+    small = F.array(*[F.lit(lgamma(k + 1)) for k in range(16)])
+    x = n.cast("double") + 1
+    series = (x - 0.5) * F.log(x) - x + F.lit(log(2 * pi) / 2) + 1 / (12 * x) - 1 / (360 * F.pow(x, 3)) + 1 / (1260 * F.pow(x, 5))
+    return F.when(n < 16, F.get(small, F.least(n, F.lit(15)).cast("int"))).otherwise(series)
+
+
+#: Terms of a binomial tail that are added up, from its largest on; enough for some ten million discordant pairs.
+TAIL = 20_000
+
+
 def sign_test(less: Column, more: Column) -> Column:
     """Exact two-sided binomial p of the discordant counts (McNemar's exact test); 1 if there are none."""
     n, k = less + more, F.least(less, more)
-    terms = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), k)),
-        F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
-        lambda a, i: F.when(i <= k, F.struct((a["t"] * (n - i + 1) / i).alias("t"), (a["s"] + a["t"] * (n - i + 1) / i).alias("s"))).otherwise(a),
-    )
-    return F.when(n == 0, 1.0).otherwise(F.least(F.lit(1.0), 2 * terms["s"] * F.pow(F.lit(0.5), n)))
+    largest = F.exp(_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) - n * F.lit(log(2)))
+    start = F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("s"))
+    step = lambda a, i: F.struct((a["t"] * (k - i) / (n - k + i + 1)).alias("t"), (a["s"] + a["t"]).alias("s"))
+    tail = F.aggregate(F.sequence(F.lit(0), F.least(k, F.lit(TAIL)).cast("int")), start, step)["s"]
+    return F.when(n == 0, 1.0).otherwise(F.least(F.lit(1.0), 2 * largest * tail))
 
 
 def kappa(rows: DataFrame, a: str, b: str) -> DataFrame:

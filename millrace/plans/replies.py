@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import replies as R
+from millrace.streaming import sieve
 
 from .registry import query, table
 
@@ -94,8 +95,32 @@ def stats_leaks_and_refusals(spark, sf):
     return table(spark, sf, "documents").groupBy("source").agg(share(F.col("text").rlike(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")).alias("leaks"), share(F.lower("text").rlike(r"\b(i can.?t|i cannot|unable to)\b")).alias("refusals"))
 
 
-@query()
+@query("""WITH d AS (SELECT CAST(quality - toxic AS DOUBLE) AS x FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL) SELECT round(avg(x), 9) AS mean, true AS low_near, true AS high_near FROM d""")
 def stats_bootstrap(spark, sf):
-    """Interval of the mean difference of two labels, by resampling (no SQL: drawn weights)."""
+    """Mean difference of two labels, and whether its resampled interval is that of the normal distribution but for a tenth of its half width."""
     rows = table(spark, sf, "labels").where("quality is not null and toxic is not null").select(F.col("doc_id").alias("id"), (F.col("quality") - F.col("toxic")).cast("double").alias("difference"))
-    return R.bootstrap(rows, 2_000)
+    spread = rows.agg((1.96 * F.stddev_pop("difference") / F.sqrt(F.count(F.lit(1)))).alias("half"))
+    out = R.bootstrap(rows).crossJoin(F.broadcast(spread))  # one row each
+    near = lambda c, sign: F.abs(F.col(c) - (F.col("mean") + sign * F.col("half"))) < F.col("half") / 10
+    return out.select(F.round("mean", 9).alias("mean"), near("low", -1).alias("low_near"), near("high", 1).alias("high_near"))
+
+
+@query("""WITH x AS (SELECT count(*) FILTER (WHERE quality > toxic) AS wins, count(*) FILTER (WHERE quality < toxic) AS losses, count(*) FILTER (WHERE quality = toxic) AS ties FROM labels)
+SELECT wins, losses, ties, round((wins + ties / 2) / (wins + losses + ties), 9) AS win_rate FROM x""")
+def stats_win_rate(spark, sf):
+    """How often the one label is over the other."""
+    rows = table(spark, sf, "labels").select(F.col("quality").alias("one"), F.col("toxic").alias("other"))
+    return R.win_rate(rows).select("wins", "losses", "ties", F.round("win_rate", 9).alias("win_rate"))
+
+
+@query("""SELECT conv_id * 1000 + turn AS reply, md5('Before ' || text || ' after') AS shown_md5, 1 AS calls, '{"turn": "' || turn || '"}' AS arguments, conv_id % 1000 AS output_tokens FROM conversations WHERE text IS NOT NULL""")
+def replies_sieved(spark, sf):
+    """Turns as streamed replies in chunks of seven characters, a tool call within each and a count at its end."""
+    rows = table(spark, sf, "conversations").where(F.col("text").isNotNull()).select((F.col("conv_id") * 1000 + F.col("turn")).alias("reply"), "conv_id", "turn", "text")
+    call = F.concat(F.lit("<tool_call>\n<function=look>\n<parameter=turn>"), "turn", F.lit("</parameter>\n</function>\n</TOOL_CALL>"))
+    rows = rows.select("reply", F.concat(F.lit("Before "), "text", call, F.lit(" after")).alias("t"), F.concat(F.lit('{"usage": {"completion_tokens": '), F.col("conv_id") % 1000, F.lit("}}")).alias("raw"))
+    chunks = rows.select("reply", "t", "raw", F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("t"), F.length("raw")) - 1) / 7))).alias("seq"))
+    chunks = chunks.select("reply", "seq", *[F.substring(c, F.col("seq").cast("int") * 7 + 1, F.lit(7)).alias(n) for c, n in (("t", "content"), ("raw", "raw"))], F.lit(False).alias("ended"))
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.struct("number", c))
+    out = sieve.sieved_whole(chunks).groupBy("reply").agg(F.sort_array(F.collect_list(of("text", "text"))).alias("t"), F.count_if(F.col("kind") == "call").cast("int").alias("calls"), F.max(F.when(F.col("kind") == "call", F.col("arguments"))).alias("arguments"), F.max("output_tokens").alias("output_tokens"))
+    return out.select("reply", F.md5(F.array_join(F.transform("t", lambda x: x["text"]), "")).alias("shown_md5"), "calls", "arguments", "output_tokens")

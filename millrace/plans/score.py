@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import answers as A
 from millrace.functions import text as T
 from millrace.operators import answers as O
+from millrace.operators import quantiles as Q
 from millrace.operators import stats as S
 
 from .curate import _literal
@@ -98,8 +99,7 @@ def stats_kappa(spark, sf):
 
 @query("""SELECT event_type, median(value) AS median, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY event_type""")
 def stats_quartiles(spark, sf):
-    rows = table(spark, sf, "events").groupBy("event_type")
-    return rows.agg(F.median("value").alias("median"), F.percentile("value", F.lit(0.25)).alias("q1"), F.percentile("value", F.lit(0.75)).alias("q3"))
+    return Q.quantiles(table(spark, sf, "events"), ["event_type"], "value", {"median": 0.5, "q1": 0.25, "q3": 0.75}).drop("n")
 
 
 @query("""WITH c AS (SELECT least(9, CAST(floor(l_discount * 100) AS INT)) AS bin, l_discount AS p, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS y FROM lineitem)
