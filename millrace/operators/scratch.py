@@ -20,8 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read again: it is made once, and a lost executor costs its own tasks only."""
-    path = f"{shared_dir(df.sparkSession)}/millrace/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

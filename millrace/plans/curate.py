@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed
 from millrace.functions import text as T
+from millrace.operators import build as B
 from millrace.operators import curate as C
+from millrace.operators.scratch import scratch_folder
 
 from .registry import query, table
 
@@ -118,6 +120,25 @@ def curate_span_counts(spark, sf):
     return names.join(spans, "category", "left").select("category", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+_SOURCES = [*(f"src{k}" for k in range(20)), "book"]
+
+
+@query(f"""WITH {REASONS}, {FLAGS}, names AS (SELECT unnest([{', '.join(repr(x) for x in _SOURCES)}]) AS name, unnest(range({len(_SOURCES)})) AS k), t AS (SELECT kept.*, length(response) // 4 AS t FROM kept WHERE id NOT IN (SELECT id FROM flags)),
+f AS (SELECT id, id % 7 AS k FROM kept WHERE id IN (SELECT id FROM flags)), c AS (SELECT unnest([{', '.join(repr(x) for x in fixed.SPAN_CATEGORIES)}]) AS name, unnest(range(8)) AS k), w AS (SELECT unnest([{', '.join(repr(x) for x in fixed.SKIP_REASONS)}]) AS name, unnest(range(8)) AS k)
+SELECT CAST(k AS INT) AS position, 'source' AS section, name, (SELECT count(*) FROM t WHERE source = name) AS n, CAST((SELECT coalesce(sum(t), 0) FROM t WHERE source = name) AS BIGINT) AS tokens FROM names
+UNION ALL SELECT {len(_SOURCES)}, 'source', 'total', (SELECT count(*) FROM t), CAST((SELECT sum(t) FROM t) AS BIGINT)
+UNION ALL SELECT CAST(k + {len(_SOURCES) + 1} AS INT), 'left out', name, CASE name WHEN 'short' THEN (SELECT count(*) FROM ex WHERE length(response) < 200) WHEN 'duplicate' THEN (SELECT count(*) FROM long_ WHERE rn > 1) WHEN 'flagged' THEN (SELECT count(*) FROM f) WHEN 'image' THEN 3 ELSE 0 END, NULL FROM w
+UNION ALL SELECT CAST(k + {len(_SOURCES) + 9} AS INT), 'span', name, CASE WHEN k < 7 THEN (SELECT count(*) FROM f WHERE f.k = c.k) ELSE (SELECT count(*) FROM f WHERE f.k % 2 = 0) END, NULL FROM c
+UNION ALL SELECT {len(_SOURCES) + 17}, 'preferences', 'pairs', (SELECT count(*) FROM benchmark), NULL""")
+def curate_build_report(spark, sf):
+    """The whole build from documents, labels as flags with spans by id, benchmark items as preference pairs; sources in order, one empty."""
+    category = F.get(F.array(*map(F.lit, fixed.SPAN_CATEGORIES)), (F.col("id") % 7).cast("int"))
+    other = F.when(F.col("id") % 7 % 2 == 0, F.struct(F.lit("other").alias("category"), F.lit("x").alias("text")))
+    flags = _flags(spark, sf).withColumns({"note": F.lit("n"), "spans": F.array_compact(F.array(F.struct(category.alias("category"), F.lit("y").alias("text")), other))})
+    pairs = table(spark, sf, "benchmark").select(F.col("text").alias("prompt"), F.lit("a").alias("chosen"), F.lit("b").alias("rejected"))
+    return B.report_rows(spark, B.build(_examples(spark, sf), flags, scratch_folder(spark, "build"), _SOURCES, pairs, {"image": 3}))
+
+
 @query("""SELECT origin, count(*) AS rows, min(position) AS first FROM (SELECT 'document' AS origin, doc_id AS position FROM documents UNION ALL SELECT 'benchmark', item_id FROM benchmark UNION ALL SELECT 'conversation', conv_id FROM conversations) GROUP BY origin""")
 def curate_union_sources(spark, sf):
     parts = [table(spark, sf, n).select(F.lit(o).alias("origin"), F.col(c).alias("position")) for n, o, c in (("documents", "document", "doc_id"), ("benchmark", "benchmark", "item_id"), ("conversations", "conversation", "conv_id"))]

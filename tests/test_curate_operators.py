@@ -77,3 +77,20 @@ def test_with_reason_shuffles_no_text(spark):
     out = C.with_reason(rows)
     assert {r.id: r.reason for r in out.collect()} == {1: None, 2: "duplicate", 3: "short", 4: "short"} and "response" not in out.columns
     assert out.where(F.col("reason").isNull()).count() == 1
+
+
+def test_build_writes_and_counts_in_one_pass(spark, tmp_path):
+    from millrace.operators import build as B
+
+    long = "long enough " * 30
+    rows = [(1, "a", "book", "b/1", None, long), (2, "b", "chat", "c/1", "q", long), (3, "a2", "book", "b/2", "", long), (3, "a2", "book", "b/2", "", long), (4, "s", "book", "b/3", "", "short"), (5, "n", None, None, "", long + "x"), (6, "e", "book", "b/4", "", None)]
+    df = spark.createDataFrame(rows, "seq long, id string, source string, origin string, instruction string, response string")
+    flags = spark.createDataFrame([("b", "bad", [("other", "x"), ("rhythm_trick", "y"), ("other", "z")]), ("b", "bad", []), ("zz", "gone", None), ("s", "short", None), (None, None, None)], "id string, note string, spans array<struct<category:string,text:string>>")
+    built = B.build(df, flags, str(tmp_path / "out"), ["chat", "book", "none"], None, {"image": 2})
+    assert [x[:2] for x in built["sources"]] == [("chat", 0), ("book", 1), ("none", 0), ("other", 1)] and built["sources"][1][2] == 90
+    assert dict(built["left_out"]) == {"safety": 0, "image": 2, "empty": 0, "notes": 0, "no header": 0, "short": 2, "duplicate": 2, "flagged": 1}
+    assert {r.id for r in built["unmatched"].collect()} == {"zz", "s"}
+    out = spark.read.json(str(tmp_path / "out" / "examples"))
+    assert {(r.id, r.kind) for r in out.collect()} == {("a", "train"), ("b", "slop"), ("n", "train")}
+    nothing = B.build(df.limit(0), flags.limit(0), str(tmp_path / "none"), ["book"])
+    assert nothing["sources"] == [("book", 0, 0, 0), ("other", 0, 0, 0)] and sum(n for _, n in nothing["left_out"]) == 0
