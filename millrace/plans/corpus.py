@@ -31,16 +31,17 @@ def md_strip_html(spark, sf):
     return rows.select("page_id", F.md5(F.array_join("x", "\n")).alias("text_md5"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 3 <> 2 THEN source || ' ' || doc_id END AS title, CASE WHEN doc_id % 3 = 1 THEN md5('---' || chr(10) || 'title: ' || source || ' ' || doc_id || chr(10) || text) ELSE md5(text) END AS body_md5 FROM documents WHERE NOT regexp_matches(text, '(?m)^(---\\s*|title:.*)$')""")
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 <> 2 THEN source || ' ' || doc_id END AS title, CASE WHEN doc_id % 3 = 1 THEN md5('---' || chr(10) || 'title: ' || source || ' ' || doc_id || chr(10) || text) ELSE md5(text) END AS body_md5 FROM (SELECT doc_id, source, replace(replace(text, '---', ''), 'title:', '') AS text FROM documents)""")
 def md_front_matter(spark, sf):
     """Titles of closed and unclosed front matter, and the text after it."""
     head = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('---\ntitle: "'), "source", F.lit(" "), "doc_id", F.lit('"\nlang: x\n---\n')))
     head = head.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("---\ntitle: "), "source", F.lit(" "), "doc_id", F.lit("\n"))).otherwise("")
-    rows = table(spark, sf, "documents").where(~F.col("text").rlike(r"(?m)^(---\s*|title:.*)$")).select("doc_id", F.concat(head, "text").alias("t"))
+    plain = F.replace(F.replace("text", F.lit("---"), F.lit("")), F.lit("title:"), F.lit(""))  # no marks but those added
+    rows = table(spark, sf, "documents").select("doc_id", F.concat(head, plain).alias("t"))
     return rows.select("doc_id", M.front_matter_title(F.col("t")).alias("title"), F.md5(M.strip_front_matter(F.col("t"))).alias("body_md5"))
 
 
-@query(r"""WITH l AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '\n$', ''), chr(10)) AS a FROM documents)),
+@query(r"""WITH l AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '\n$', ''), chr(10)) AS a FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))),
 f AS (SELECT *, regexp_matches(line, '^\s*(```|~~~)') AS fence FROM l), c AS (SELECT *, sum(fence::INT) OVER (PARTITION BY doc_id ORDER BY i) % 2 = 1 OR fence AS code FROM f),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) = '' AS blank FROM c WHERE code OR NOT regexp_matches(line, '^\s{0,3}\[[^\]]+\]:\s*\S')),
 j AS (SELECT *, NOT code AND NOT blank AND NOT regexp_matches(line, '^\s*[#|]') AS joins, NOT code AND NOT blank AND NOT regexp_matches(line, '^\s*([#>|<]|[-*+]\s|\d+[.)]\s)') AS may FROM k),
@@ -49,16 +50,14 @@ o AS (SELECT doc_id, grp, CASE WHEN bool_or(code) THEN any_value(line) ELSE rege
 SELECT doc_id, md5(string_agg(x, chr(10) ORDER BY grp)) AS text_md5 FROM o GROUP BY doc_id""")
 def md_tidy_prose(spark, sf):
     """Hard-wrapped lines joined, link definitions out, reference links as their text."""
-    rows = table(spark, sf, "documents").where("text != ''")
-    return rows.select("doc_id", F.md5(M.tidy_prose("text")).alias("text_md5"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(M.tidy_prose(F.coalesce("text", F.lit("")))).alias("text_md5"))
 
 
-@query(rf"""SELECT doc_id, source AS chapter, 'Part ' || doc_id AS heading, md5('# ' || source || chr(10) || chr(10) || '## Part ' || doc_id || chr(10) || chr(10) || {_STRIP.format("text")}) AS passage_md5 FROM documents
-WHERE {_STRIP.format("text")} <> '' AND NOT regexp_matches(text, '(?m)^\s*(#|```|~~~)') UNION ALL
-SELECT doc_id, source, source, md5('# ' || source || chr(10) || chr(10) || 'Lead.') FROM documents WHERE NOT regexp_matches(text, '(?m)^\s*(#|```|~~~)')""")
+@query(rf"""SELECT doc_id, source AS chapter, 'Part ' || doc_id AS heading, md5('# ' || source || chr(10) || chr(10) || '## Part ' || doc_id || chr(10) || chr(10) || {_STRIP.format("text")}) AS passage_md5 FROM (SELECT doc_id, source, translate(text, '#`~', '') AS text FROM documents)
+WHERE {_STRIP.format("text")} <> '' UNION ALL SELECT doc_id, source, source, md5('# ' || source || chr(10) || chr(10) || 'Lead.') FROM documents""")
 def md_sections(spark, sf):
     """Chapters made of a lead and one numbered section each, cut and put together as passages."""
-    rows = table(spark, sf, "documents").where(~F.col("text").rlike(r"(?m)^\s*(#|```|~~~)"))
+    rows = table(spark, sf, "documents").withColumn("text", F.translate("text", "#`~", ""))  # no marks but those added
     chapter = F.concat(F.lit("# 2. "), "source", F.lit("\n\nLead.\n\n## 2.1 Part "), "doc_id", F.lit("\n"), "text", F.lit("\n\n## 2.2 Empty\n"))
     rows = rows.select("doc_id", chapter.alias("t"), F.lit("src/x.md").alias("origin"))
     rows = rows.withColumn("chapter", M.chapter_title(F.col("t"), F.col("origin"))).select("doc_id", "chapter", F.explode(M.sections("t", "chapter")).alias("s"))
@@ -141,10 +140,10 @@ def distill_reads_as_answer(spark, sf):
     return rows.where(C.reads_as_answer(F.col("t"))).select("doc_id")
 
 
-@query(rf"""SELECT doc_id, md5({_STRIP.format("text")}) AS answer_md5 FROM documents WHERE NOT regexp_matches(text, '^\s*#')""")
+@query(rf"""SELECT doc_id, md5({_STRIP.format("text")}) AS answer_md5 FROM (SELECT doc_id, replace(text, '#', '') AS text FROM documents)""")
 def distill_answers(spark, sf):
     """Sections without the headings and blank lines that open them."""
-    rows = table(spark, sf, "documents").where(~F.col("text").rlike(r"\A\s*#"))
+    rows = table(spark, sf, "documents").withColumn("text", F.replace("text", F.lit("#"), F.lit("")))
     return rows.select("doc_id", F.md5(C.answer(F.concat(F.lit("# Title\n\n## Part\n \n"), "text"))).alias("answer_md5"))
 
 

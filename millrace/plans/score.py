@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import answers as A
+from millrace.functions import fixed
 from millrace.functions import text as T
 from millrace.operators import answers as O
 from millrace.operators import quantiles as Q
@@ -16,34 +17,46 @@ from .registry import query, table
 _ADDED = {0: (" Great question! ", "flattery_filler_opener"), 1: (" We delve into it. ", "empty_depth_words"), 2: (" In summary, `great question` no. ", "wrap_up_repeat"), 3: ("\n```\ndelve into\n```\n", None), 4: (" No pain. No gain. ", "rhythm_trick")}
 
 
-@query("SELECT doc_id AS id, CASE doc_id % 5 WHEN 0 THEN 'flattery_filler_opener' WHEN 1 THEN 'empty_depth_words' WHEN 2 THEN 'wrap_up_repeat' ELSE 'rhythm_trick' END AS category, "
-       "CASE doc_id % 5 WHEN 0 THEN 'Great question' WHEN 1 THEN 'delve into' WHEN 2 THEN 'In summary,' ELSE 'No pain. No gain.' END AS match, CAST(strlen(text) + CASE doc_id % 5 WHEN 1 THEN 4 ELSE 1 END AS INT) AS \"start\" "
-       "FROM documents WHERE doc_id % 5 <> 3 AND NOT contains(text, chr(96)) AND NOT regexp_matches(text, '[A-Z][a-z]+\\.\\s+[A-Z][a-z]+\\.\\s')")
+_SLOP = [(k, name, T.phrase_pattern(phrases)) for k, (name, phrases) in enumerate(fixed.SLOP_PHRASES.items())] + [(len(fixed.SLOP_PHRASES), "rhythm_trick", p) for p in fixed.RHYTHM_PATTERNS]
+_ADD_SQL = "CASE doc_id % 5 " + " ".join(f"WHEN {k} THEN " + " || chr(10) || ".join(f"'{x}'" for x in t.split("\n")) for k, (t, _) in _ADDED.items()) + " END"
+
+
+def _hits_sql(k: int, name: str, pattern: str) -> str:
+    """Matches of one pattern, with the bytes before each: those of the parts between matches and of the matches before."""
+    quoted = pattern.replace("'", "''")
+    return f"SELECT id, {k} AS k, '{name}' AS category, regexp_extract_all(prose, '{quoted}') AS m, regexp_split_to_array(prose, '{quoted}') AS s FROM p"
+
+
+@query(rf"""WITH RECURSIVE x AS (SELECT doc_id AS id, coalesce(text, '') || {_ADD_SQL} AS t FROM documents), c AS (SELECT id, regexp_extract_all(t, '```[^`]*```|`[^`\n]+`') AS m, regexp_split_to_array(t, '```[^`]*```|`[^`\n]+`') AS s FROM x),
+p AS (SELECT id, array_to_string(list_transform(range(1, len(s) + 1), lambda i: s[i] || repeat(' ', coalesce(strlen(m[i]), 0))), '') AS prose FROM c), f AS ({" UNION ALL ".join(_hits_sql(*x) for x in _SLOP)}),
+g AS (SELECT id, k, category, m[i] AS match, list_sum(list_transform(s[1:i], lambda y: strlen(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: strlen(y))), 0) AS a FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f WHERE len(m) > 0)),
+h AS (SELECT *, a + strlen(match) AS b, row_number() OVER (PARTITION BY id ORDER BY a, k) AS n FROM g),
+r AS (SELECT id, n, b AS reach, true AS keep FROM h WHERE n = 1 UNION ALL SELECT h.id, h.n, CASE WHEN h.a >= r.reach THEN h.b ELSE r.reach END, h.a >= r.reach FROM r JOIN h ON h.id = r.id AND h.n = r.n + 1)
+SELECT h.id, category, match, CAST(a AS INT) AS "start" FROM h JOIN r ON r.id = h.id AND r.n = h.n WHERE keep""")
 def score_slop(spark, sf):
-    """Stock phrases put behind documents, with their places in bytes; phrases in code do not count."""
+    """Stock phrases in and behind all documents, with their places in bytes; phrases in code do not count, hits do not overlap."""
     add = F.coalesce(*[F.when(F.col("doc_id") % 5 == k, F.lit(t)) for k, (t, _) in _ADDED.items()])
-    rows = table(spark, sf, "documents").where(~F.contains("text", F.lit("`")) & ~F.col("text").rlike(r"[A-Z][a-z]+\.\s+[A-Z][a-z]+\.\s"))
-    rows = rows.select(F.col("doc_id").alias("id"), F.explode(A.slop_check(F.concat("text", add))["hits"]).alias("h"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.explode(A.slop_check(F.concat(F.coalesce("text", F.lit("")), add))["hits"]).alias("h"))
     return rows.select("id", "h.category", F.col("h.text").alias("match"), "h.start")
 
 
 _CODE = {0: "fn a() { b().unwrap(); }", 1: "/// Doc.\npub fn a() -> u8 { 1 }", 2: "pub fn a() -> u8 { 1 }", 3: "fn a() {"}
 
 
-@query(r"""WITH d AS (SELECT doc_id, doc_id % 6 AS k, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS w FROM documents WHERE NOT contains(text, chr(96)))
+@query(r"""WITH d AS (SELECT doc_id, doc_id % 6 AS k, len(list_filter(regexp_split_to_array(regexp_replace(text, '`[^`\n]+`', ' ', 'g'), '\s+'), lambda w: w <> '')) AS w FROM documents)
 SELECT count(*) AS answers, count(*) FILTER (WHERE k < 4) AS with_code, count(*) FILTER (WHERE k < 3) AS parsed_blocks, count(*) FILTER (WHERE k = 1) AS all_rules, count(*) FILTER (WHERE k IN (1, 2)) AS no_unwrap_passed, count(*) FILTER (WHERE k < 3) AS no_unwrap_applied,
 count(*) FILTER (WHERE k = 1) AS pub_docs_passed, count(*) FILTER (WHERE k IN (1, 2)) AS pub_docs_applied, count(*) FILTER (WHERE k IN (0, 2)) AS false_claims, CAST(sum(w + 5) AS BIGINT) AS words FROM d""")
 def score_run_summary(spark, sf):
     """The summary of a run whose answers claim to keep the rules and end in a block of code, or none."""
     code = F.coalesce(*[F.when(F.col("doc_id") % 6 == k, F.lit(f"\n```rust\n{c}\n```\n")) for k, c in _CODE.items()], F.lit(""))
-    rows = table(spark, sf, "documents").where(~F.contains("text", F.lit("`"))).select(F.col("doc_id").alias("id"), F.concat("text", F.lit("\nIt adheres to the rules\n"), code).alias("text"))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.concat("text", F.lit("\nIt adheres to the rules\n"), code).alias("text"))
     names = ["answers", "with_code", "parsed_blocks", "all_rules", "no_unwrap_passed", "no_unwrap_applied", "pub_docs_passed", "pub_docs_applied", "false_claims", "words"]
     return O.summary(O.score(rows)).select(*names)
 
 
-@query(r"""SELECT source, CAST(sum(len(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '))) AS BIGINT) AS words, CAST(sum(length(text) - length(replace(text, '—', ''))) AS BIGINT) AS em_dashes FROM documents WHERE trim(text) <> '' GROUP BY source""")
+@query(r"""SELECT source, CAST(sum(len(list_filter(string_split(regexp_replace(text, '\s+', ' ', 'g'), ' '), lambda w: w <> ''))) AS BIGINT) AS words, CAST(sum(length(text) - length(replace(text, '—', ''))) AS BIGINT) AS em_dashes FROM documents GROUP BY source""")
 def score_prose_totals(spark, sf):
-    rows = table(spark, sf, "documents").where(F.trim("text") != "").select("source", T.word_count(F.col("text")).alias("w"), F.regexp_count("text", F.lit("—")).alias("d"))
+    rows = table(spark, sf, "documents").select("source", T.word_count(F.col("text")).alias("w"), F.regexp_count("text", F.lit("—")).alias("d"))
     return rows.groupBy("source").agg(F.sum("w").cast("long").alias("words"), F.sum("d").cast("long").alias("em_dashes"))
 
 
