@@ -25,15 +25,15 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
 
 
+def ascii_lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def squeeze(text: Column) -> Column:
     """Words parted by single spaces."""
     return F.trim(F.regexp_replace(text, WHITE, " "))
 
 
-def estimated_tokens(text: Column) -> Column:
-    return F.floor(F.length(text) / 4).cast("long")
-
-
 def dedup_key(instruction: Column, response: Column) -> Column:
     return F.concat(squeeze(instruction), F.lit("\n"), squeeze(response))
 
@@ -79,11 +79,6 @@ def permits_reuse(licence: Column) -> Column:
     return licence.isin(fixed.REUSABLE)
 
 
-def prose_only(text: Column) -> Column:
-    """Fenced blocks and inline code out of the way, each replaced by one space."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?ms)^```.*?(?:^```[^\n]*$|\z)", " "), r"`[^`\n]*`", " ")
-
-
 def phrase_pattern(phrases: list[str]) -> str:
     """One case-insensitive alternation; apostrophes of both kinds; word boundaries at alphanumeric edges."""
 
@@ -94,12 +89,6 @@ def phrase_pattern(phrases: list[str]) -> str:
     return "(?i)(?:" + "|".join(map(one, phrases)) + ")"
 
 
-def slop_counts(prose: Column) -> Column:
-    """Map from category to the number of stock phrases."""
-    pairs = [x for name, phrases in fixed.SLOP_PHRASES.items() for x in (F.lit(name), F.size(F.regexp_extract_all(prose, F.lit(phrase_pattern(phrases)), F.lit(0))))]
-    return F.create_map(*pairs)
-
-
 def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, WHITE), lambda w: w != ""))
 

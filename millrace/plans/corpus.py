@@ -8,6 +8,7 @@ from millrace.functions import fixed
 from millrace.functions import markdown as M
 from millrace.functions import text as T
 from millrace.operators import corpus as C
+from millrace.operators import review as V
 
 from .curate import _literal
 from .registry import query, table
@@ -168,6 +169,14 @@ def distill_conversation_keys(spark, sf):
     return C.conversation_keys(_planned(spark, sf))
 
 
+@query(f"""WITH {_PLAN}, w AS (SELECT DISTINCT source || chr(10) || substr(text, 1, 200) AS s FROM documents WHERE doc_id % 2 = 0)
+SELECT CAST(chapter AS BIGINT) AS chapter, CAST(k // 3 AS INT) AS part FROM n ANTI JOIN w ON w.s = n.source || chr(10) || substr(n.text, 1, 200) WHERE k % 3 = 0""")
+def distill_remaining(spark, sf):
+    """Planned conversations that a resumed run still has to write: those whose key is not among the written (here: of documents of even ids)."""
+    written = table(spark, sf, "documents").where(F.col("doc_id") % 2 == 0).select(T.fnv1a(F.concat("source", F.lit("\n"), F.substring("text", 1, 200))).alias("key"))
+    return V.remaining(C.conversation_keys(_planned(spark, sf)), written).select("chapter", "part")
+
+
 @query("""WITH s AS (SELECT doc_id AS id, 1 AS position, 'toxic' AS reason FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 2, 'poor' FROM labels WHERE quality = 0)
 SELECT id, 'auto: ' || string_agg(reason, '; ' ORDER BY position) AS note FROM s WHERE id % 3 <> 0 GROUP BY id""")
 def review_apply_suggestions(spark, sf):

@@ -9,6 +9,7 @@ from millrace.functions import fixed
 from millrace.functions import text as T
 from millrace.operators import build as B
 from millrace.operators import curate as C
+from millrace.operators import review as V
 from millrace.operators.scratch import scratch_folder
 
 from .registry import query, table
@@ -219,6 +220,29 @@ def review_suggestions_per_rule(spark, sf):
     return rows.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
 
 
+_ADDED_SLOP = ["Great Question!", "It's worth noting — really — that", "in SUMMARY", "plain", "<DIV>no fluff</div>"]
+_FIELD_SQL = " UNION ALL ".join(f"SELECT id, source, '{field}' AS field, '{rule}' AS rule, '{fixed.SUGGESTION_CATEGORIES.get(rule, rule)}' AS category, {_first_phrase_sql(phrases).replace('contains(t,', f'contains({field[0]},')} AS match FROM a" for field in ("instruction", "response") for rule, phrases in fixed.SUGGESTION_RULES.items())
+
+
+@query(f"""WITH b AS (SELECT doc_id AS id, source, {_literal([tuple(_ADDED_SLOP)]).replace('(', '[', 1)[:-1]}] AS x, text FROM documents), a AS (SELECT id, source, lower(x[id % 5 + 1] || '?') AS i, lower(text || ' ' || x[(id + id // 5) % 5 + 1]) AS r FROM b WHERE source <> 'src3')
+SELECT id, source, field, rule, category, match FROM ({_FIELD_SQL} UNION ALL SELECT id, source, 'response', 'em_dash_habit', 'rhythm_trick', CASE WHEN length(r) - length(replace(r, '—', '')) >= 2 THEN (length(r) - length(replace(r, '—', ''))) || ' em dashes' END FROM a) WHERE match IS NOT NULL""")
+def review_field_suggestions(spark, sf):
+    """Suggestions for the requests and answers of all documents but those of a reviewer's own source (src3 stands for one)."""
+    added = F.array(*map(F.lit, _ADDED_SLOP))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.when(F.col("source") == "src3", fixed.OWN_SOURCES[0]).otherwise(F.col("source")).alias("source"), F.concat(F.get(added, (F.col("doc_id") % 5).cast("int")), F.lit("?")).alias("instruction"),
+                                                F.concat("text", F.lit(" "), F.get(added, ((F.col("doc_id") + F.floor(F.col("doc_id") / 5)) % 5).cast("int"))).alias("response"))
+    return V.suggestions(rows)
+
+
+@query("""WITH f AS (SELECT doc_id AS id, substr(text, CAST(strpos(lower(text), 'worthless') AS INT), 9) AS t FROM documents WHERE contains(lower(text), 'worthless')), l AS (SELECT DISTINCT doc_id AS id FROM labels)
+SELECT f.id, CASE WHEN l.id IS NULL THEN 'phrase: Worthless' END AS note, f.t AS text, (SELECT count(*) FROM f) AS matched, (SELECT count(*) FROM f LEFT JOIN l USING (id) WHERE l.id IS NULL OR f.id % 2 = 1) AS added FROM f LEFT JOIN l USING (id) WHERE l.id IS NULL OR f.id % 2 = 1""")
+def review_mark_everywhere(spark, sf):
+    """A phrase marked in all answers but those whose flag has it (here: labelled ones of even ids)."""
+    flags = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.lit("n").alias("note"), F.when(F.col("doc_id") % 2 == 0, F.array(F.struct(F.lit("response").alias("field"), F.lit("WORTHLESS").alias("text"), F.lit("other").alias("category")))).alias("spans"))
+    new, counts = V.marked(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("response")), flags, " Worthless ", "other")
+    return new.select("id", "note", "text").crossJoin(F.broadcast(counts))  # one row
+
+
 @query(f"""WITH {REASONS}, {FLAGS} SELECT id FROM flags WHERE id NOT IN (SELECT id FROM kept) AND id NOT IN (SELECT id FROM ex WHERE length(response) < 200)""")
 def review_orphan_flags(spark, sf):
     rows = C.with_reason(_examples(spark, sf))

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import replies as R
+from millrace.operators import research as N
 from millrace.streaming import sieve
 
 from .registry import query, table
@@ -124,3 +125,22 @@ def replies_sieved(spark, sf):
     of = lambda kind, c: F.when(F.col("kind") == kind, F.struct("number", c))
     out = sieve.sieved_whole(chunks).groupBy("reply").agg(F.sort_array(F.collect_list(of("text", "text"))).alias("t"), F.count_if(F.col("kind") == "call").cast("int").alias("calls"), F.max(F.when(F.col("kind") == "call", F.col("arguments"))).alias("arguments"), F.max("output_tokens").alias("output_tokens"))
     return out.select("reply", F.md5(F.array_join(F.transform("t", lambda x: x["text"]), "")).alias("shown_md5"), "calls", "arguments", "output_tokens")
+
+
+_ROUND_SQL = """c AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN '' WHEN 1 THEN substr(text, 1, 20) ELSE text END AS c, (conv_id + turn) % 3 AS calls, CASE WHEN conv_id % 2 = 0 THEN 1 ELSE 0 END AS fresh,
+CASE WHEN (conv_id + turn) % 7 = 5 THEN 'loop' END AS stop, turn >= 4 AS out, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),
+e AS (SELECT *, CASE WHEN stop IS NOT NULL THEN CASE WHEN b = 0 THEN 'stuck' ELSE 'cut' END WHEN b = 0 AND calls = 0 THEN 'nothing' WHEN b = 0 OR (b < 1024 AND calls > 0 AND fresh > 0) THEN 'calls' ELSE 'answer' END AS turn_ FROM (SELECT *, strlen(trim(coalesce(c, ''))) AS b FROM c))"""
+
+
+@query(f"""WITH RECURSIVE {_ROUND_SQL}, r AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, 'researching' AS state, 1 AS k, NULL::VARCHAR AS why FROM e
+UNION ALL SELECT e.conv_id, e.n, CASE WHEN turn_ = 'answer' THEN 'answered' WHEN turn_ = 'cut' THEN 'stopped' WHEN state = 'researching' THEN CASE WHEN turn_ = 'calls' AND k < 8 AND NOT out THEN 'researching' WHEN turn_ = 'stuck' THEN 'answering without thinking' ELSE 'answering' END
+WHEN turn_ = 'stuck' THEN CASE WHEN state = 'answering' AND k < 3 THEN 'answering without thinking' ELSE 'stopped' END WHEN k < 3 THEN state ELSE 'unanswered' END,
+CASE WHEN turn_ IN ('answer', 'cut') THEN 0 WHEN state = 'researching' THEN CASE WHEN turn_ = 'calls' AND k < 8 AND NOT out THEN k + 1 ELSE 1 END WHEN turn_ = 'stuck' THEN CASE WHEN state = 'answering' AND k < 3 THEN k + 1 ELSE 0 END WHEN k < 3 THEN k + 1 ELSE 0 END, stop
+FROM r JOIN e ON e.conv_id = r.conv_id AND e.n = r.n + 1 WHERE state IN ('researching', 'answering', 'answering without thinking'))
+SELECT conv_id AS answer, CAST(n AS INT) AS rounds, state, k AS round, CASE WHEN state = 'stopped' THEN why END AS reason FROM r QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1""")
+def replies_outcomes(spark, sf):
+    """How answers ended: the turns of conversations as rounds, with calls and stops by their numbers."""
+    c, t = F.col("conv_id"), F.col("turn")
+    content = F.when(t % 3 == 0, "").when(t % 3 == 1, F.substring("text", 1, 20)).otherwise(F.col("text"))
+    rows = table(spark, sf, "conversations").select(c.alias("answer"), t.alias("seq"), content.alias("content"), ((c + t) % 3).alias("calls"), F.when(c % 2 == 0, 1).otherwise(0).alias("new_calls"), F.when((c + t) % 7 == 5, "loop").alias("stop"), (t >= 4).alias("out_of_searches"))
+    return N.outcomes(rows)
