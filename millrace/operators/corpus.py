@@ -171,6 +171,35 @@ def teacher_totals(parsed: DataFrame) -> DataFrame:
     )
 
 
+def with_sections(parsed: DataFrame, sections: DataFrame) -> DataFrame:
+    """Entries with `found`, the section (id, source, origin, licence, text) that each names; one that names a section that is not there is
+    an error, unless another thing is wrong with it before. Repeated section ids count once."""
+    known = sections.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("section")).agg(F.min(F.struct("source", "origin", "licence", "text")).alias("found"))
+    out = parsed.join(known, "section", "left")
+    missing = F.when(F.col("section").isNotNull() & F.col("found").isNull(), "unknown section")
+    return out.withColumn("error", F.coalesce("error", missing))
+
+
+def conversations_by_source(checked: DataFrame) -> DataFrame:
+    """source, conversations of the entries without an error; those without a section are the teacher's own."""
+    name = F.coalesce("found.source", F.lit("written by the teacher"))
+    return checked.where("error is null").groupBy(name.alias("source")).agg(F.count(F.lit(1)).alias("conversations"))
+
+
+def blocks_by_language(parsed: DataFrame) -> DataFrame:
+    """language, blocks, entries: fenced code in the answers of the entries without an error."""
+    answers = parsed.where("error is null").select("origin", F.explode(F.filter("turns", lambda t: t["role"] == "assistant")).alias("t"))
+    blocks = answers.select("origin", F.explode(M.fenced_blocks(F.col("t.content"))).alias("b"))
+    return blocks.groupBy("b.language").agg(F.count(F.lit(1)).alias("blocks"), F.countDistinct("origin").alias("entries"))
+
+
+def chat_lines(checked: DataFrame) -> DataFrame:
+    """The training lines of the entries without an error: origin and licence from the section where the entry has none of its own."""
+    return checked.where("error is null").select(
+        F.coalesce("found.origin", "origin").alias("origin"), F.col("origin").alias("entry"), F.col("source").alias("based_on"), "section", F.coalesce("licence", "found.licence").alias("licence"), F.col("found.text").alias("source_text"), F.col("turns").alias("messages"), "rejected",
+    )
+
+
 def widened(query: Column, kind: Column) -> Column:
     """A search query and, for jobs and people, each angle that it does not name; at most MAX_QUERIES."""
     low = F.lower(query)

@@ -253,6 +253,35 @@ def teacher_report(spark, sf):
     return C.teacher_totals(C.entry_parts(turns.select(F.col("conv_id").cast("string").alias("origin"), entry.alias("entry"))))
 
 
+_TAUGHT_SQL = r"""t AS (SELECT conv_id, turn, role, text FROM conversations WHERE role <> 'system'), c AS (SELECT conv_id, count(*) AS n, bool_and((role = 'user') = (k % 2 = 1)) AS ordered, bool_or(trim(text) = '') AS blank
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM t) GROUP BY conv_id), g AS (SELECT conv_id, n FROM c WHERE ordered AND n % 2 = 0 AND NOT blank)"""
+
+
+def _taught(spark, sf):
+    """Conversations as teacher entries with code in their answers; of two in three the section is the document of their number or beyond."""
+    code = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("\n```"), F.when(F.col("turn") % 4 == 0, "rust").otherwise("go"), F.lit("\nx\n```"))).otherwise("\n~~~\ny\n~~~")
+    heading = F.when(F.col("role") == "user", "### User\n").otherwise("### Assistant\n")
+    turns = table(spark, sf, "conversations").where("role != 'system'").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat(heading, "text", F.when(F.col("role") == "user", "").otherwise(code), F.lit("\n")).alias("x")))).alias("x"))
+    section = F.when(F.col("conv_id") % 3 == 0, "").otherwise(F.concat(F.lit("; section: "), F.when(F.col("conv_id") % 3 == 1, F.col("conv_id")).otherwise(-F.col("conv_id")).cast("string")))
+    entry = F.concat(F.lit("<!-- source: conv"), section, F.lit(" -->\n"), F.array_join(F.transform("x", lambda t: t["x"]), ""))
+    parsed = C.entry_parts(turns.select(F.col("conv_id").cast("string").alias("origin"), entry.alias("entry")))
+    sections = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "source", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("origin"), F.lit("mit").alias("licence"), "text")
+    return C.with_sections(parsed, sections)
+
+
+@query(f"""WITH {_TAUGHT_SQL} SELECT coalesce(d.source, 'written by the teacher') AS source, count(*) AS conversations FROM g LEFT JOIN documents d ON g.conv_id = d.doc_id AND g.conv_id % 3 = 1 WHERE g.conv_id % 3 = 0 OR d.doc_id IS NOT NULL GROUP BY 1""")
+def teacher_sources(spark, sf):
+    """Conversations by the source of the section they name; those that name none that exists are errors."""
+    return C.conversations_by_source(_taught(spark, sf))
+
+
+@query(f"""WITH {_TAUGHT_SQL}, b AS (SELECT g.conv_id, CASE WHEN turn % 4 = 0 THEN 'rust' WHEN turn % 2 = 0 THEN 'go' ELSE '' END AS language FROM g JOIN t USING (conv_id) LEFT JOIN documents d ON g.conv_id = d.doc_id AND g.conv_id % 3 = 1 WHERE role = 'assistant' AND (g.conv_id % 3 = 0 OR d.doc_id IS NOT NULL))
+SELECT language, count(*) AS blocks, count(DISTINCT conv_id) AS entries FROM b GROUP BY language""")
+def teacher_blocks(spark, sf):
+    """Code blocks of answers by language."""
+    return C.blocks_by_language(_taught(spark, sf))
+
+
 _SEARCHES = [(1, ["rust jobs", " rust jobs ", "go"], "jobs"), (2, ["who runs it"], "people"), (3, ["plain", ""], "general"), (4, ["career ladder", "x"], "jobs")]
 
 

@@ -94,3 +94,16 @@ def test_build_writes_and_counts_in_one_pass(spark, tmp_path):
     assert {(r.id, r.kind) for r in out.collect()} == {("a", "train"), ("b", "slop"), ("n", "train")}
     nothing = B.build(df.limit(0), flags.limit(0), str(tmp_path / "none"), ["book"])
     assert nothing["sources"] == [("book", 0, 0, 0), ("other", 0, 0, 0)] and sum(n for _, n in nothing["left_out"]) == 0
+
+
+def test_teacher_sections(spark):
+    from millrace.operators import corpus as O
+
+    head = lambda section: f"<!-- source: s{section} -->\n### User\nQ\n### Assistant\nA\n```rust\nx\n```\n"
+    rows = [("e1", head("; section: 1")), ("e2", head("; section: 9")), ("e3", head("")), ("e4", head("; section: 2; licence: bsd")), ("e5", "### User\nQ")]
+    sections = [("1", "trpl", "trpl/1", "mit", "t1"), ("2", "go", "go/2", "apache", "t2"), ("1", "trpl", "trpl/1", "mit", "t1"), (None, "x", "x", "x", "x")]
+    checked = O.with_sections(O.entry_parts(spark.createDataFrame(rows, "origin string, entry string")), spark.createDataFrame(sections, "id string, source string, origin string, licence string, text string"))
+    assert {r.origin: r.error for r in checked.collect()} == {"e1": None, "e2": "unknown section", "e3": None, "e4": None, "e5": "no source"}
+    assert {tuple(r) for r in O.conversations_by_source(checked).collect()} == {("trpl", 1), ("go", 1), ("written by the teacher", 1)}
+    assert [tuple(r) for r in O.blocks_by_language(checked).collect()] == [("rust", 3, 3)]
+    assert {(r.entry, r.origin, r.licence, r.source_text) for r in O.chat_lines(checked).collect()} == {("e1", "trpl/1", "mit", "t1"), ("e3", "e3", None, None), ("e4", "go/2", "bsd", "t2")}
