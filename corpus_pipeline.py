@@ -8,7 +8,8 @@
 4. benchmark decontamination: documents that leak a benchmark item go;
 5. best-fit packing: the rest is packed into sequences.
 
-Each stage takes (spark, docs, sf_dir). All but the last return the columns of documents. Rows with a null doc_id pass stages 2 to 4.
+Each stage takes (spark, docs, sf_dir). All but the last return the columns of documents, whatever the others are called. Rows with a
+null doc_id pass stages 2 to 4.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bytesops
@@ -29,10 +30,24 @@ from millrace.llm.scratch import keys_join, release, stored
 from millrace.llm.suffix_dedup import kept_bytes, with_runs
 
 
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _numbered(docs: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of docs under names that no operator uses, in order; those in `but` keep theirs."""
+    return [_column(c) if c in but else _column(c).alias(f"__column{i}") for i, c in enumerate(docs.columns)]
+
+
+def _named(docs: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The way back: numbered columns under the names of docs."""
+    return [_column(c) if c in but else F.col(f"__column{i}").alias(c) for i, c in enumerate(docs.columns)]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(training_rows(docs))
-    found = classify(docs, model, docs.columns)
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < math.log2(SYMBOLS))).select(*docs.columns)
+    found = classify(docs, model, _numbered(docs))
+    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < math.log2(SYMBOLS))).select(*_named(docs))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +64,9 @@ def _whole_characters(text: bytes, gone: np.ndarray) -> str:
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    names = docs.columns
+    own = ("doc_id", "text")
+    inner = docs.select(*_numbered(docs, own))
+    names = inner.columns
 
     def cut(batches):
         for b in bytesops.slices(batches):
@@ -62,9 +79,9 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
             cols = {n: b.column(n) for n in names} | {"text": pa.array(out, pa.string())}
             yield pa.record_batch([cols[n] for n in names], names=names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = with_runs(docs).mapInArrow(cut, schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema)
+    out = with_runs(inner).mapInArrow(cut, schema).select(*_named(docs, own))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

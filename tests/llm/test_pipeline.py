@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -63,6 +64,20 @@ def test_pipeline_of_nothing(spark, sf):
     assert pipeline.STAGES[-1][1](spark, docs, sf).count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    names = ["score", "lang_pred", "bits_per_byte", "which", "mark", "h", "n", "bucket", "item_id", "tokens", "held_out", "component_id", "n_shingles", "least", "a.b"]
+    wide = docs
+    for k, name in enumerate(names):
+        wide = wide.withColumn(name, F.lit(k))
+    wide = wide.unionByName(wide.where("doc_id < 3"))
+    for _, stage in pipeline.STAGES[:-1]:
+        docs, wide = pipeline.stored(stage(spark, docs, sf), "plain"), pipeline.stored(stage(spark, wide, sf), "wide")
+        assert wide.columns[-len(names) :] == names and {tuple(r)[-len(names) :] for r in wide.collect()} == {tuple(range(len(names)))}
+        assert rows_of(wide) == rows_of(docs)
+    assert pipeline.STAGES[-1][1](spark, wide, sf).count() > 0
+
+
 def test_masks_of_removed():
     masks = texts_of({1: "a" * 60, 2: "a" * 60 + "b"})
     assert not masks[1].any() and np.flatnonzero(~masks[2]).tolist() == [60]
