@@ -60,12 +60,6 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 _libc = ctypes.CDLL(None)
-if hasattr(_libc, "mallopt"):
-    # Blocks of 1 MB and more get pages of their own, which go back to the machine when they are freed; two arenas at most.
-    _libc.mallopt(-3, 1 << 20)
-    _libc.mallopt(-1, 1 << 20)
-    _libc.mallopt(-8, 2)
-    pa.set_memory_pool(pa.system_memory_pool())
 
 
 def give_back() -> None:
