@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import fixed
+from millrace.functions import automaton, fixed
 
 from .scratch import kept
 from .stats import sign_test
@@ -76,48 +76,54 @@ def text_calls(text: Column) -> Column:
     return F.filter(F.transform(blocks, _call), lambda c: c["name"].isNotNull())
 
 
-def loops(tail: bytes) -> bool:
-    """The tail ends in copies of one unit, of the widths and numbers in REPEATS."""
-    data = np.frombuffer(tail, np.uint8)
+def ends_in_copies(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether the bytes up to each of `ends` end in copies of one unit, of the widths and numbers in REPEATS.
+
+    Where bytes equal those `width` before them for a stretch of (copies - 1) widths, the stretch and the unit before it are copies."""
+    out = np.zeros(len(ends), bool)
     for (low, high), copies in fixed.REPEATS:
         for width in range(low, min(high, len(data) // copies) + 1):
-            spans = data[len(data) - width * copies :].reshape(copies, width)
-            if spans[0, -1] == spans[-1, -1] and (spans == spans[-1]).all():
-                return True
-    return False
-
+            other = np.flatnonzero(data[width:] != data[:-width]) + width  # places that break a stretch
+            broken = np.concatenate([[width - 1], other])[np.searchsorted(other, ends, "left")]
+            out |= (ends - 1 - broken >= width * (copies - 1)) & (ends >= width * copies)
+    return out
 
-class _Channel:
-    def __init__(self):
-        self.tail, self.blank = b"", 0
 
-    def stop(self, text: str) -> str | None:
-        for c in text:
-            self.blank = self.blank + len(c.encode()) if c.isspace() else 0
-            if self.blank >= fixed.MAX_BLANK:
-                return "blank"
-        self.tail = (self.tail + text.encode())[-fixed.TAIL_BYTES :]
-        return "repeated" if loops(self.tail) else None
+def _channel(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Of one channel's chunks: at which the blank bytes in a row pass the bound, and which end in copies."""
+    raw = [(t or "").encode() for t in texts]
+    ends = np.cumsum([len(r) for r in raw])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    said = np.array([t is not None for t in texts])
+    ink = np.where(automaton.white(data), -1, np.arange(len(data)))
+    blank = np.arange(len(data)) - np.maximum.accumulate(ink) if len(data) else ink
+    over = np.concatenate([[0], np.cumsum(blank >= fixed.MAX_BLANK)])
+    blanks = over[ends] > over[np.concatenate([[0], ends[:-1]])]
+    return blanks & said, ends_in_copies(data, ends) & said
 
 
 def guard(chunks: DataFrame) -> DataFrame:
     """reply, seq, reason: the first chunk (reply, seq, content, reasoning) at which a reply must stop: size, empty, blank or repeated.
 
-    A reply is bounded by its size limit, so one is a small group; replies are spread over tasks."""
+    A reply is bounded by its size limit: of one that is longer, only the chunks up to the limit are looked at, so one is a small group."""
 
     def watch(table: pa.Table) -> pa.Table:
-        channels, size, empty, out = {"content": _Channel(), "reasoning": _Channel()}, 0, 0, []
-        for row in sorted(table.to_pylist(), key=lambda r: r["seq"]):
-            said = {n: row[n] for n in channels if row[n] is not None}
-            size += sum(len(t.encode()) for t in said.values())
-            if said:
-                empty = empty + 1 if not any(said.values()) else 0
-            why = "size" if size > fixed.MAX_ROUND else "empty" if empty >= fixed.MAX_EMPTY else next((w for n, t in said.items() if (w := channels[n].stop(t))), None)
-            if why:
-                out = [(row["reply"], row["seq"], why)]
-                break
-        reply, seq, reason = zip(*out) if out else ((), (), ())
-        return pa.table({"reply": pa.array(reply, pa.int64()), "seq": pa.array(seq, pa.int64()), "reason": pa.array(reason, pa.string())})
+        table = table.sort_by("seq")
+        content, reasoning = table.column("content").to_pylist(), table.column("reasoning").to_pylist()
+        size = np.cumsum([len((c or "").encode()) + len((r or "").encode()) for c, r in zip(content, reasoning)])
+        n = min(len(size), int(np.searchsorted(size, fixed.MAX_ROUND, "right")) + 1)
+        content, reasoning = content[:n], reasoning[:n]
+        said = np.array([c is not None or r is not None for c, r in zip(content, reasoning)])
+        full = np.array([bool(c) or bool(r) for c, r in zip(content, reasoning)])
+        quiet = np.cumsum(said & ~full)  # chunks that say nothing, since the last one that says something
+        since = quiet - np.maximum.accumulate(np.where(full, quiet, 0))
+        checks = [("size", size[:n] > fixed.MAX_ROUND), ("empty", said & ~full & (since >= fixed.MAX_EMPTY))]
+        for texts in (content, reasoning):
+            blanks, copies = _channel(texts)
+            checks += [("blank", blanks), ("repeated", copies)]
+        first = min(((int(np.argmax(hit)), k) for k, (_, hit) in enumerate(checks) if hit.any()), default=None)
+        keys = table.slice(first[0], 1) if first else table.slice(0, 0)
+        return pa.table({"reply": keys.column("reply"), "seq": keys.column("seq"), "reason": pa.array([checks[first[1]][0]] if first else [], pa.string())})
 
     return chunks.select("reply", "seq", "content", "reasoning").groupBy("reply").applyInArrow(watch, "reply long, seq long, reason string")
 
