@@ -27,6 +27,14 @@ def suggestions(rows: DataFrame, fields: tuple[str, ...] = ("instruction", "resp
     return rows.select(*kept, F.explode(F.array(*found)).alias("s")).select(*kept, "s.*").where("match IS NOT NULL")
 
 
+def phrases(marks: DataFrame) -> DataFrame:
+    """text, category, n of the phrases of marks (id, pos, text, category): one a lower-cased text of MIN_PHRASE characters or more, in the
+    spelling and category of the first mark by id and pos. Null texts are left out."""
+    rows = marks.withColumn("text", T.strip(F.col("text"))).where(F.length("text") >= fixed.MIN_PHRASE)
+    first = F.struct("id", "pos")
+    return rows.groupBy(F.lower("text").alias("key")).agg(F.min_by("text", first).alias("text"), F.min_by("category", first).alias("category"), F.count(F.lit(1)).alias("n")).drop("key")
+
+
 def marked(records: DataFrame, flags: DataFrame, phrase: str, category: str) -> tuple[DataFrame, DataFrame]:
     """A phrase marked in every answer that holds it, whatever its case: the new spans, and one row of `matched` and `added`.
 

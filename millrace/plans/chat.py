@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.functions import fixed
 from millrace.functions import text as T
 from millrace.operators import chat as H
 
@@ -60,3 +61,20 @@ def chat_repeated_turns(spark, sf):
     """Turns that an earlier one of the same role in the conversation says word for word."""
     rank = F.row_number().over(Window.partitionBy("conv_id", "role", "text").orderBy("turn"))
     return table(spark, sf, "conversations").withColumn("k", rank).where("k > 1").select("conv_id", "turn")
+
+
+_SAID = ["'Question: \"' || substr(t, 1, 50) || '?\"'", "''", "'one' || chr(10) || substr(t, 1, 40) || '?'", "substr(t, 1, 60) || '.'", "'What does the author mean by ' || substr(t, 1, 20) || '?'", "'Is it worth noting that ' || substr(t, 1, 20) || ', a game changer?'", "substr(t, 1, 230) || '?'", "'Q: Which ' || substr(t, 1, 30) || '?'"]
+_SAID_SQL = "CASE (conv_id + turn) % 8 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_SAID)) + " END"
+_SLOP_SQL = " OR ".join("regexp_matches(question, '" + T.phrase_pattern(p).replace("'", "''") + "')" for p in fixed.SLOP_PHRASES.values())
+_EDGE = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
+
+
+@query(f"""WITH r AS (SELECT conv_id, turn, {_EDGE.format(_SAID_SQL)} AS x FROM (SELECT conv_id, turn, replace(text, chr(10), ' ') AS t FROM conversations WHERE text IS NOT NULL)),
+q AS (SELECT conv_id, turn, {_EDGE.format("regexp_replace(" + _EDGE.format("regexp_replace(x, '^(?:Question:|Q:)', '')") + ", '^[\"“”'']+|[\"“”'']+$', '', 'g')")} AS question FROM r)
+SELECT conv_id, turn, CASE WHEN question = '' THEN 'empty' WHEN contains(question, chr(10)) THEN 'not one line' WHEN NOT ends_with(question, '?') THEN 'not a question' WHEN length(question) > {fixed.MAX_QUESTION} THEN 'too long'
+WHEN {" OR ".join(f"contains(lower(question), '{w}')" for w in fixed.SOURCE_WORDS)} THEN 'mentions the source' WHEN {_SLOP_SQL} THEN 'slop' END AS rejection FROM q""")
+def chat_question_reasons(spark, sf):
+    """Replies made of all turns, in eight forms, and why each cannot be a question."""
+    rows = table(spark, sf, "conversations").where(F.col("text").isNotNull()).select("conv_id", "turn", F.replace("text", F.lit("\n"), F.lit(" ")).alias("t"))
+    rows = rows.withColumn("reply", F.expr(_SAID_SQL.replace("chr(10)", "char(10)")))
+    return rows.select("conv_id", "turn", T.question_rejection(T.question_of(F.col("reply"))).alias("rejection"))

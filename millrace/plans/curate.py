@@ -180,9 +180,16 @@ _MARKS = [(3, 0, " Great Question ", "flattery"), (1, 1, "great question", "othe
 @query(f"""SELECT min_by(trim(text), struct_pack(id := id, pos := pos)) AS text, min_by(category, struct_pack(id := id, pos := pos)) AS category, count(*) AS n FROM (VALUES {', '.join(repr(x) for x in _MARKS)}) v(id, pos, text, category)
 WHERE length(trim(text)) >= 4 GROUP BY lower(trim(text))""")
 def review_phrases(spark, sf):
-    rows = spark.createDataFrame(_MARKS, "id int, pos int, text string, category string").withColumn("text", T.strip(F.col("text"))).where(F.length("text") >= 4)
-    first = F.struct("id", "pos")
-    return rows.groupBy(F.lower("text").alias("key")).agg(F.min_by("text", first).alias("text"), F.min_by("category", first).alias("category"), F.count(F.lit(1)).alias("n")).drop("key").orderBy(F.desc("n"), "text")
+    return V.phrases(spark.createDataFrame(_MARKS, "id int, pos int, text string, category string")).orderBy(F.desc("n"), "text")
+
+
+@query("""WITH m AS (SELECT doc_id AS id, unnest([0, 1]) AS pos, unnest([CASE WHEN doc_id % 2 = 0 THEN 'TAG ' ELSE ' tag ' END || split_part(text, ' ', 1), 'x']) AS text, source AS category FROM documents)
+SELECT min_by(trim(text), struct_pack(id := id, pos := pos)) AS text, min_by(category, struct_pack(id := id, pos := pos)) AS category, count(*) AS n FROM m WHERE length(trim(text)) >= 4 GROUP BY lower(trim(text))""")
+def review_phrase_counts(spark, sf):
+    """Marked phrases of all documents (their first words, tagged) by lower-cased text, with the first spelling and category."""
+    word = F.concat(F.when(F.col("doc_id") % 2 == 0, "TAG ").otherwise(" tag "), F.split_part("text", F.lit(" "), F.lit(1)))
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("category"), F.posexplode(F.array(word, F.lit("x"))).alias("pos", "text"))
+    return V.phrases(rows)
 
 
 _ANSWERS = [(1, "Great question! Let's delve into it — really — now."), (2, "It's worth noting that no filler is here."), (3, "<div>In summary</div>"), (4, "plain text"), (5, "HAPPY TO HELP. What a fascinating case."), (6, "one — dash"), (7, "Not because of that. Let that sink in.")]
