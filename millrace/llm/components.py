@@ -33,4 +33,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == sums:
             break
         sums = now
+    else:
+        raise RuntimeError(f"links are not settled after {rounds} rounds")
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

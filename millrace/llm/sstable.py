@@ -233,7 +233,8 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(shards: DataFrame, path: str, keys: DataFrame) -> DataFrame:
-    """doc_id, ids of the documents with the doc_ids of `keys`: only shards whose range holds a key are opened."""
+    """doc_id, ids of the documents with the doc_ids of `keys`. All files are read by Spark; of those whose range holds a key the index, the
+    Bloom filter and single blocks are searched, the others are dropped unparsed."""
     spark = shards.sparkSession
     wanted = shards.join(keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), F.col("doc_id").between(F.col("first"), F.col("last")))
     wanted = wanted.groupBy("file").agg(F.collect_list("doc_id").alias("keys"))
