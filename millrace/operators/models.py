@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Y
 
 from millrace.functions import fixed
 
@@ -101,8 +103,14 @@ def fit_word(cost_at_longest: Column, weight: Column, room: Column) -> Column:
     return F.when(cost_at_longest <= room, "fits at max").when(weight <= room, "fits, smaller context").when(weight.isNotNull(), "too big").otherwise("size unknown")
 
 
+@F.arrow_udf(Y.StringType())
+def _one_decimal(x: pa.Array) -> pa.Array:
+    """Numbers with one decimal, by their exact binary values and halves to even; format_string rounds their shortest digits, halves up."""
+    return pa.array([None if v is None else f"{v:.1f}" for v in x.to_pylist()], pa.string())
+
+
 def gigabytes(n: Column) -> Column:
-    return F.format_string("%.1f GB", n / F.lit(1e9))
+    return F.concat(_one_decimal(n / F.lit(1e9)), F.lit(" GB"))
 
 
 def thousands(n: Column) -> Column:
