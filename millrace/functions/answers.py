@@ -25,7 +25,11 @@ _PHRASES = Automaton([p for of in fixed.SLOP_PHRASES.values() for p in of])
 _CATEGORY = np.array([k for k, of in enumerate(fixed.SLOP_PHRASES.values()) for _ in of])
 _WHITE = "[" + "".join(map(chr, [*range(9, 14), 0x20])) + automaton.WIDE_WHITE + "]"
 _SENTENCES = 2  # of RHYTHM_PATTERNS, the one that no word begins
-_RHYTHM = [re.compile(p.replace(r"\s", _WHITE)) for p in fixed.RHYTHM_PATTERNS]
+#: By `plain`: with words and white space of all scripts, or of ASCII as the patterns say in SQL (RE2); case is folded alike.
+_RHYTHM = {
+    False: [re.compile(p.replace(r"\s", _WHITE)) for p in fixed.RHYTHM_PATTERNS],
+    True: [re.compile(p.replace(r"\s", r"[\t\n\f\r ]").replace(r"\w", r"(?a:\w)").replace(r"\b", r"(?a:\b)")) for p in fixed.RHYTHM_PATTERNS],
+}
 _OPENINGS = Automaton(["not because", "it's", "it is", "this is", "that's", "no "])
 _OPENS = np.array([0, 1, 1, 1, 1, 3])  # the pattern that each may begin
 _CLAIMS = [(rule, re.compile(p.replace(r"\s", _WHITE), re.I)) for rule, p in fixed.CLAIMS]
@@ -46,7 +50,7 @@ class _Row:
         return int(np.searchsorted(self.at, byte))
 
 
-def _one_word_sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _one_word_sentences(data: np.ndarray, off: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of three sentences in a row that are one capitalised ASCII word each."""
     none = np.zeros(0, np.int64)
     if len(data) < 2:
@@ -59,44 +63,44 @@ def _one_word_sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray,
     fine = dot < row_end
     fine[fine] = data[dot[fine]] == 0x2E
     begin, dot, row_end = begin[fine], dot[fine], row_end[fine]
-    ink = np.append(np.flatnonzero(~automaton.white(data)), len(data))
+    ink = np.append(np.flatnonzero(~automaton.white(data, plain)), len(data))
     after = ink[np.searchsorted(ink, dot + 1)]
     follows = np.searchsorted(begin, after)
     chained = (after > dot + 1) & (after < row_end) & (follows < len(begin))
     chained[chained] = begin[follows[chained]] == after[chained]
     one = np.flatnonzero(chained)
     one = one[chained[follows[one]]]
-    one = one[~automaton.is_word(data, begin[one], off[np.searchsorted(off, begin[one], "right") - 1], row_end[one], False)]
+    one = one[~automaton.is_word(data, begin[one], off[np.searchsorted(off, begin[one], "right") - 1], row_end[one], False, plain)]
     return begin[one], dot[follows[follows[one]]] + 1
 
 
-def _openings(data: np.ndarray, off: np.ndarray, rows: dict[int, _Row]):
+def _openings(data: np.ndarray, off: np.ndarray, rows: dict[int, _Row], plain: bool):
     """(pattern, start, end) of the rhythm tricks that begin with given words."""
-    row, which, start, end = _OPENINGS.find(data, off)
+    row, which, start, end = _OPENINGS.find(data, off, plain=plain)
     found = {}
     for r, p, a in zip(row.tolist(), _OPENS[which].tolist(), start.tolist()):
         x = rows.get(r)
         if x is None:
             x = rows[r] = _Row(data[off[r] : off[r + 1]])
-        m = _RHYTHM[p].match(x.text, x.char(a - int(off[r])))
+        m = _RHYTHM[plain][p].match(x.text, x.char(a - int(off[r])))
         if m:
             found[p, a] = int(off[r]) + int(x.at[m.end()])
     keys = sorted(found, key=lambda k: k[1])
     return np.array([k[0] for k in keys], np.int64), np.array([k[1] for k in keys], np.int64), np.array([found[k] for k in keys], np.int64)
 
 
-def _found(data: np.ndarray, off: np.ndarray) -> tuple:
+def _found(data: np.ndarray, off: np.ndarray, plain: bool) -> tuple:
     """Of rows of bytes: hits (row, category, start, end), em dashes, words, claims (row, place in CLAIMS, start, end)."""
     prose = blank_code(data, off)
     rows: dict[int, _Row] = {}
-    _, phrase, start, end = _PHRASES.find(prose, off)
+    _, phrase, start, end = _PHRASES.find(prose, off, plain=plain)
     group, parts = _CATEGORY[phrase], []
     keep = automaton.apart(start, end, group)  # each category by itself, as each pattern by itself, then all of them
     parts.append((group[keep], start[keep], end[keep]))
-    pattern, start, end = _openings(prose, off, rows)
+    pattern, start, end = _openings(prose, off, rows, plain)
     keep = automaton.apart(start, end, pattern)
     parts.append((np.full(len(keep), len(CATEGORIES) - 1), start[keep], end[keep]))
-    start, end = _one_word_sentences(prose, off)
+    start, end = _one_word_sentences(prose, off, plain)
     keep = automaton.apart(start, end)
     parts.append((np.full(len(keep), len(CATEGORIES) - 1), start[keep], end[keep]))
     category, start, end = (np.concatenate(x) for x in zip(*parts))
@@ -108,7 +112,7 @@ def _found(data: np.ndarray, off: np.ndarray) -> tuple:
     dashes = np.flatnonzero(prose == 0xE2)
     dashes = dashes[dashes + 2 < len(prose)]
     dashes = dashes[(prose[dashes + 1] == 0x80) & (prose[dashes + 2] == 0x94)]
-    ink = ~automaton.white(prose)
+    ink = ~automaton.white(prose, plain)
     first = ink.copy()
     first[1:] &= ~ink[:-1]
     heads = off[:-1][off[:-1] < off[1:]]
@@ -139,14 +143,14 @@ def _lists(n: int, row, fields: dict[str, pa.Array]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
 
 
-def facts_of(column: pa.Array) -> pa.StructArray:
-    """The facts of every row of a column of texts."""
+def facts_of(column: pa.Array, plain: bool = False) -> pa.StructArray:
+    """The facts of every row of a column of texts; plain: with words and white space of ASCII."""
     data, off = automaton.text_bytes(column)
     parts, lo = [], 0
     while lo < len(off) - 1:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + _PART, "right")) - 1)
         part, at = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
-        (row, category, start, end), dashes, words, claims = _found(part, at)
+        (row, category, start, end), dashes, words, claims = _found(part, at, plain)
         r, c, rule, e = zip(*claims) if claims else ((), (), (), ())
         hits = {
             "category": pa.array([CATEGORIES[k] for k in category], pa.string()), "text": _texts(part, start, end),
@@ -166,6 +170,12 @@ def slop_check(text: pa.Array) -> pa.Array:
     return facts_of(text)
 
 
+@F.arrow_udf(_FACTS)
+def slop_check_plain(text: pa.Array) -> pa.Array:
+    """slop_check with words, their edges and white space of ASCII only, as SQL (RE2) reads the patterns."""
+    return facts_of(text, plain=True)
+
+
 def slop_of(text: str) -> dict:
     """The facts of one text."""
     return facts_of(pa.array([text], pa.string()))[0].as_py()
