@@ -91,17 +91,14 @@ def curate_pick_sections(spark, sf):
     return C.first_per_group(rows.select("source", "id", F.length("response").alias("chars")), "source", ["id"], 3)
 
 
-_CAP = 5_000
-
-
 @query(f"""WITH RECURSIVE {REASONS}, s AS (SELECT source, id, CAST(length(response) // 4 AS BIGINT) AS size, row_number() OVER (PARTITION BY source ORDER BY id) AS n FROM kept),
-w AS (SELECT source, id, n, CASE WHEN size <= {_CAP} THEN size ELSE 0 END AS used, size <= {_CAP} AS keep FROM s WHERE n = 1
-UNION ALL SELECT s.source, s.id, s.n, CASE WHEN w.used + s.size <= {_CAP} THEN w.used + s.size ELSE w.used END, w.used + s.size <= {_CAP} FROM w JOIN s ON s.source = w.source AND s.n = w.n + 1)
+w AS (SELECT source, id, n, CASE WHEN size <= {fixed.SOURCE_CAP} THEN size ELSE 0 END AS used, size <= {fixed.SOURCE_CAP} AS keep FROM s WHERE n = 1
+UNION ALL SELECT s.source, s.id, s.n, CASE WHEN w.used + s.size <= {fixed.SOURCE_CAP} THEN w.used + s.size ELSE w.used END, w.used + s.size <= {fixed.SOURCE_CAP} FROM w JOIN s ON s.source = w.source AND s.n = w.n + 1)
 SELECT source, id FROM w WHERE keep""")
 def curate_token_cap(spark, sf):
-    """A cap of 5,000 tokens a source, which most sources pass; builds take fixed.SOURCE_CAP."""
+    """The cap of builds, fixed.SOURCE_CAP tokens a source."""
     rows = _kept(spark, sf).select("source", "id", F.col("tokens").alias("size"))
-    return C.capped(rows, "source", "id", "size", _CAP).select("source", "id")
+    return C.capped(rows, "source", "id", "size", fixed.SOURCE_CAP).select("source", "id")
 
 
 @query("""SELECT doc_id AS id, lower(lpad(to_hex(list_reduce(list_prepend(14695981039346656037::UBIGINT, list_transform(range(1, strlen(s) + 1), lambda i: CAST(('0x' || substr(hex(encode(s)), 2 * i - 1, 2)) AS UBIGINT))),
