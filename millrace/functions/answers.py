@@ -17,7 +17,7 @@ from pyspark.sql import types as Y
 
 from . import automaton, fixed
 from .automaton import Automaton
-from .fences import blank_code
+from .fences import blank_code, blank_pairs
 
 CATEGORIES = [*fixed.SLOP_PHRASES, "rhythm_trick"]
 RULES = ["no_unwrap", "error_enum", "pub_docs", "no_body_comments", "no_index_loops"]
@@ -31,6 +31,7 @@ _RHYTHM = {
     True: [re.compile(p.replace(r"\s", r"[\t\n\f\r ]").replace(r"\w", r"(?a:\w)").replace(r"\b", r"(?a:\b)")) for p in fixed.RHYTHM_PATTERNS],
 }
 _OPENINGS = Automaton(["not because", "it's", "it is", "this is", "that's", "no "])
+_OPENINGS.last_word[:] = False  # what follows is for the pattern to tell
 _OPENS = np.array([0, 1, 1, 1, 1, 3])  # the pattern that each may begin
 _CLAIMS = [(rule, re.compile(p.replace(r"\s", _WHITE), re.I)) for rule, p in fixed.CLAIMS]
 #: In every claim stands one of these.
@@ -42,8 +43,10 @@ _PART = 4 << 20
 class _Row:
     """One row's prose as characters, with the byte at which each begins."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, plain: bool):
         self.text = data.tobytes().decode("utf-8", "replace")
+        if plain:  # letters that Python, but not SQL, takes for an i where case is ignored; to the patterns they are like any other beyond ASCII
+            self.text = self.text.replace("\u0130", "\u00e9").replace("\u0131", "\u00e9")
         self.at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
 
     def char(self, byte: int) -> int:
@@ -81,7 +84,7 @@ def _openings(data: np.ndarray, off: np.ndarray, rows: dict[int, _Row], plain: b
     for r, p, a in zip(row.tolist(), _OPENS[which].tolist(), start.tolist()):
         x = rows.get(r)
         if x is None:
-            x = rows[r] = _Row(data[off[r] : off[r + 1]])
+            x = rows[r] = _Row(data[off[r] : off[r + 1]], plain)
         m = _RHYTHM[plain][p].match(x.text, x.char(a - int(off[r])))
         if m:
             found[p, a] = int(off[r]) + int(x.at[m.end()])
@@ -89,9 +92,8 @@ def _openings(data: np.ndarray, off: np.ndarray, rows: dict[int, _Row], plain: b
     return np.array([k[0] for k in keys], np.int64), np.array([k[1] for k in keys], np.int64), np.array([found[k] for k in keys], np.int64)
 
 
-def _found(data: np.ndarray, off: np.ndarray, plain: bool) -> tuple:
-    """Of rows of bytes: hits (row, category, start, end), em dashes, words, claims (row, place in CLAIMS, start, end)."""
-    prose = blank_code(data, off)
+def _found(prose: np.ndarray, off: np.ndarray, plain: bool) -> tuple:
+    """Of rows of bytes without code: hits (row, category, start, end), em dashes, words, claims (row, place in CLAIMS, start, end)."""
     rows: dict[int, _Row] = {}
     _, phrase, start, end = _PHRASES.find(prose, off, plain=plain)
     group, parts = _CATEGORY[phrase], []
@@ -120,7 +122,7 @@ def _found(data: np.ndarray, off: np.ndarray, plain: bool) -> tuple:
     n = len(off) - 1
     claims = []
     for r in np.unique(_CLAIM_WORDS.find(prose, off, bounded=False)[0]).tolist():
-        x = rows.get(r) or _Row(prose[off[r] : off[r + 1]])
+        x = rows.get(r) or _Row(prose[off[r] : off[r + 1]], plain)
         claims += sorted((r, int(x.at[m.start()]), k, int(x.at[m.end()])) for k, (_, p) in enumerate(_CLAIMS) for m in p.finditer(x.text))
     return (inside(start), category, start, end), np.bincount(inside(dashes), minlength=n), np.bincount(inside(np.flatnonzero(first)), minlength=n), claims
 
@@ -144,16 +146,18 @@ def _lists(n: int, row, fields: dict[str, pa.Array]) -> pa.Array:
 
 
 def facts_of(column: pa.Array, plain: bool = False) -> pa.StructArray:
-    """The facts of every row of a column of texts; plain: with words and white space of ASCII."""
+    """The facts of every row of a column of texts; plain: as the patterns say in SQL, with words and white space of ASCII, code from
+    backticks to backticks, and hits as they stand once code is blank."""
     data, off = automaton.text_bytes(column)
     parts, lo = [], 0
     while lo < len(off) - 1:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + _PART, "right")) - 1)
         part, at = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
-        (row, category, start, end), dashes, words, claims = _found(part, at, plain)
+        prose = blank_pairs(part, at) if plain else blank_code(part, at)
+        (row, category, start, end), dashes, words, claims = _found(prose, at, plain)
         r, c, rule, e = zip(*claims) if claims else ((), (), (), ())
         hits = {
-            "category": pa.array([CATEGORIES[k] for k in category], pa.string()), "text": _texts(part, start, end),
+            "category": pa.array([CATEGORIES[k] for k in category], pa.string()), "text": _texts(prose if plain else part, start, end),
             "start": pa.array((start - at[row]).astype(np.int32)), "end": pa.array((end - at[row]).astype(np.int32)),
         }
         base = [int(at[x]) for x in r]
@@ -172,7 +176,7 @@ def slop_check(text: pa.Array) -> pa.Array:
 
 @F.arrow_udf(_FACTS)
 def slop_check_plain(text: pa.Array) -> pa.Array:
-    """slop_check with words, their edges and white space of ASCII only, as SQL (RE2) reads the patterns."""
+    """slop_check with words, their edges, white space and code as SQL (RE2) reads the patterns."""
     return facts_of(text, plain=True)
 
 
