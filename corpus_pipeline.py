@@ -80,7 +80,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
             yield pa.record_batch([cols[n] for n in names], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema)
-    out = with_runs(inner).mapInArrow(cut, schema).select(*_named(docs, own))
+    out = with_runs(inner, cut, schema).select(*_named(docs, own))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

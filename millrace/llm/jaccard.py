@@ -170,6 +170,7 @@ def shared_shingles(docs: DataFrame, heavy: np.ndarray, low: bool, count: int, b
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         b, cut = B.by_bucket(B.mix(doc[at].view(np.uint64)), buckets)
         sizes, ends = np.diff(np.append(at, len(doc))).astype(np.int32), np.append(at, len(doc))
+        B.give_back()
         return pa.table({
             "bucket": pa.array(b), "docs": B.blobs([doc[at[i:j]] for i, j in zip(cut, cut[1:])]), "counts": B.blobs([sizes[i:j] for i, j in zip(cut, cut[1:])]),
             "h": B.blobs([h[ends[i] : ends[j]] for i, j in zip(cut, cut[1:])]), "rank": B.blobs([rank[ends[i] : ends[j]] for i, j in zip(cut, cut[1:])]),
@@ -199,13 +200,14 @@ def gathered(parts: DataFrame) -> DataFrame:
         h, rank, doc = h[order], rank[order], doc[order]
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(doc)) if len(doc) else at
+        B.give_back()
         return pa.table({"doc": pa.array(doc[at]), "h": B.blobs([h[i:j] for i, j in zip(at, ends)]), "rank": B.blobs([rank[i:j] for i, j in zip(at, ends)])})
 
     return parts.groupBy("bucket").applyInArrow(gather, "doc long, h binary, rank binary")
 
 
 def shared_sets(parts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Stored (doc, n, s, h, lead, least) of the sets that may link: packed shared shingles ascending, the first s - t + 1 in the
+    """(doc, n, s, h, lead, least) of the sets that may link: packed shared shingles ascending, the first s - t + 1 in the
     global order, and the minimum of each hash function."""
 
     def build(batches):
@@ -219,9 +221,12 @@ def shared_sets(parts: DataFrame, sizes: DataFrame) -> DataFrame:
                 least.append([int(B.mix(h ^ B.U(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)).min().view(np.int64)) for k in range(FUNCTIONS)])
             sizes = [len(h) for h in hs]
             yield pa.record_batch({"doc": b.column("doc"), "n": b.column("n"), "s": pa.array(sizes, pa.int64()), "h": B.blobs(hs), "lead": B.blobs(leads), "least": pa.array(least, pa.list_(pa.int64()))})
+        B.give_back()
 
-    found = gathered(parts).join(sizes.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")), "doc").where(F.octet_length("rank") >= least_overlap(F.col("n")))
-    return stored(found.select("doc", "n", "h", "rank").mapInArrow(build, "doc long, n long, s long, h binary, lead binary, least array<long>"), "shared-sets")
+    # merged, not broadcast: a shuffle parts the two passes, which in one task would take two Python workers, and workers stay
+    sizes = sizes.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")).hint("merge")
+    found = gathered(parts).join(sizes, "doc").where(F.octet_length("rank") >= least_overlap(F.col("n")))
+    return found.select("doc", "n", "h", "rank").mapInArrow(build, "doc long, n long, s long, h binary, lead binary, least array<long>")
 
 
 def leading_shingles(sets: DataFrame) -> DataFrame:
@@ -232,6 +237,7 @@ def leading_shingles(sets: DataFrame) -> DataFrame:
             k = np.array([len(x) // 8 for x in b.column("lead").to_pylist()], np.int64)
             cols = {c: pa.array(np.repeat(b.column(c).to_numpy(), k)) for c in ("doc", "n", "s")}
             yield pa.record_batch({"h": pa.array(B.joined(b.column("lead"), np.int64)), **cols, "place": pa.array(B.ranges(np.zeros(len(k), np.int64), k))})
+        B.give_back()
 
     return sets.select("doc", "n", "s", "lead").mapInArrow(unpack, "h long, doc long, n long, s long, place long")
 
@@ -251,6 +257,7 @@ def segments(sets: DataFrame) -> DataFrame:
                     fragment.append(int(k))
                     part.append(h[at[k] : at[k + 1]])
             yield pa.record_batch({"doc": pa.array(doc, pa.int64()), "fragment": pa.array(fragment, pa.int32()), "part": B.blobs(part)})
+        B.give_back()
 
     return sets.select("doc", "h").mapInArrow(cut, "doc long, fragment int, part binary")
 
@@ -269,6 +276,7 @@ def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common[k] = np.count_nonzero(y[at] == x)
             yield pa.record_batch([*(batch.column(n) for n in names), pa.array(common)], names=[*names, "met"])
+        B.give_back()
 
     left = parts.select(F.col("doc").alias("b"), "fragment", F.col("part").alias("y"))
     right = parts.select(F.col("doc").alias("a"), "fragment", F.col("part").alias("x"))
@@ -368,7 +376,7 @@ def join_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     hopeful = stored(hopeful.select("doc_id", "n_shingles"), "hopeful")
     high = shared_shingles(keys_join(own, hopeful.select("doc_id"), "doc_id", "left_semi"), heavy, False, pieces(count * (8 - PROBE), 8), count)
     parts = low.unionByName(high)
-    sets = shared_sets(parts, hopeful)
+    sets = stored(shared_sets(parts, hopeful), "shared-sets")
     release(low, hopeful)
     edges = all_links(sets)
     release(sets)

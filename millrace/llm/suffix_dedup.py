@@ -23,6 +23,7 @@ null doc_id are kept whole and take no part; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +181,7 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         ends = np.append(at, len(doc))
         b, cut = B.by_bucket(B.mix(doc[at].view(np.uint64)), buckets)
         parts = list(zip(cut, cut[1:]))
+        B.give_back()
         return pa.table({"bucket": pa.array(b), "docs": B.blobs([np.repeat(doc[at[i:j]], np.diff(ends[i : j + 1])) for i, j in parts]), "anchors": B.blobs([h[ends[i] : ends[j]] for i, j in parts]), "many": B.blobs([many[ends[i] : ends[j]] for i, j in parts])})
 
     def gather(table: pa.Table) -> pa.Table:
@@ -188,6 +190,7 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         doc, h, many = doc[order], h[order], many[order]
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         ends = np.append(at[1:], len(doc)) if len(doc) else at
+        B.give_back()
         return pa.table({"doc_id": pa.array(doc[at]), "anchors": B.blobs([h[i:j] for i, j in zip(at, ends)]), "many": B.blobs([many[i:j] for i, j in zip(at, ends)])})
 
     rows = docs.select("doc_id", "text").mapInArrow(emit, "bucket long, base long, wide boolean, h binary, before binary, after binary, doc binary")
@@ -520,8 +523,10 @@ def merged_runs(spans: DataFrame, buckets: int) -> DataFrame:
     return packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(merge, "doc_id long, runs binary")
 
 
-def with_runs(docs: DataFrame, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
-    """docs with `__runs`: packed starts and ends of the bytes that each row's text loses; null if none.
+def with_runs(docs: DataFrame, then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
+    """What `then` makes, as `schema`, of batches of docs with `__runs`: packed starts and ends of the bytes that each row's text
+    loses; null if none. It goes in the pass that finds the runs: a second one would take another Python worker a task, and
+    workers stay, with their memory, beside those of later stages.
 
     docs has doc_id (long) and text; other columns stay."""
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -569,8 +574,7 @@ def with_runs(docs: DataFrame, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
             yield pa.record_batch([*(b.column(n) for n in names), pa.array(out, pa.binary())], names=[*names, "__runs"])
 
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.select(*names, "which", "__found", "__whole").mapInArrow(own_runs, f"{schema}, __runs binary")
+    return rows.select(*names, "which", "__found", "__whole").mapInArrow(lambda batches: then(own_runs(batches)), schema)
 
 
 def kept_bytes(data: np.ndarray, runs: bytes) -> np.ndarray:
@@ -600,8 +604,8 @@ def remove_repeats(docs: DataFrame, anchor_rows: int = ANCHOR_ROWS) -> DataFrame
                 shas.append(hashlib.sha256(text).hexdigest())
             yield pa.record_batch({"doc_id": b.column("doc_id"), "n_bytes": pa.array(np.diff(off)), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
 
-    rows = with_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), anchor_rows)
-    return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return with_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cut, schema, anchor_rows)
 
 
 def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

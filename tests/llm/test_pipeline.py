@@ -81,3 +81,24 @@ def test_stages_keep_columns_of_any_name(spark, sf):
 def test_masks_of_removed():
     masks = texts_of({1: "a" * 60, 2: "a" * 60 + "b"})
     assert not masks[1].any() and np.flatnonzero(~masks[2]).tolist() == [60]
+
+
+def python_passes(df):
+    """The most Python passes that a task of df's last stages has, one in another."""
+    most = here = 0
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        if re.search(r"(?<!Broadcast)Exchange", line):
+            here = 0
+        here += bool(re.search(r"InArrow|InPandas|EvalPython", line))
+        most = max(most, here)
+    return most
+
+
+def test_a_task_has_one_python_pass(spark, sf):
+    from millrace.llm import jaccard, suffix_dedup
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert python_passes(pipeline.cut_repeated_passages(spark, docs, sf)) == 1
+    assert python_passes(suffix_dedup.remove_repeats(docs)) == 1
+    parts = spark.createDataFrame([], "bucket long, docs binary, counts binary, h binary, rank binary")
+    assert python_passes(jaccard.shared_sets(parts, pipeline.stored(docs.selectExpr("doc_id", "1L AS n_shingles"), "sizes"))) == 1
