@@ -11,6 +11,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as Y
@@ -25,10 +26,11 @@ _PHRASES = Automaton([p for of in fixed.SLOP_PHRASES.values() for p in of])
 _CATEGORY = np.array([k for k, of in enumerate(fixed.SLOP_PHRASES.values()) for _ in of])
 _WHITE = "[" + "".join(map(chr, [*range(9, 14), 0x20])) + automaton.WIDE_WHITE + "]"
 _SENTENCES = 2  # of RHYTHM_PATTERNS, the one that no word begins
-#: By `plain`: with words and white space of all scripts, or of ASCII as the patterns say in SQL (RE2); case is folded alike.
+#: By `plain`: with words and white space of all scripts, or of ASCII as the patterns say in SQL (RE2); case is folded alike, so that a
+#: long s is of a word there, but no edge of one.
 _RHYTHM = {
     False: [re.compile(p.replace(r"\s", _WHITE)) for p in fixed.RHYTHM_PATTERNS],
-    True: [re.compile(p.replace(r"\s", r"[\t\n\f\r ]").replace(r"\w", r"(?a:\w)").replace(r"\b", r"(?a:\b)")) for p in fixed.RHYTHM_PATTERNS],
+    True: [re.compile(p.replace(r"\s", r"[\t\n\f\r ]").replace(r"\w", "[0-9A-Z_a-z]").replace(r"\b", r"(?a:\b)")) for p in fixed.RHYTHM_PATTERNS],
 }
 _OPENINGS = Automaton(["not because", "it's", "it is", "this is", "that's", "no "])
 _OPENINGS.last_word[:] = False  # what follows is for the pattern to tell
@@ -93,7 +95,9 @@ def _openings(data: np.ndarray, off: np.ndarray, rows: dict[int, _Row], plain: b
 
 
 def _found(prose: np.ndarray, off: np.ndarray, plain: bool) -> tuple:
-    """Of rows of bytes without code: hits (row, category, start, end), em dashes, words, claims (row, place in CLAIMS, start, end)."""
+    """Of rows of bytes without code: hits (row, category, start, end), em dashes, words, claims (row, place in CLAIMS, start, end).
+
+    plain: hits of one pattern may overlap those of another."""
     rows: dict[int, _Row] = {}
     _, phrase, start, end = _PHRASES.find(prose, off, plain=plain)
     group, parts = _CATEGORY[phrase], []
@@ -107,7 +111,8 @@ def _found(prose: np.ndarray, off: np.ndarray, plain: bool) -> tuple:
     parts.append((np.full(len(keep), len(CATEGORIES) - 1), start[keep], end[keep]))
     category, start, end = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((category, start))
-    order = order[automaton.apart(start[order], end[order])]
+    if not plain:
+        order = order[automaton.apart(start[order], end[order])]
     category, start, end = category[order], start[order], end[order]
     inside = lambda at: np.searchsorted(off, at, "right") - 1
 
@@ -147,7 +152,7 @@ def _lists(n: int, row, fields: dict[str, pa.Array]) -> pa.Array:
 
 def facts_of(column: pa.Array, plain: bool = False) -> pa.StructArray:
     """The facts of every row of a column of texts; plain: as the patterns say in SQL, with words and white space of ASCII, code from
-    backticks to backticks, and hits as they stand once code is blank."""
+    backticks to backticks, and hits as they stand once code is blank, those of one pattern over those of another."""
     data, off = automaton.text_bytes(column)
     parts, lo = [], 0
     while lo < len(off) - 1:
@@ -174,10 +179,21 @@ def slop_check(text: pa.Array) -> pa.Array:
     return facts_of(text)
 
 
-@F.arrow_udf(_FACTS)
-def slop_check_plain(text: pa.Array) -> pa.Array:
-    """slop_check with words, their edges, white space and code as SQL (RE2) reads the patterns."""
-    return facts_of(text, plain=True)
+@F.arrow_udf(Y.ArrayType(_HIT))
+def hits_plain(text: pa.Array) -> pa.Array:
+    """Hits of each pattern by itself, with words, their edges, white space and code as SQL (RE2) reads the patterns."""
+    return facts_of(text, plain=True).field("hits")
+
+
+@F.arrow_udf(Y.ArrayType(_HIT))
+def hits_apart(hits: pa.Array) -> pa.Array:
+    """Of each list of hits those that do not overlap: in order of start, then of category, each from the end of the last one kept."""
+    flat, row = pc.list_flatten(hits), pc.list_parent_indices(hits).to_numpy()
+    start, end = (flat.field(f).to_numpy().astype(np.int64) for f in ("start", "end"))
+    order = np.lexsort((pc.index_in(flat.field("category"), pa.array(CATEGORIES)).to_numpy(), start, row))
+    order = order[automaton.apart(start[order], end[order], row[order])]
+    kept = flat.take(pa.array(order))
+    return _lists(len(hits), row[order], dict(zip(("category", "text", "start", "end"), kept.flatten())))
 
 
 def slop_of(text: str) -> dict:
